@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from tradeloom.oracle.bridge_sql import with_bridge
+from tradeloom.oracle.jobs_sql import EXTRA_CTES, JOB_SQL
 from tradeloom.oracle.models_sql import MODEL_SQL
 
 
 def oracle_statements() -> dict[str, str]:
-    return {name: with_bridge(body) for name, body in MODEL_SQL.items()}
+    return {
+        name: with_bridge(body, EXTRA_CTES.get(name))
+        for name, body in {**MODEL_SQL, **JOB_SQL}.items()
+    }

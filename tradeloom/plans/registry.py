@@ -1,14 +1,27 @@
-"""Registered queries: every model and job as a function of (spark, sf_dir)."""
+"""Registered queries: every model and job as a function of (spark, sf_dir).
+
+Jobs that write use a fresh folder below the one named in `spark.checkpoint.dir`
+and return what was stored, read back.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tradeloom.plans import fraud
+from tradeloom.functions.identity import card_token, cpf, cpf_is_valid
+from tradeloom.operators import quality
+from tradeloom.plans import fraud, refresh, sellers, synthetic
 from tradeloom.plans.catalog import ANALYSES, FRAUD_RULES, MARTS, STAGING, Builder
-from tradeloom.sources.bridge import load_tables
+from tradeloom.schemas import SOURCE_TABLES, contract
+from tradeloom.session import new_run_folder
+from tradeloom.sources import layers as store
+from tradeloom.sources.bridge import Bridge, load_tables
+from tradeloom.sources.landing import read_csv_folder
+from tradeloom.sources.tables import Tables
 
 # A fixed detection moment keeps the fraud result comparable between runs.
 DETECTED_AT = "2026-01-01 06:00:00"
@@ -20,7 +33,242 @@ def _model(build: Builder) -> Query:
     return lambda spark, sf_dir: build(load_tables(spark, sf_dir))
 
 
+def _stack(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
+def table_sizes(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows and total key text per table; the key is the first column."""
+    return _stack(
+        [
+            frame.agg(
+                F.count(F.lit(1)).alias("ROW_COUNT"),
+                F.sum(F.length(frame.columns[0])).alias("KEY_CHARS"),
+            ).select(F.lit(name).alias("TABLE_NAME"), "ROW_COUNT", "KEY_CHARS")
+            for name, frame in tables.items()
+        ]
+    )
+
+
+# --- sources, sinks, materialisation -------------------------------------------
+
+
+def csv_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land the source tables as CSV files and read the folder back, typed."""
+    t, folder = load_tables(spark, sf_dir), new_run_folder(spark, "csv")
+    for name in SOURCE_TABLES:
+        getattr(t, name).write.option("header", True).csv(f"{folder}/{name}.csv")
+    landed = {name: opener() for name, opener in read_csv_folder(spark, folder).items()}
+    return table_sizes(landed)
+
+
+def replaced_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored table holds the last write only."""
+    t, path = load_tables(spark, sf_dir), f"{new_run_folder(spark, 'replace')}/pay"
+    store.replace_table(t.order_payments.where("payment_value < 0"), path)
+    store.replace_table(t.order_payments, path)
+    return store.open_table(spark, path, "order_payments")
+
+
+def appended_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored table grows by every append."""
+    t, path = load_tables(spark, sf_dir), f"{new_run_folder(spark, 'append')}/pay"
+    first = F.col("payment_sequential") == 1
+    store.append_rows(t.order_payments.where(first), path)
+    store.append_rows(t.order_payments.where(~first), path)
+    return store.open_table(spark, path, "order_payments")
+
+
+def filtered_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One column of the rows that satisfy a predicate, both pushed to the scan."""
+    t, path = load_tables(spark, sf_dir), f"{new_run_folder(spark, 'filter')}/customers"
+    store.replace_table(t.customers_extended, path)
+    stored = store.open_table(spark, path, "customers_extended")
+    return stored.where("is_synthetic").select("customer_id")
+
+
+def created_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Create the extended customer table twice, fill it, rely on its defaults."""
+    t, path = load_tables(spark, sf_dir), new_run_folder(spark, "create")
+    table = "extended_" + path.rsplit("-", 1)[1]
+    store.create_extended_customers(spark, table, path)
+    store.create_extended_customers(spark, table, path)
+    given = [c for c in t.customers_extended.columns if c not in store.EXTENDED_DEFAULTS]
+    rows = t.customers_extended.withColumn("customer_state", F.right("customer_state", F.lit(2)))
+    spark.sql(
+        f"insert into {table} ({', '.join(given)}) select {', '.join(given)} from {{rows}}",
+        rows=rows,
+    )
+    return spark.table(table)
+
+
+def synced_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copy all source tables to the raw layer and measure the copies."""
+    layers = store.Layers(new_run_folder(spark, "raw"))
+    names = store.sync_raw(load_tables(spark, sf_dir), layers)
+    return table_sizes(store.raw_tables(spark, layers, names).by_name())
+
+
+def source_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every declared source by its registered view name."""
+    views = store.register_sources(spark, load_tables(spark, sf_dir))
+    return table_sizes({view: spark.table(view) for view in views})
+
+
+def staging_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staging model, queried by view name."""
+    load_tables(spark, sf_dir).stg_orders.createOrReplaceTempView("stg_orders")
+    return spark.sql(
+        """select ORDER_STATUS, count(*) as ORDERS, min(ORDER_PURCHASED_AT) as FIRST_AT,
+               max(ORDER_PURCHASED_AT) as LAST_AT
+           from stg_orders group by ORDER_STATUS"""
+    )
+
+
+def stored_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart as stored table, read back with its contract."""
+    t, layers = load_tables(spark, sf_dir), store.Layers(new_run_folder(spark, "mart"))
+    refresh.store_mart(t, layers, "mart_top_sellers", sellers.top_sellers)
+    return refresh.open_mart(spark, layers, "mart_top_sellers")
+
+
+def daily_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole refresh, all checks on; rows per stored mart."""
+    layers = store.Layers(new_run_folder(spark, "refresh"))
+    refresh.run_refresh(spark, load_tables(spark, sf_dir), layers, DETECTED_AT)
+    return _stack(
+        [
+            refresh.open_mart(spark, layers, name)
+            .agg(F.count(F.lit(1)).alias("ROW_COUNT"))
+            .select(F.lit(name).alias("MODEL"), "ROW_COUNT")
+            for name in MARTS
+        ]
+    )
+
+
+# --- data quality ---------------------------------------------------------------
+
+
+def null_counts(t: Tables) -> DataFrame:
+    return quality.not_null(t.stg_orders, contract("stg_orders").names)
+
+
+def repeated_values(t: Tables) -> DataFrame:
+    """Orders with several items, several payments, and repeated order rows."""
+    checks = {
+        "orders": t.orders,
+        "order_items": t.order_items,
+        "order_payments": t.order_payments,
+    }
+    return _stack(
+        [
+            quality.run_checks(name, frame, quality.Checks(unique=["order_id"]))
+            for name, frame in checks.items()
+        ]
+    )
+
+
+def unexpected_values(t: Tables) -> DataFrame:
+    """Statuses, payment types and scores outside short lists."""
+    return _stack(
+        [
+            quality.accepted_values(t.stg_orders, "ORDER_STATUS", ["delivered", "canceled"]),
+            quality.accepted_values(t.order_payments, "payment_type", ["credit_card"]),
+            quality.accepted_values(t.order_reviews, "review_score", [1, 2, 3, 4, 5]),
+        ]
+    )
+
+
+def contracted(t: Tables) -> DataFrame:
+    """The staging model after its contract was enforced, summed up by status."""
+    staged = quality.enforce_contract("stg_orders", t.stg_orders, contract("stg_orders"))
+    return staged.groupBy("ORDER_STATUS").agg(
+        F.count("ORDER_ID").alias("ORDERS"),
+        F.count("ORDER_DELIVERED_AT").alias("ARRIVALS"),
+    )
+
+
+def quality_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 55 declared checks over stored staging and mart tables."""
+    layers = store.Layers(new_run_folder(spark, "suite"))
+    t = load_tables(spark, sf_dir)
+    staged = refresh.store_staging(spark, t, layers)
+    refresh.store_marts(t.with_staging(staged), layers, DETECTED_AT)
+    return refresh.quality_report(spark, staged, layers)
+
+
+# --- synthetic data -------------------------------------------------------------
+# Ids come from the given tables: customers become normal, suppliers fraudulent
+# synthetic customers, so the generated data grows with the input.
+
+
+def _normal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = Bridge(spark, sf_dir).read("customer").selectExpr("c_custkey as id")
+    return synthetic.normal_customers(ids)
+
+
+def _fraudulent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = Bridge(spark, sf_dir).read("supplier").selectExpr("s_suppkey as id")
+    return synthetic.fraud_customers(ids)
+
+
+def _synthetic_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    everyone = _normal(spark, sf_dir).unionByName(_fraudulent(spark, sf_dir))
+    return synthetic.order_facts(everyone)
+
+
+def _generated(build: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: build(_synthetic_facts(spark, sf_dir))
+
+
+def card_tokens(t: Tables) -> DataFrame:
+    owner = F.col("customer_id")
+    salt = F.substring("document_number", -4, 4)
+    return t.customers_extended.select(owner, card_token(owner, salt).alias("card_token"))
+
+
+def tax_numbers(t: Tables) -> DataFrame:
+    """Numbers built from the last nine digits given, and a check of the given ones."""
+    given = F.col("document_number")
+    built = t.customers_extended.select(
+        "customer_id", given, cpf(F.substring(given, -9, 9)).alias("cpf")
+    )
+    return built.select(
+        "customer_id",
+        "cpf",
+        cpf_is_valid(given).alias("given_is_valid"),
+        cpf_is_valid(F.col("cpf")).alias("built_is_valid"),
+    )
+
+
+JOBS: dict[str, Query] = {
+    "src_csv_dir": csv_folder,
+    "sink_replace": replaced_table,
+    "sink_append": appended_table,
+    "src_table_filter": filtered_table,
+    "sink_create_if_absent": created_table,
+    "raw_sync": synced_raw,
+    "src_registry": source_registry,
+    "mat_view": staging_view,
+    "mat_table": stored_mart,
+    "daily_refresh": daily_refresh,
+    "dq_not_null": _model(null_counts),
+    "dq_unique": _model(repeated_values),
+    "dq_accepted_values": _model(unexpected_values),
+    "dq_contract": _model(contracted),
+    "dq_suite": quality_suite,
+    "synth_normal_customers": _normal,
+    "synth_fraud_customers": _fraudulent,
+    "synth_orders": _generated(synthetic.orders),
+    "synth_items": _generated(synthetic.order_items),
+    "synth_payments": _generated(synthetic.order_payments),
+    "synth_reviews": _generated(synthetic.order_reviews),
+    "synth_card_token": _model(card_tokens),
+    "synth_cpf": _model(tax_numbers),
+}
+
+
 def registered_queries() -> dict[str, Query]:
     builders = {**STAGING, **MARTS, **ANALYSES, **FRAUD_RULES}
     builders["mart_fraud_signals"] = lambda t: fraud.fraud_signals(t, DETECTED_AT)
-    return {name: _model(build) for name, build in builders.items()}
+    return {**{name: _model(build) for name, build in builders.items()}, **JOBS}

@@ -45,6 +45,12 @@ class Tables:
         """Staged orders of any status, with short column names."""
         return orders_view(self.stg_orders)
 
+    def with_staging(self, staged: DataFrame) -> Tables:
+        """The same tables with a stored staging table in place of the derived one."""
+        other = Tables(self._openers)
+        other.__dict__["stg_orders"] = staged
+        return other
+
     def names(self) -> list[str]:
         return list(self._openers)
 
