@@ -17,6 +17,7 @@ from tradeloom.functions.columns import (
     percent,
     ratio,
 )
+from tradeloom.operators.lookups import lookup_join
 from tradeloom.operators.rollups import (
     distinct_rollup,
     group_total,
@@ -50,8 +51,9 @@ def customer_value(t: Tables) -> DataFrame:
 
 
 def order_counts(t: Tables) -> DataFrame:
-    """Per customer: distinct delivered orders (`n`)."""
-    return distinct_rollup(delivered_orders(t), ["customer_id"], "order_id")
+    """Per customer: distinct delivered orders (`orders`)."""
+    counted = distinct_rollup(delivered_orders(t), ["customer_id"], "order_id")
+    return counted.withColumnRenamed("n", "orders")
 
 
 def customers_by_spend(t: Tables) -> DataFrame:
@@ -72,7 +74,7 @@ def customers_by_spend(t: Tables) -> DataFrame:
     # Grouped once more because a customer row may be missing or repeated; the
     # grouping uses the partitioning of the join.
     merged = (
-        spent.join(customer_places(t), "customer_id", "left")
+        lookup_join(spent, customer_places(t), "customer_id", "left")
         .groupBy("customer_id", "CITY", "STATE")
         .agg(
             F.sum("lines").alias("lines"),
@@ -110,12 +112,12 @@ def profile_by_city(t: Tables) -> DataFrame:
             F.sum("payment_value").alias("paid_sum"),
             F.count("payment_value").alias("paid_cnt"),
         )
-        .join(customer_places(t).where(known), "customer_id")
     )
+    located = lookup_join(per_customer, customer_places(t).where(known), "customer_id")
     # A customer is counted on the first of its payment types.
     types = Window.partitionBy("customer_id", "STATE", "CITY").orderBy("payment_type")
     per_type = (
-        per_customer.withColumn("opens", (F.row_number().over(types) == 1).cast("int"))
+        located.withColumn("opens", (F.row_number().over(types) == 1).cast("int"))
         .groupBy("STATE", "CITY", "payment_type")
         .agg(
             F.sum("opens").alias("customers"),
@@ -168,7 +170,7 @@ def profile_by_state(t: Tables) -> DataFrame:
         measures={"value": F.col("value"), "rows": F.lit(1)},
     ).where(F.col("n_paid") > 0)
     weight, value = F.col("rows_sum"), F.col("value_sum")
-    located = per_customer.join(customer_places(t), "customer_id").select(
+    located = lookup_join(per_customer, customer_places(t), "customer_id").select(
         "STATE",
         "customer_id",
         "n",
@@ -208,9 +210,7 @@ def profile_by_state(t: Tables) -> DataFrame:
 def single_purchase_customers(t: Tables, limit: int | None = 20) -> DataFrame:
     """Share of customers with exactly one delivered order, by city."""
     rolled = distinct_rollup(
-        order_counts(t)
-        .withColumnRenamed("n", "orders")
-        .join(customer_places(t), "customer_id"),
+        lookup_join(order_counts(t), customer_places(t), "customer_id"),
         ["STATE", "CITY"],
         "customer_id",
         flags={"single": F.col("orders") == 1},
@@ -255,11 +255,10 @@ def customers_above_mean(t: Tables) -> DataFrame:
 
 def _value_by_state(t: Tables, value) -> DataFrame:
     """Distinct customers by state with their order counts and lifetime value."""
-    located = (
-        customer_value(t)
-        .select("customer_id", F.col("n").alias("orders"), value.alias("value"))
-        .join(customer_places(t), "customer_id")
+    values = customer_value(t).select(
+        "customer_id", F.col("n").alias("orders"), value.alias("value")
     )
+    located = lookup_join(values, customer_places(t), "customer_id")
     return distinct_rollup(
         located,
         ["STATE"],
@@ -298,9 +297,7 @@ def lifetime_value_by_state(t: Tables) -> DataFrame:
 def recurring_customers(t: Tables) -> DataFrame:
     """One-time and recurring buyers by state."""
     rolled = distinct_rollup(
-        order_counts(t)
-        .withColumnRenamed("n", "orders")
-        .join(customer_places(t), "customer_id"),
+        lookup_join(order_counts(t), customer_places(t), "customer_id"),
         ["STATE"],
         "customer_id",
         flags={"once": F.col("orders") == 1, "again": F.col("orders") > 1},

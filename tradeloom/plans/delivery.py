@@ -14,6 +14,7 @@ from tradeloom.functions.columns import (
     month_start,
     percent,
 )
+from tradeloom.operators.lookups import lookup_join
 from tradeloom.operators.rollups import distinct_rollup, mean_of, ranked
 from tradeloom.plans.customers import customer_places
 from tradeloom.plans.lines import arrived_orders, categorised_items
@@ -32,7 +33,8 @@ def days_to_deliver() -> Column:
 
 def delivery_time_by_state(t: Tables) -> DataFrame:
     """Delivery days by customer state, next to the promised days."""
-    located = arrived_orders(t, "purchased_at").join(customer_places(t), "customer_id")
+    orders = arrived_orders(t, "purchased_at")
+    located = lookup_join(orders, customer_places(t), "customer_id")
     rolled = distinct_rollup(
         located,
         ["STATE"],
@@ -89,7 +91,8 @@ def late_deliveries_report(t: Tables) -> DataFrame:
 
 def delay_rate_by_state(t: Tables) -> DataFrame:
     """Late share by state; mean days of the late orders only."""
-    located = arrived_orders(t, "estimated_at").join(customer_places(t), "customer_id")
+    orders = arrived_orders(t, "estimated_at")
+    located = lookup_join(orders, customer_places(t), "customer_id")
     rolled = distinct_rollup(
         located,
         ["STATE"],

@@ -2,9 +2,7 @@
 
 Order of joins: a fact first takes on the attributes of its dimensions, and the
 join on the order key comes last. The grouping on (keys, order) that follows then
-runs in the partitioning of that join. Dimension joins carry no broadcast hint;
-Spark broadcasts a side whose measured size is below its threshold and otherwise
-shuffles both, splitting skewed partitions.
+runs in the partitioning of that join.
 """
 
 from __future__ import annotations
@@ -13,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.functions.columns import DELIVERED, category_label
+from tradeloom.operators.lookups import lookup_join
 from tradeloom.sources.tables import Tables
 
 
@@ -29,28 +28,26 @@ def arrived_orders(t: Tables, compare_with: str) -> DataFrame:
 
 def categorised_items(t: Tables) -> DataFrame:
     """One row per item of a known product: order_id, product_id, price, CATEGORY."""
-    labelled = t.products.join(t.translation, "product_category_name", "left").select(
+    named = lookup_join(t.products, t.translation, "product_category_name", "left")
+    labelled = named.select(
         "product_id",
         category_label(
             F.col("product_category_name_english"), F.col("product_category_name")
         ).alias("CATEGORY"),
     )
-    return (
-        t.order_items.select("order_id", "product_id", "price")
-        .join(labelled, "product_id")
-    )
+    items = t.order_items.select("order_id", "product_id", "price")
+    return lookup_join(items, labelled, "product_id")
 
 
 def seller_items(t: Tables) -> DataFrame:
     """One row per item of a known seller, with the seller's place."""
-    return t.order_items.select("order_id", "product_id", "seller_id", "price").join(
-        t.sellers.select(
-            "seller_id",
-            F.col("seller_city").alias("CITY"),
-            F.col("seller_state").alias("STATE"),
-        ),
+    items = t.order_items.select("order_id", "product_id", "seller_id", "price")
+    places = t.sellers.select(
         "seller_id",
+        F.col("seller_city").alias("CITY"),
+        F.col("seller_state").alias("STATE"),
     )
+    return lookup_join(items, places, "seller_id")
 
 
 def items_per_order(items: DataFrame, *keys: str) -> DataFrame:

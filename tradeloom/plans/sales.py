@@ -15,6 +15,7 @@ from tradeloom.functions.columns import (
     percent,
     ratio,
 )
+from tradeloom.operators.lookups import lookup_join
 from tradeloom.operators.rollups import (
     distinct_rollup,
     dual_distinct_rollup,
@@ -173,10 +174,8 @@ def pareto_by_category(t: Tables) -> DataFrame:
 def payment_method_by_state(t: Tables) -> DataFrame:
     """Orders and revenue by state and payment type, with the share in the state."""
     orders = delivered_orders(t).select("order_id", "customer_id")
-    placed = orders.join(
-        t.customers.select("customer_id", F.col("customer_state").alias("STATE")),
-        "customer_id",
-    )
+    states = t.customers.select("customer_id", F.col("customer_state").alias("STATE"))
+    placed = lookup_join(orders, states, "customer_id")
     paid = t.order_payments.select(
         "order_id", F.col("payment_type").alias("PAYMENT_METHOD"), "payment_value"
     )
