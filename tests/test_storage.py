@@ -2,6 +2,7 @@ import pytest
 from shop import Shop, rows
 
 from tradeloom.plans import refresh, sales
+from tradeloom.plans.lines import paid_lines
 from tradeloom.plans.catalog import MARTS
 from tradeloom.schemas import SOURCE_TABLES, raw_schema
 from tradeloom.session import new_run_folder
@@ -66,7 +67,7 @@ def test_bucketed_order_tables_join_without_shuffle(spark):
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        paid = sales.delivered_payments(t)
+        paid = paid_lines(t)
         plan = paid._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "Exchange" not in plan
         report = sales.revenue_trend(t).exceptAll(sales.revenue_trend(source))
@@ -116,7 +117,7 @@ def test_refresh_stops_before_marts_when_staging_fails(spark):
 def test_marts_from_the_stored_staging_push_the_status_filter(spark):
     folder = store.Layers(new_run_folder(spark, "staged"))
     t = load_tables(spark, SF_DIR)
-    stored = t.with_staging(refresh.store_staging(spark, t, folder))
+    stored = t.with_stored(stg_orders=refresh.store_staging(spark, t, folder))
     plan = MARTS["mart_peak_hours"](stored)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(ORDER_STATUS,delivered)" in plan
     assert "ReadSchema: struct<ORDER_ID:string,ORDER_STATUS:string,ORDER_PURCHASED_AT" in plan

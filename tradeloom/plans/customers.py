@@ -24,8 +24,7 @@ from tradeloom.operators.rollups import (
     mean_of,
     ranked,
 )
-from tradeloom.plans.lines import delivered_orders
-from tradeloom.plans.sales import delivered_payments
+from tradeloom.plans.lines import delivered_orders, paid_lines
 from tradeloom.sources.tables import Tables
 
 # Smallest group of customers the single-purchase report shows.
@@ -43,7 +42,7 @@ def customer_places(t: Tables) -> DataFrame:
 def customer_value(t: Tables) -> DataFrame:
     """Per customer: distinct paid orders (`n`) and payment statistics (`paid_*`)."""
     return distinct_rollup(
-        delivered_payments(t),
+        paid_lines(t),
         ["customer_id"],
         "order_id",
         measures={"paid": F.col("payment_value")},

@@ -17,7 +17,7 @@ from tradeloom.functions.columns import (
 from tradeloom.operators.lookups import lookup_join
 from tradeloom.operators.rollups import distinct_rollup, mean_of, ranked
 from tradeloom.plans.customers import customer_places
-from tradeloom.plans.lines import arrived_orders, categorised_items
+from tradeloom.plans.lines import arrived_orders, sales_lines
 from tradeloom.plans.sales import MIN_CATEGORY_ORDERS
 from tradeloom.sources.tables import Tables
 
@@ -112,15 +112,13 @@ def delay_rate_by_state(t: Tables) -> DataFrame:
 
 def delay_by_category(t: Tables) -> DataFrame:
     """Late share and mean delivery days (per item row) of larger categories."""
-    arrived = arrived_orders(t, "estimated_at").select(
-        "order_id", is_late().alias("late"), days_to_deliver().alias("took")
-    )
+    both = F.col("delivered_at").isNotNull() & F.col("estimated_at").isNotNull()
     rolled = distinct_rollup(
-        categorised_items(t).join(arrived, "order_id"),
+        sales_lines(t).where(both),
         ["CATEGORY"],
         "order_id",
-        flags={"late": F.col("late")},
-        measures={"took": F.col("took")},
+        flags={"late": is_late()},
+        measures={"took": days_to_deliver()},
     )
     return rolled.where(F.col("n") >= MIN_CATEGORY_ORDERS).select(
         "CATEGORY",

@@ -50,20 +50,55 @@ def seller_items(t: Tables) -> DataFrame:
     return lookup_join(items, places, "seller_id")
 
 
-def items_per_order(items: DataFrame, *keys: str) -> DataFrame:
+def sales_lines(t: Tables) -> DataFrame:
+    """Items of delivered orders with CATEGORY and the order's moments.
+
+    Seven models start here; a refresh stores it once for all of them.
+    """
+    moments = ["purchased_at", "delivered_at", "estimated_at"]
+
+    def build() -> DataFrame:
+        orders = delivered_orders(t).select("order_id", *moments)
+        joined = categorised_items(t).join(orders, "order_id")
+        return joined.select("order_id", "product_id", "CATEGORY", "price", *moments)
+
+    return t.shared("sales_lines", build)
+
+
+def paid_lines(t: Tables) -> DataFrame:
+    """Payments of delivered orders with customer and purchase moment, shared alike."""
+
+    def build() -> DataFrame:
+        orders = delivered_orders(t).select("order_id", "customer_id", "purchased_at")
+        payments = t.order_payments.select("order_id", "payment_type", "payment_value")
+        return payments.join(orders, "order_id")
+
+    return t.shared("paid_lines", build)
+
+
+SHARED_LINES = {"sales_lines": sales_lines, "paid_lines": paid_lines}
+
+
+def delivered_seller_items(t: Tables) -> DataFrame:
+    """Items of delivered orders with the seller's place."""
+    return seller_items(t).join(delivered_orders(t).select("order_id"), "order_id")
+
+
+def lines_per_order(lines: DataFrame, *keys: str) -> DataFrame:
     """How many item rows (`weight`) an order has per key.
 
     Pairing payments or reviews with every item of an order repeats their values
     `weight` times. Carrying the weight gives the same averages without emitting
-    the pairs.
+    the pairs. After the join on the order id this grouping, and a further join on
+    the order id, stay in place.
     """
-    return items.groupBy("order_id", *keys).agg(F.count(F.lit(1)).alias("weight"))
+    return lines.groupBy("order_id", *keys).agg(F.count(F.lit(1)).alias("weight"))
 
 
-def weighted(name: str, total: Column, count: Column) -> list[Column]:
-    """Columns `<name>_total`, `<name>_count` scaled by the pair weight."""
+def weighted(name: str) -> list[Column]:
+    """`<name>_total` and `<name>_count`: an order's sum and count times its weight."""
     weight = F.col("weight")
     return [
-        (total * weight).alias(f"{name}_total"),
-        (count * weight).alias(f"{name}_count"),
+        (F.col(f"{name}_sum") * weight).alias(f"{name}_total"),
+        (F.col(f"{name}_cnt") * weight).alias(f"{name}_count"),
     ]

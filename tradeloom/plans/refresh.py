@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tradeloom.operators.quality import enforce_contract, run_checks, suite
 from tradeloom.plans import fraud
 from tradeloom.plans.catalog import ALL_CHECKS, MARTS, STAGING_CHECKS, Builder
+from tradeloom.plans.lines import SHARED_LINES
 from tradeloom.schemas import contract
 from tradeloom.sources.layers import Layers, raw_tables, replace_table, sync_raw
 from tradeloom.sources.tables import Tables
@@ -49,6 +50,20 @@ def store_staging(spark: SparkSession, t: Tables, layers: Layers) -> DataFrame:
     return stored
 
 
+def store_shared(spark: SparkSession, t: Tables, layers: Layers) -> Tables:
+    """Write the joined lines several marts start from, so they are joined once.
+
+    Written tables outlive lost executors and are read with only the columns a
+    mart needs.
+    """
+    stored = {"stg_orders": t.stg_orders}
+    for name, build in SHARED_LINES.items():
+        lines, path = build(t), layers.staging(name)
+        replace_table(lines, path)
+        stored[name] = spark.read.schema(lines.schema).parquet(path)
+    return t.with_stored(**stored)
+
+
 def store_mart(t: Tables, layers: Layers, name: str, build: Builder) -> None:
     """Build one mart, hold it against its contract, replace the stored table."""
     replace_table(enforce_contract(name, build(t), contract(name)), layers.mart(name))
@@ -104,11 +119,11 @@ def run_refresh(
 
     t = raw_tables(spark, layers, names)
     staged = store_staging(spark, t, layers)
-    t = t.with_staging(staged)
     _stop_on_failures(run_checks("stg_orders", staged, STAGING_CHECKS["stg_orders"]))
     step("staging")
 
-    store_marts(t, layers, detected_at, at_once)
+    shared = store_shared(spark, t.with_stored(stg_orders=staged), layers)
+    store_marts(shared, layers, detected_at, at_once)
     step("marts")
 
     _stop_on_failures(quality_report(spark, staged, layers))

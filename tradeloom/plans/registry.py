@@ -193,7 +193,8 @@ def quality_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = store.Layers(new_run_folder(spark, "suite"))
     t = load_tables(spark, sf_dir)
     staged = refresh.store_staging(spark, t, layers)
-    refresh.store_marts(t.with_staging(staged), layers, DETECTED_AT)
+    shared = refresh.store_shared(spark, t.with_stored(stg_orders=staged), layers)
+    refresh.store_marts(shared, layers, DETECTED_AT)
     return refresh.quality_report(spark, staged, layers)
 
 

@@ -17,9 +17,9 @@ from tradeloom.operators.rollups import distinct_rollup, group_total, mean_of, r
 from tradeloom.plans.delivery import days_to_deliver
 from tradeloom.plans.lines import (
     arrived_orders,
-    categorised_items,
     delivered_orders,
-    items_per_order,
+    lines_per_order,
+    sales_lines,
     weighted,
 )
 from tradeloom.plans.sales import MIN_CATEGORY_ORDERS
@@ -39,28 +39,25 @@ def scores_per_order(t: Tables) -> DataFrame:
     )
 
 
-def reviewed_pairs(t: Tables, items: DataFrame) -> DataFrame:
-    """Delivered, reviewed orders per item key, scores weighted by item rows.
+def reviewed_orders(t: Tables, lines: DataFrame, *keys: str) -> DataFrame:
+    """Reviewed orders per item key, scores weighted by item rows.
 
     Both sides hold one row per order (and item key), so an order with many items
     and many reviews does not multiply out.
     """
-    return (
-        items.join(scores_per_order(t), "order_id")
-        .join(delivered_orders(t).select("order_id"), "order_id")
-        .select("*", *weighted("score", F.col("score_sum"), F.col("score_cnt")))
-    )
+    per_order = lines_per_order(lines, *keys).join(scores_per_order(t), "order_id")
+    return per_order.select("*", *weighted("score"))
 
 
 def score_mean() -> Column:
-    """Weighted mean score after a rollup of `reviewed_pairs`."""
+    """Weighted mean score after a rollup of `reviewed_orders`."""
     return ratio(F.col("score_total_sum"), F.col("score_count_sum"))
 
 
 def reviews_by_category(t: Tables) -> DataFrame:
     """Scores and good/bad shares of the categories with enough orders."""
     rolled = distinct_rollup(
-        reviewed_pairs(t, items_per_order(categorised_items(t), "CATEGORY")),
+        reviewed_orders(t, sales_lines(t), "CATEGORY"),
         ["CATEGORY"],
         "order_id",
         flags={name: F.col(name) for name in ("five", "one", "positive", "negative")},

@@ -26,7 +26,9 @@ from tradeloom.operators.rollups import (
 from tradeloom.plans.lines import (
     categorised_items,
     delivered_orders,
-    items_per_order,
+    lines_per_order,
+    paid_lines,
+    sales_lines,
     weighted,
 )
 from tradeloom.sources.tables import Tables
@@ -35,23 +37,10 @@ from tradeloom.sources.tables import Tables
 MIN_CATEGORY_ORDERS = 100
 
 
-def delivered_category_items(t: Tables) -> DataFrame:
-    """Items of delivered orders with CATEGORY and the purchase moment."""
-    orders = delivered_orders(t).select("order_id", "purchased_at")
-    return categorised_items(t).join(orders, "order_id")
-
-
-def delivered_payments(t: Tables) -> DataFrame:
-    """Payments of delivered orders with customer and purchase moment."""
-    orders = delivered_orders(t).select("order_id", "customer_id", "purchased_at")
-    payments = t.order_payments.select("order_id", "payment_type", "payment_value")
-    return payments.join(orders, "order_id")
-
-
 def top_categories(t: Tables, limit: int = 10) -> DataFrame:
     """Best categories by revenue; the share is of all categories' revenue."""
     rolled = dual_distinct_rollup(
-        delivered_category_items(t),
+        sales_lines(t),
         ["CATEGORY"],
         first="order_id",
         second="product_id",
@@ -71,7 +60,7 @@ def top_categories(t: Tables, limit: int = 10) -> DataFrame:
 def monthly_revenue(t: Tables) -> DataFrame:
     """One row per month with orders, revenue sum and mean payment (unrounded)."""
     moment = F.col("purchased_at")
-    paid = delivered_payments(t).select(
+    paid = paid_lines(t).select(
         "order_id", month_start(moment).alias("MONTH_DATE"), "payment_value"
     )
     rolled = distinct_rollup(
@@ -127,7 +116,7 @@ def cancellation_rate_by_category(t: Tables, limit: int | None = 15) -> DataFram
 def ticket_by_category(t: Tables) -> DataFrame:
     """Item price statistics of the categories with enough orders."""
     rolled = distinct_rollup(
-        delivered_category_items(t),
+        sales_lines(t),
         ["CATEGORY"],
         "order_id",
         measures={"price": F.col("price")},
@@ -152,7 +141,7 @@ def pareto_by_category(t: Tables) -> DataFrame:
 
     The running window sees one row per category, a small dimension.
     """
-    revenue = delivered_category_items(t).groupBy("CATEGORY").agg(
+    revenue = sales_lines(t).groupBy("CATEGORY").agg(
         half_up(F.sum("price"), 2).alias("TOTAL_REVENUE")
     )
     order = [descending("TOTAL_REVENUE"), ascending("CATEGORY")]
@@ -211,16 +200,9 @@ def installments_by_category(t: Tables, limit: int | None = 15) -> DataFrame:
         )
     )
     paired = (
-        items_per_order(categorised_items(t), "CATEGORY")
+        lines_per_order(sales_lines(t), "CATEGORY")
         .join(card, "order_id")
-        .join(delivered_orders(t).select("order_id"), "order_id")
-        .select(
-            "order_id",
-            "CATEGORY",
-            "inst_max",
-            *weighted("inst", F.col("inst_sum"), F.col("inst_cnt")),
-            *weighted("value", F.col("value_sum"), F.col("value_cnt")),
-        )
+        .select("order_id", "CATEGORY", "inst_max", *weighted("inst"), *weighted("value"))
     )
     names = ["inst_max", "inst_total", "inst_count", "value_total", "value_count"]
     rolled = distinct_rollup(

@@ -18,12 +18,8 @@ from tradeloom.functions.columns import (
     weekday_number,
 )
 from tradeloom.operators.rollups import distinct_rollup, group_total, ranked
-from tradeloom.plans.lines import delivered_orders
-from tradeloom.plans.sales import (
-    delivered_category_items,
-    delivered_payments,
-    monthly_revenue,
-)
+from tradeloom.plans.lines import delivered_orders, paid_lines, sales_lines
+from tradeloom.plans.sales import monthly_revenue
 from tradeloom.sources.tables import Tables
 
 # Label -> month*100 + day, the same in every year.
@@ -123,7 +119,7 @@ def peak_hours_report(t: Tables) -> DataFrame:
 
 def top_category_by_month(t: Tables) -> DataFrame:
     """The category with the highest revenue in each month."""
-    items = delivered_category_items(t).select(
+    items = sales_lines(t).select(
         "order_id", "CATEGORY", "price", month_start(F.col("purchased_at")).alias("m")
     )
     rolled = distinct_rollup(
@@ -160,7 +156,7 @@ def date_label(day: Column) -> Column:
 
 def seasonal_dates(t: Tables) -> DataFrame:
     """Orders and revenue per day, labelled with its commercial date."""
-    paid = delivered_payments(t).select(
+    paid = paid_lines(t).select(
         "order_id", day_start(F.col("purchased_at")).alias("ORDER_DATE"), "payment_value"
     )
     rolled = distinct_rollup(

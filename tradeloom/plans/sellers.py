@@ -23,11 +23,10 @@ from tradeloom.operators.rollups import (
 from tradeloom.plans.delivery import days_late
 from tradeloom.plans.lines import (
     arrived_orders,
-    delivered_orders,
-    items_per_order,
+    delivered_seller_items,
     seller_items,
 )
-from tradeloom.plans.reviews import reviewed_pairs, score_mean
+from tradeloom.plans.reviews import reviewed_orders, score_mean
 from tradeloom.sources.tables import Tables
 
 # Fewest orders of a seller a seller ranking shows.
@@ -35,10 +34,6 @@ MIN_SELLER_ORDERS = 30
 SELLER = ["seller_id", "CITY", "STATE"]
 
 
-def delivered_seller_items(t: Tables) -> DataFrame:
-    return seller_items(t).join(delivered_orders(t).select("order_id"), "order_id")
-
-
 def top_sellers(t: Tables, limit: int = 20) -> DataFrame:
     """Best sellers by revenue; the share is of all sellers' revenue."""
     rolled = dual_distinct_rollup(
@@ -93,7 +88,7 @@ def sellers_with_highest_delay(t: Tables, limit: int | None = 20) -> DataFrame:
 def sellers_best_reviews(t: Tables, limit: int | None = 20) -> DataFrame:
     """Best reviewed sellers; scores weigh once per item row of the order."""
     rolled = distinct_rollup(
-        reviewed_pairs(t, items_per_order(seller_items(t), *SELLER)),
+        reviewed_orders(t, delivered_seller_items(t), *SELLER),
         SELLER,
         "order_id",
         flags={name: F.col(name) for name in ("five", "one", "positive")},

@@ -17,11 +17,16 @@ class Tables:
     Tables are reached as attributes named in `RAW_DDL`: `t.orders`, `t.customers`.
     """
 
-    def __init__(self, openers: Mapping[str, Callable[[], DataFrame]]):
+    def __init__(
+        self,
+        openers: Mapping[str, Callable[[], DataFrame]],
+        stored: Mapping[str, DataFrame] | None = None,
+    ):
         unknown = set(openers) - set(RAW_DDL)
         if unknown:
             raise ValueError(f"undeclared tables: {sorted(unknown)}")
         self._openers = dict(openers)
+        self._shared = dict(stored or {})
 
     @classmethod
     def of(cls, **frames: DataFrame) -> Tables:
@@ -38,18 +43,22 @@ class Tables:
     @cached_property
     def stg_orders(self) -> DataFrame:
         """The staging model over the raw orders."""
-        return stage_orders(self.orders)
+        return self.shared("stg_orders", lambda: stage_orders(self.orders))
 
     @cached_property
     def placed_orders(self) -> DataFrame:
         """Staged orders of any status, with short column names."""
         return orders_view(self.stg_orders)
 
-    def with_staging(self, staged: DataFrame) -> Tables:
-        """The same tables with a stored staging table in place of the derived one."""
-        other = Tables(self._openers)
-        other.__dict__["stg_orders"] = staged
-        return other
+    def shared(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A frame several models start from: the stored one if there is one."""
+        if name not in self._shared:
+            self._shared[name] = build()
+        return self._shared[name]
+
+    def with_stored(self, **frames: DataFrame) -> Tables:
+        """The same tables, with stored frames in place of derived shared ones."""
+        return Tables(self._openers, frames)
 
     def names(self) -> list[str]:
         return list(self._openers)
