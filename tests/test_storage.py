@@ -5,7 +5,7 @@ from tradeloom.plans import refresh, sales
 from tradeloom.plans.lines import paid_lines
 from tradeloom.plans.catalog import MARTS
 from tradeloom.schemas import SOURCE_TABLES, raw_schema
-from tradeloom.session import new_run_folder
+from tradeloom.session import new_run_folder, shuffle_partitions_for, size_shuffles
 from tradeloom.sources import layers as store
 from tradeloom.sources.bridge import load_tables
 from tradeloom.sources.landing import read_csv_folder
@@ -114,6 +114,27 @@ def test_refresh_stops_before_marts_when_staging_fails(spark):
         refresh.open_mart(spark, folder, "mart_top_sellers").count()
 
 
+def test_quarantine_moves_malformed_rows_to_the_error_layer(spark):
+    folder = store.Layers(new_run_folder(spark, "quarantine"))
+    shop = small_shop(spark).order("bad", bought="yesterday")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        refresh.run_refresh(spark, shop.tables(), folder)
+    refresh.run_refresh(spark, shop.tables(), folder, quarantine=True)
+    rejected = store.open_table(spark, folder.rejected("orders"), "orders")
+    assert [r["order_id"] for r in rows(rejected)] == ["bad"]
+    assert [r["ORDER_ID"] for r in rows(spark.table("stg_orders"))] == ["o1"]
+
+
+def test_shuffles_are_sized_by_input_unless_set(spark):
+    assert shuffle_partitions_for(0, cores=8) == 8
+    assert shuffle_partitions_for(0, cores=8000) == 200
+    assert shuffle_partitions_for(1 << 40, cores=8) == 4096
+    assert shuffle_partitions_for(100 << 40, cores=8000) == 32_000
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    size_shuffles(spark, "somewhere", lambda: 100 << 40)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
 def test_marts_from_the_stored_staging_push_the_status_filter(spark):
     folder = store.Layers(new_run_folder(spark, "staged"))
     t = load_tables(spark, SF_DIR)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,6 +60,15 @@ def stage_orders(raw_orders: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
+def is_malformed() -> Column:
+    """Whether any timestamp text of a raw order is present but unreadable."""
+    unreadable = [
+        F.col(raw).isNotNull() & F.col(raw).try_cast("timestamp_ntz").isNull()
+        for raw in PARSED_FROM.values()
+    ]
+    return reduce(Column.__or__, unreadable)
+
+
 def orders_view(staged: DataFrame) -> DataFrame:
     """The columns the models use, under short names."""
     return staged.select(

@@ -22,6 +22,10 @@ def card_members(t: Tables) -> DataFrame:
     More than one distinct id means the smallest differs from the largest, which
     partial aggregation decides per task. The distinct counts that follow then only
     see the few customers behind shared tokens.
+
+    The list of shared tokens gets an exchange of its own. Its real size is then
+    known before the join: a short list is broadcast, and for a long one the
+    partition of a token with very many customers can be split.
     """
     people = t.customers_extended.where(F.col("credit_card_token").isNotNull())
     shared = (
@@ -29,6 +33,7 @@ def card_members(t: Tables) -> DataFrame:
         .agg(F.min("customer_id").alias("low_id"), F.max("customer_id").alias("high_id"))
         .where(F.col("low_id") != F.col("high_id"))
         .select("credit_card_token")
+        .hint("rebalance")
     )
     return people.join(shared, "credit_card_token", "left_semi")
 
@@ -110,7 +115,8 @@ def fraud_customers(t: Tables) -> DataFrame:
         F.col("is_synthetic").alias("IS_SYNTHETIC"),
         F.col("data_source").alias("DATA_SOURCE"),
     )
-    figures = shared_cards(t).drop("DIFFERENT_CITIES")
+    # An exchange of its own, for the reason given in `card_members`.
+    figures = shared_cards(t).drop("DIFFERENT_CITIES").hint("rebalance")
     return flagged.join(figures, "CREDIT_CARD_TOKEN").select(
         *flagged.columns,
         "CUSTOMERS_SHARING_CARD",

@@ -8,11 +8,14 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tradeloom.operators.lookups import input_bytes
 from tradeloom.operators.quality import enforce_contract, run_checks, suite
+from tradeloom.operators.staging import is_malformed
 from tradeloom.plans import fraud
 from tradeloom.plans.catalog import ALL_CHECKS, MARTS, STAGING_CHECKS, Builder
 from tradeloom.plans.lines import SHARED_LINES
 from tradeloom.schemas import contract
+from tradeloom.session import size_shuffles
 from tradeloom.sources.layers import Layers, raw_tables, replace_table, sync_raw
 from tradeloom.sources.tables import Tables
 
@@ -98,15 +101,31 @@ def quality_report(spark: SparkSession, staged: DataFrame, layers: Layers) -> Da
     return suite({"stg_orders": staged, **frames}, ALL_CHECKS)
 
 
+def set_malformed_aside(t: Tables, layers: Layers) -> Tables:
+    """Move raw orders with unreadable timestamps to the error layer.
+
+    The rest is staged as usual, so one bad row does not stop the refresh and no row
+    is dropped unseen.
+    """
+    bad = is_malformed()
+    replace_table(t.orders.where(bad), layers.rejected("orders"))
+    return t.with_raw(orders=t.orders.where(~bad))
+
+
 def run_refresh(
     spark: SparkSession,
     source: Tables,
     layers: Layers,
     detected_at: str | None = None,
     at_once: int = 4,
+    quarantine: bool = False,
     on_step: Callable[[str], None] | None = None,
 ) -> Refresh:
-    """Run all steps; marts only start when staging passed its checks."""
+    """Run all steps; marts only start when staging passed its checks.
+
+    Malformed timestamps fail the staging step, or, with `quarantine`, move their
+    rows to the error layer.
+    """
     done = Refresh(layers)
 
     def step(name: str) -> None:
@@ -118,6 +137,11 @@ def run_refresh(
     step("raw_sync")
 
     t = raw_tables(spark, layers, names)
+    size_shuffles(
+        spark, layers.root, lambda: sum(map(input_bytes, t.by_name().values()))
+    )
+    if quarantine:
+        t = set_malformed_aside(t, layers)
     staged = store_staging(spark, t, layers)
     _stop_on_failures(run_checks("stg_orders", staged, STAGING_CHECKS["stg_orders"]))
     step("staging")

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradeloom.session import tune
+from tradeloom.operators.lookups import input_bytes
+from tradeloom.session import size_shuffles, tune
 from tradeloom.sources.tables import Tables
 
 # Columns read from the inputs. Declared, so that opening a table costs no job.
@@ -46,6 +47,10 @@ class Bridge:
         reader = self.spark.read.schema(INPUT_DDL[name])
         return reader.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def size(self) -> int:
+        """Bytes of all input files."""
+        return sum(input_bytes(self.read(name)) for name in INPUT_DDL)
+
     def order_facts(self) -> DataFrame:
         """Typed order moments, before they are presented as text."""
         days = "cast((k * 13) % 43 + 3 as int)"
@@ -208,6 +213,7 @@ class Bridge:
 def load_tables(spark: SparkSession, sf_dir: str) -> Tables:
     """All raw tables, derived lazily from the parquet files in `sf_dir`."""
     bridge = Bridge(tune(spark), sf_dir)
+    size_shuffles(spark, sf_dir, bridge.size)
     return Tables(
         {
             "orders": bridge.orders,

@@ -60,6 +60,11 @@ class Tables:
         """The same tables, with stored frames in place of derived shared ones."""
         return Tables(self._openers, frames)
 
+    def with_raw(self, **frames: DataFrame) -> Tables:
+        """The same tables with some raw tables replaced; nothing shared is kept."""
+        replaced = {name: lambda frame=frame: frame for name, frame in frames.items()}
+        return Tables({**self._openers, **replaced})
+
     def names(self) -> list[str]:
         return list(self._openers)
 
