@@ -333,6 +333,15 @@ def test_card_risk_levels(spark):
     assert (four["DIFFERENT_NAMES"], four["NAMES_LIST"]) == (2, "t4 name 0 | t4 name 1")
 
 
+def test_card_on_two_rows_of_one_customer_is_not_shared(spark):
+    shop = Shop(spark).person("c1", "n", "t").person("c1", "n", "t")
+    shop.person("c2", None, "u").person("c3", None, "u")
+    (card,) = rows(fraud.shared_cards(shop.tables()))
+    assert card["CREDIT_CARD_TOKEN"] == "u"
+    assert (card["DIFFERENT_NAMES"], card["NAMES_LIST"]) == (0, None)
+    assert len(rows(fraud.fraud_customers(shop.tables()))) == 2
+
+
 def test_other_fraud_rules(spark):
     shop = Shop(spark).order("o1", bought="2020-01-02 00:00:00", delivered="2020-01-01 00:00:00")
     shop.order("o2", delivered=None).pay("o1", -1.0).pay("o2", 0.0)
