@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tradeloom.llm.quality import op1_quality
+from tradeloom.llm.urls import op2_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_urls": op2_urls,
 }
 
 ORACLE_SQL: dict[str, str] = {}
