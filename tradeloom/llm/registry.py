@@ -6,12 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tradeloom.llm.bit_slices import OP4_SQL, op4_top_products
+from tradeloom.llm.neighbours import OP10_SQL, op10_nearest
 from tradeloom.llm.quality import op1_quality
 from tradeloom.llm.urls import op2_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_urls": op2_urls,
+    "op4_top_products": op4_top_products,
+    "op10_nearest": op10_nearest,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_top_products": OP4_SQL,
+    "op10_nearest": OP10_SQL,
+}
