@@ -10,11 +10,13 @@ from tradeloom.llm.bit_slices import OP4_SQL, op4_top_products
 from tradeloom.llm.bpe import op9_bpe
 from tradeloom.llm.neighbours import OP10_SQL, op10_nearest
 from tradeloom.llm.quality import op1_quality
+from tradeloom.llm.secrets import op3_secrets
 from tradeloom.llm.urls import op2_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_urls": op2_urls,
+    "op3_secrets": op3_secrets,
     "op4_top_products": op4_top_products,
     "op9_bpe": op9_bpe,
     "op10_nearest": op10_nearest,
