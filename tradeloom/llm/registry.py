@@ -11,6 +11,7 @@ from tradeloom.llm.bpe import op9_bpe
 from tradeloom.llm.neighbours import OP10_SQL, op10_nearest
 from tradeloom.llm.quality import op1_quality
 from tradeloom.llm.secrets import op3_secrets
+from tradeloom.llm.toxicity import op8_toxicity
 from tradeloom.llm.urls import op2_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_urls": op2_urls,
     "op3_secrets": op3_secrets,
     "op4_top_products": op4_top_products,
+    "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
     "op10_nearest": op10_nearest,
 }
