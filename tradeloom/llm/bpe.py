@@ -3,8 +3,8 @@
 A text is split by the tokenizer's pattern; each word starts as its bytes. A leaf of the
 tree holds the rank of the pair at its place, the root yields the lowest rank and among
 equals the leftmost, one merge changes three leaves and their paths, and a word is done
-when the root holds no rank. Words of one size class are merged together: the trees are
-rows of one array. Merged words are remembered within a task.
+when the root holds no rank. Words of one size class are merged together: their trees are
+rows of one array; a very long word has a tree of its own. Merged words are remembered within a task.
 
 A null text is empty and has no tokens. The special text <|endoftext|> becomes its own id,
 as the tokenizer does; decoding puts it back. Long words cost O(n log n).
@@ -30,6 +30,8 @@ VOCABULARY = "byte_bpe_50k.json"
 LEAVES_AT_ONCE, REMEMBERED = 1 << 20, 400_000
 #: Fixed value: how the vocabulary file cuts texts into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Words of more bytes than this have a tree of their own.
+LONG_WORD = 256
 NONE = np.int64(1) << 62
 
 
@@ -67,6 +69,7 @@ class Bpe:
         self.keys, self.ranks, self.made = keys[order], order.astype(np.int64), made
         self.pattern = regex.compile(PATTERN)
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
+        self.pairs: dict[int, int] = {}
         self.words: dict[str, bytes] = {}
 
     def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -118,6 +121,48 @@ class Bpe:
             active = active[tree[active, 1] != NONE]
         return ids
 
+    def merge_long(self, ids: list[int]) -> list[int]:
+        """Merges one word with a tree of its own, for words too long for shared rows."""
+        if not self.pairs:
+            self.pairs = dict(zip(self.keys.tolist(), self.ranks.tolist()))
+        pairs, made, width, none = self.pairs, self.made, int(self.width), int(NONE)
+        n = len(ids)
+        leaves = 1 << (n - 1).bit_length()
+        following, previous = list(range(1, n + 1)), list(range(-1, n - 1))
+
+        def value(at: int) -> int:
+            after = following[at]
+            rank = pairs.get(ids[at] * width + ids[after]) if after < n else None
+            return none if rank is None else rank * leaves + at
+
+        tree = [none] * (2 * leaves)
+        tree[leaves : leaves + n] = map(value, range(n))
+        for node in range(leaves - 1, 0, -1):
+            tree[node] = min(tree[2 * node], tree[2 * node + 1])
+
+        def put(at: int, leaf: int) -> None:
+            node = at + leaves
+            tree[node] = leaf
+            while node > 1:
+                node >>= 1
+                least = min(tree[2 * node], tree[2 * node + 1])
+                if tree[node] == least:
+                    return
+                tree[node] = least
+
+        while tree[1] != none:
+            rank, at = divmod(tree[1], leaves)
+            gone = following[at]
+            ids[at], ids[gone] = int(made[rank]), -1
+            following[at] = following[gone]
+            if following[at] < n:
+                previous[following[at]] = at
+            put(gone, none)
+            put(at, value(at))
+            if previous[at] >= 0:
+                put(previous[at], value(previous[at]))
+        return [i for i in ids if i >= 0]
+
     def learn_words(self, words: list[str]) -> None:
         """Adds the ids of words, as little-endian 32-bit integers, to the memory."""
         classes: dict[int, list[tuple[str, bytes]]] = {}
@@ -125,6 +170,9 @@ class Bpe:
             data = word.encode()
             if len(data) == 1:
                 self.words[word] = int(self.first_ids[data[0]]).to_bytes(4, "little")
+            elif len(data) > LONG_WORD:
+                ids = self.first_ids[np.frombuffer(data, np.uint8)].tolist()
+                self.words[word] = np.array(self.merge_long(ids), "<u4").tobytes()
             else:
                 classes.setdefault(max(8, 1 << (len(data) - 1).bit_length()), []).append((word, data))
         for leaves, members in classes.items():

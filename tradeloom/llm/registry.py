@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tradeloom.llm.bit_slices import OP4_SQL, op4_top_products
 from tradeloom.llm.bpe import op9_bpe
 from tradeloom.llm.neighbours import OP10_SQL, op10_nearest
+from tradeloom.llm.packing import op7_packing
 from tradeloom.llm.quality import op1_quality
 from tradeloom.llm.secrets import op3_secrets
 from tradeloom.llm.toxicity import op8_toxicity
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_urls": op2_urls,
     "op3_secrets": op3_secrets,
     "op4_top_products": op4_top_products,
+    "op7_packing": op7_packing,
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
     "op10_nearest": op10_nearest,
