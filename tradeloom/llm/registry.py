@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tradeloom.llm.bit_slices import OP4_SQL, op4_top_products
 from tradeloom.llm.bpe import op9_bpe
+from tradeloom.llm.near_copies import op6_near_copies
 from tradeloom.llm.neighbours import OP10_SQL, op10_nearest
 from tradeloom.llm.packing import op7_packing
 from tradeloom.llm.quality import op1_quality
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_urls": op2_urls,
     "op3_secrets": op3_secrets,
     "op4_top_products": op4_top_products,
+    "op6_near_copies": op6_near_copies,
     "op7_packing": op7_packing,
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
