@@ -12,6 +12,7 @@ from tradeloom.llm.near_copies import op6_near_copies
 from tradeloom.llm.neighbours import OP10_SQL, op10_nearest
 from tradeloom.llm.packing import op7_packing
 from tradeloom.llm.quality import op1_quality
+from tradeloom.llm.repeats import op5_suffix_dedup
 from tradeloom.llm.secrets import op3_secrets
 from tradeloom.llm.toxicity import op8_toxicity
 from tradeloom.llm.urls import op2_urls
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_urls": op2_urls,
     "op3_secrets": op3_secrets,
     "op4_top_products": op4_top_products,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_near_copies": op6_near_copies,
     "op7_packing": op7_packing,
     "op8_toxicity": op8_toxicity,

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.llm.tables import bounded_sample, table, written
+from tradeloom.llm.words import replace_texts
 
 #: The patterns of base findings, in order, and their least lengths.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -301,22 +302,6 @@ def mask_secrets(documents: DataFrame, model: bytes | None) -> DataFrame:
     return documents.mapInArrow(mask, documents.schema)
 
 
-def replace_texts(batch: pa.RecordBatch, new: dict[int, str]) -> pa.RecordBatch:
-    """The batch with new texts in some rows, n_chars following where it is a column."""
-    if not new:
-        return batch
-    flags = np.zeros(batch.num_rows, bool)
-    flags[list(new)] = True
-    rows = sorted(new)
-    columns = {"text": [new[r] for r in rows], "n_chars": [len(new[r]) for r in rows]}
-    for name, values in columns.items():
-        if name in batch.schema.names:
-            at = batch.schema.get_field_index(name)
-            old = batch.column(at)
-            batch = batch.set_column(at, batch.schema.field(at), pc.replace_with_mask(old, pa.array(flags), pa.array(values, old.type)))
-    return batch
-
-
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return scan_secrets(documents, learn_secrets(documents))

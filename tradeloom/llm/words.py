@@ -1,4 +1,4 @@
-"""Words and their hashes over Arrow text columns, computed for many texts at once.
+"""Words, hashes and changes of Arrow text columns, computed for many texts at once.
 
 A chunk is a run of whole texts whose UTF-8 bytes lie behind each other in one numpy
 array. Word hashes come from prefix sums of a polynomial in one odd 64-bit base, so that
@@ -100,3 +100,19 @@ def token_bounds(data: np.ndarray, bounds: np.ndarray, classes: np.ndarray) -> t
     kept = kinds[starts] != 0
     starts, ends = starts[kept], ends[kept]
     return starts, ends, np.searchsorted(bounds, starts, "right") - 1
+
+
+def replace_texts(batch: pa.RecordBatch, new: dict[int, str]) -> pa.RecordBatch:
+    """The batch with new texts in some rows, n_chars following where it is a column."""
+    if not new:
+        return batch
+    flags = np.zeros(batch.num_rows, bool)
+    flags[list(new)] = True
+    rows = sorted(new)
+    columns = {"text": [new[r] for r in rows], "n_chars": [len(new[r]) for r in rows]}
+    for name, values in columns.items():
+        if name in batch.schema.names:
+            at = batch.schema.get_field_index(name)
+            old = batch.column(at)
+            batch = batch.set_column(at, batch.schema.field(at), pc.replace_with_mask(old, pa.array(flags), pa.array(values, old.type)))
+    return batch
