@@ -31,9 +31,10 @@ def _small_star(links: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """node and component (its least reachable node) of all nodes of links (a, b).
+    """node and component (its least reachable node) of the nodes of links (a, b).
 
-    Links to oneself are ignored; nodes that no other link names are left out. Every round
+    Nodes that are their own component are left out: the least ones, and those that only
+    link to themselves. Every round
     is written to the shared folder, so a lost executor costs one round at most.
     """
     links = written(links.select("a", "b").where("a <> b").distinct(), "links")
