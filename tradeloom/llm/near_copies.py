@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.llm.components import components
-from tradeloom.llm.tables import table, written
+from tradeloom.llm.tables import free_name, table, written
 from tradeloom.llm.words import LOWER, WHITE, RangeHash, mix, text_chunks, token_bounds
 
 WORDS = 5
@@ -262,9 +262,9 @@ def keep_first_copies(documents: DataFrame) -> DataFrame:
 
     Rows that repeat an id stay or go together; rows with a null id stay.
     """
-    grouped = group_copies(documents)
-    gone = grouped.where("doc_id <> component_id").select(F.col("doc_id").alias("copied")).distinct()
-    return documents.join(written(gone, "copied"), F.col("doc_id") == F.col("copied"), "left_anti")
+    copied = free_name(documents, "copied")
+    gone = group_copies(documents).where("doc_id <> component_id").select(F.col("doc_id").alias(copied)).distinct()
+    return documents.join(written(gone, "copied"), F.col("doc_id") == F.col(copied), "left_anti")
 
 
 def op6_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.llm.suffixes import common_prefixes, suffix_array
-from tradeloom.llm.tables import table, written
+from tradeloom.llm.tables import free_name, table, written
 from tradeloom.llm.words import RangeHash, replace_texts, text_bytes, text_chunks
 
 #: Length of a repeat and of the hashed strings that serve as anchors.
@@ -227,15 +227,15 @@ def covered(first: list[int], end: list[int], size: int) -> np.ndarray:
     return np.cumsum(steps[:-1]) > 0
 
 
-def with_ranges(documents: DataFrame) -> DataFrame:
-    """The documents, all columns, with `first` and `end` lists of what repeats (or null)."""
+def with_ranges(documents: DataFrame, tag: str) -> DataFrame:
+    """The documents, all columns, with the lists of first and end bytes that repeat (or
+    null) in the columns `tag`_first and `tag`_end."""
     found = repeated_ranges(documents).distinct().groupBy(*TEXT)
     listed = written(found.agg(F.collect_list(F.struct("first", "end")).alias("found")), "ranges")
-    listed = listed.select(F.col("text_a").alias("_a"), F.col("text_b").alias("_b"), F.col("found.first").alias("_first"), F.col("found.end").alias("_end"))
-    a, b = digests(F.col("text"))
-    marked = documents.withColumns({"_text_a": a, "_text_b": b})
-    on = (marked["_text_a"] == listed["_a"]) & (marked["_text_b"] == listed["_b"])
-    return marked.join(listed, on, "left").drop("_text_a", "_text_b", "_a", "_b")
+    names = {"text_a": f"{tag}_a", "text_b": f"{tag}_b", "found.first": f"{tag}_first", "found.end": f"{tag}_end"}
+    listed = listed.select(*(F.col(old).alias(new) for old, new in names.items()))
+    keys = dict(zip((f"{tag}_a", f"{tag}_b"), digests(F.col("text"))))
+    return documents.withColumns(keys).join(listed, list(keys), "left").drop(*keys)
 
 
 def digest_removals(documents: DataFrame) -> DataFrame:
@@ -247,9 +247,9 @@ def digest_removals(documents: DataFrame) -> DataFrame:
             out: list[list] = [[], [], [], []]
             for row in range(batch.num_rows):
                 text = data[bounds[row] : bounds[row + 1]]
-                first, gone, spans = batch.column("_first")[row].as_py(), 0, 0
+                first, gone, spans = batch.column("found_first")[row].as_py(), 0, 0
                 if first:
-                    flags = covered(first, batch.column("_end")[row].as_py(), len(text))
+                    flags = covered(first, batch.column("found_end")[row].as_py(), len(text))
                     gone = int(flags.sum())
                     spans = int(flags[0]) + int((flags[1:] & ~flags[:-1]).sum())
                     text = text[~flags]
@@ -258,8 +258,8 @@ def digest_removals(documents: DataFrame) -> DataFrame:
             types = (pa.int64(), pa.int64(), pa.int64(), pa.string())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(x, t) for x, t in zip(out, types))], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    rows = with_ranges(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    return rows.select("doc_id", "text", "_first", "_end").mapInArrow(digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    rows = with_ranges(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "found")
+    return rows.select("doc_id", "text", "found_first", "found_end").mapInArrow(digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def kept_text(text: str, first: list[int], end: list[int]) -> str:
@@ -273,16 +273,16 @@ def kept_text(text: str, first: list[int], end: list[int]) -> str:
 
 def drop_repeats(documents: DataFrame) -> DataFrame:
     """The documents, all rows and columns, without repeating passages; n_chars follows."""
-    names = documents.columns
+    names, tag = documents.columns, free_name(documents, "found")
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            first = batch.column("_first")
+            first, end = batch.column(f"{tag}_first"), batch.column(f"{tag}_end")
             rows = np.flatnonzero(np.asarray(first.is_valid())).tolist()
-            new = {r: kept_text(batch.column("text")[r].as_py(), first[r].as_py(), batch.column("_end")[r].as_py()) for r in rows}
+            new = {r: kept_text(batch.column("text")[r].as_py(), first[r].as_py(), end[r].as_py()) for r in rows}
             yield replace_texts(batch.select(names), new)
 
-    return with_ranges(documents).mapInArrow(drop, documents.schema)
+    return with_ranges(documents, tag).select(*names, f"{tag}_first", f"{tag}_end").mapInArrow(drop, documents.schema)
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

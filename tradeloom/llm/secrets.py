@@ -5,9 +5,10 @@ characters with a digit; every one is scored by a small convolutional network in
 over its characters and the text around it, long ones piece by piece. The network learns
 from a bounded sample of findings, labelled 1 where a base finding overlaps the candidate;
 half of the learned examples lose their surroundings, so that the shape of a key counts by
-itself. Scores are calibrated on findings kept aside (Platt), and the threshold lies
-halfway between the largest that finds RECALL of those and the next finding of label 0. Candidates beyond it that no base finding
-overlaps are added as kind `model`.
+itself. Scores are calibrated (Platt) on findings kept aside, with and without their
+surroundings. The threshold lies halfway between the largest that finds RECALL of those
+and the next finding of label 0. Candidates beyond it that no base finding overlaps are
+added as kind `model`.
 
 A null text is empty and has no findings. Where the sample lacks findings of either label
 there is no network and base findings stand alone. Repeated rows are scanned alike.
@@ -37,14 +38,14 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "model")
 ASSIGN_LEAST, ACCESS_LEAST = 6, 20
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{16,}")
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{16,}={0,2}")
 #: Patterns in the syntax of the Arrow kernels that pick the texts to scan; each matches
 #: at least where its counterpart does.
 PICKS = (
     r"(?i)(password|passwd|secret|token|api_?key)[\"']? *[:=]",
     r"AKIA[A-Z0-9]{16}",
     r"[0-9a-f]{24}",
-    r"[A-Za-z0-9+/_=-]{16}",
+    r"[A-Za-z0-9+/_-]{16}",
 )
 
 #: Documents and findings learned from.
@@ -223,7 +224,8 @@ def fit_network(findings: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"network": []})
     network = Network()
     network.learn(codes[~aside], labels[~aside])
-    network.calibrate(codes[aside], labels[aside])
+    bare = np.where(codes[aside] > 128, codes[aside], 0)
+    network.calibrate(np.concatenate([codes[aside], bare]), np.tile(labels[aside], 2))
     return pd.DataFrame({"network": [network.to_bytes()]})
 
 

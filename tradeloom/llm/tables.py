@@ -56,3 +56,11 @@ def labelled_texts(documents: DataFrame, labels: DataFrame, label: str, folds: i
         .groupBy("doc_id")
         .agg(F.min("text").alias("text"), F.max("label").alias("label"))
     )
+
+
+def free_name(frame: DataFrame, name: str) -> str:
+    """The name, with underscores in front until no column of the frame begins like it."""
+    taken = [c.lower() for c in frame.columns]
+    while any(c.startswith(name.lower()) for c in taken):
+        name = f"_{name}"
+    return name
