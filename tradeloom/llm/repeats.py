@@ -9,7 +9,7 @@ so a window can only repeat where its anchor does. Windows with one anchor make
    as a whole: counting copies of a segment is enough.
 3. The distinct segments of the remaining anchors are gathered, anchor by anchor, into
    blocks of bounded size; a block's suffix array (two-stage sorting) and adjacent common
-   prefixes show which windows repeat in it. An anchor with very many distinct segments is
+   prefixes of the windows show which of them repeat in it. An anchor with very many distinct segments is
    not put into one block: its windows are counted one by one instead, by their hashes.
 4. Each document loses the bytes of its repeating windows.
 
@@ -153,14 +153,12 @@ def repeats_in_block(rows: pa.Table) -> pa.Table:
     """Runs of repeating windows of a block's segments: text digests, first and end byte."""
     pieces, bounds = piece_bytes(rows.column("piece"))
     start, windows = (rows.column(c).to_numpy().astype(np.int64) for c in ("start", "windows"))
-    order = suffix_array(pieces, REPEAT)
+    wanted = covered(bounds[:-1], bounds[:-1] + windows, len(pieces))
+    order = suffix_array(pieces, REPEAT, wanted)
     same = common_prefixes(pieces, order, REPEAT) >= REPEAT
     group = np.cumsum(~same)
-    owner = np.searchsorted(bounds, order, "right") - 1
-    inside = order - bounds[owner] < windows[owner]
-    counts = np.bincount(group[inside], minlength=group.max(initial=0) + 1)
     repeating = np.zeros(len(pieces), bool)
-    repeating[order[inside & (counts[group] > 1)]] = True
+    repeating[order[np.bincount(group)[group] > 1]] = True
     at = np.flatnonzero(repeating)
     owner = np.searchsorted(bounds, at, "right") - 1
     kept = rows.column("single").to_numpy()[owner]

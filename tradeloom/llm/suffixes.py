@@ -26,18 +26,34 @@ def smaller_than_next(text: np.ndarray) -> np.ndarray:
     return rises[following] > 0
 
 
-def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
-    """Places of all suffixes in order of their first `depth` bytes."""
+def needed_places(small: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The wanted suffixes and those they are induced from: for a suffix that is larger
+    than the next one, all up to the next directly sorted one."""
+    n = len(small)
+    sorted_at = np.where(small, np.arange(n), n - 1)
+    sorted_at = np.minimum.accumulate(sorted_at[::-1])[::-1]
+    at = np.flatnonzero(wanted)
+    steps = np.zeros(n + 1, np.int64)
+    np.add.at(steps, at, 1)
+    np.add.at(steps, sorted_at[at] + 1, -1)
+    return np.cumsum(steps[:-1]) > 0
+
+
+def suffix_array(text: np.ndarray, depth: int, wanted: np.ndarray | None = None) -> np.ndarray:
+    """Places of the wanted suffixes (default: all) in order of their first `depth` bytes."""
     n = len(text)
     if not n:
         return np.zeros(0, np.int64)
     small = smaller_than_next(text)
+    need = np.ones(n, bool) if wanted is None else needed_places(small, wanted)
+    induced_place = need & ~small
     data = text.tobytes()
-    direct = np.array(sorted(np.flatnonzero(small).tolist(), key=lambda i: data[i : i + depth]), np.int64)
+    direct = np.array(sorted(np.flatnonzero(small & need).tolist(), key=lambda i: data[i : i + depth]), np.int64)
     direct_byte = text[direct]
     begin = np.searchsorted(direct_byte, np.arange(257))
     waiting: list[list[np.ndarray]] = [[] for _ in range(256)]
-    waiting[text[-1]].append(np.array([n - 1], np.int64))
+    if need[n - 1]:
+        waiting[text[-1]].append(np.array([n - 1], np.int64))
     parts = []
     for byte in range(256):
         bucket = waiting[byte]
@@ -45,19 +61,20 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
         induced = [fresh]
         while len(fresh):
             before = fresh[fresh > 0] - 1
-            fresh = before[(text[before] == byte) & ~small[before]]
+            fresh = before[(text[before] == byte) & induced_place[before]]
             induced.append(fresh)
         here = np.concatenate([*induced, direct[begin[byte] : begin[byte + 1]]])
         parts.append(here)
         before = here[here > 0] - 1
-        before = before[(text[before] > byte) & ~small[before]]
+        before = before[(text[before] > byte) & induced_place[before]]
         if len(before):
             bytes_before = text[before]
             order = np.argsort(bytes_before, kind="stable")
             values, first = np.unique(bytes_before[order], return_index=True)
             for value, members in zip(values, np.split(before[order], first[1:])):
                 waiting[value].append(members)
-    return np.concatenate(parts)
+    order = np.concatenate(parts)
+    return order if wanted is None else order[wanted[order]]
 
 
 def common_prefixes(text: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
