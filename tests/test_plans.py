@@ -1,5 +1,7 @@
 """Plan shapes that matter at scale, and skewed inputs against plain definitions."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 from shop import Shop, by
@@ -11,6 +13,7 @@ from tradeloom.operators.rollups import (
     top_with_total,
 )
 from tradeloom.plans import fraud, reviews, sales
+from tradeloom.plans.lines import categorised_items
 from tradeloom.plans.catalog import ANALYSES, FRAUD_RULES, MARTS
 from tradeloom.sources.bridge import load_tables
 
@@ -114,13 +117,46 @@ def test_top_with_total_is_exact(spark):
     df = spark.range(5000).select(
         F.concat(F.lit("s"), "id").alias("s"), (F.col("id") * 7919 % 1000).alias("m")
     )
-    best = top_with_total(df, "m", total_of="m", tie_break="s", limit=20, buckets=16)
+    best = top_with_total(df, "m", total_of="m", tie_break="s", limit=20)
     expected = df.orderBy(F.desc("m"), "s").limit(20).collect()
     found = best.collect()
     assert [(r.s, r.m) for r in found] == [(r.s, r.m) for r in expected]
     assert {r.total for r in found} == {df.agg(F.sum("m")).first()[0]}
 
 
+def test_nulls_are_no_distinct_values(spark):
+    rows = [("o1", "a", None, 1.0), ("o1", "a", "p1", 2.0), (None, "a", "p2", 4.0), ("o2", "b", None, 8.0)]
+    df = spark.createDataFrame(rows, "o string, k string, p string, x double")
+    found = by(dual_distinct_rollup(df, ["k"], "o", "p", {"x": F.col("x")}), "k")
+    assert {k: (r["n_o"], r["n_p"], r["x_sum"]) for k, r in found.items()} == {"a": (1, 2, 7.0), "b": (1, 0, 8.0)}
+
+
+def test_categories_do_not_move_the_products(spark):
+    """Part is too large to broadcast, the names derived from it are not."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "5KB")
+    try:
+        t = load_tables(spark, "/root/testdata/sf0.001")
+        assert input_bytes(t.translation) > 5 << 10
+        plan = plan_of(categorised_items(t))
+        assert "BroadcastHashJoin [product_category_name" in plan
+        left_side = plan.split("BroadcastExchange")[0]
+        assert "hashpartitioning(product_category_name" not in left_side
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_names_of_a_card_are_deduplicated_before_they_meet(spark, no_broadcast):
+    shop = Shop(spark).person("c1", "n", "t").person("c2", "m", "t")
+    plan = fraud.card_names(shop.tables())._jdf.queryExecution().executedPlan().toString()
+    before_list = plan[: plan.index("Scan ExistingRDD")]
+    keys = re.findall(r"HashAggregate\(keys=\[([^]]*)\]", before_list)
+    assert len(keys[0].split(", ")) == 1 and {len(k.split(", ")) for k in keys} == {1, 2}
+    signals = fraud.stored_signals(shop.tables(), "2026-01-01 00:00:00")
+    assert "NAMES_LIST" not in signals.columns
+    assert "collect" not in signals._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_hot_order_with_many_items_and_reviews_emits_no_pairs(spark, no_broadcast):
     """3000 items x 300 reviews of one order would be 900,000 pairs."""
     shop = Shop(spark).product("p1", "a").seller("s1")

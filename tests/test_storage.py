@@ -8,7 +8,8 @@ from tradeloom.schemas import SOURCE_TABLES, raw_schema
 from tradeloom.session import new_run_folder, shuffle_partitions_for, size_shuffles
 from tradeloom.sources import layers as store
 from tradeloom.sources.bridge import load_tables
-from tradeloom.sources.landing import read_csv_folder
+from tradeloom.sources.landing import malformed_in_folder, read_csv_folder
+from tradeloom.sources.tables import Tables
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -18,7 +19,7 @@ def test_csv_columns_are_matched_by_name(spark, tmp_path):
         '"order_status","order_id","extra","customer_id","order_purchase_timestamp",'
         '"order_approved_at","order_delivered_carrier_date",'
         '"order_delivered_customer_date","order_estimated_delivery_date"\n'
-        '"delivered","o1","x","c1","2020-01-01 10:00:00","","","",\n'
+        '"delivered","o1","x","c1","2020-01-01 10:00:00","","","",""\n'
     )
     (tmp_path / "shop_order_reviews_dataset.csv").write_text(
         "review_id,order_id,review_score,review_comment_title,review_comment_message,"
@@ -29,9 +30,10 @@ def test_csv_columns_are_matched_by_name(spark, tmp_path):
     openers = read_csv_folder(spark, str(tmp_path), prefix="shop_", suffix="_dataset")
     assert set(openers) == {"orders", "order_reviews", "unknown"}
     orders = openers["orders"]()
-    assert orders.schema == raw_schema("orders")
+    assert orders.select(raw_schema("orders").names).schema == raw_schema("orders")
     (order,) = rows(orders)
     assert order["order_id"] == "o1" and order["order_approved_at"] is None
+    assert order["extra"] == "x" and orders.columns[2] == "extra"
     (review,) = rows(openers["order_reviews"]())
     assert review["review_comment_message"] == 'two\nlines, "quoted"'
     assert review["review_score"] == 5
@@ -44,6 +46,45 @@ def test_missing_csv_column_is_an_error(spark, tmp_path):
         read_csv_folder(spark, str(tmp_path))["customers"]()
 
 
+def customer_parts(tmp_path, second: str) -> str:
+    folder = tmp_path / "customers.csv"
+    folder.mkdir()
+    header = "customer_id,customer_city,customer_state,customer_zip_code_prefix\n"
+    (folder / "part-0.csv").write_text(header + "c1,town,SP,01000\n")
+    (folder / "part-1.csv").write_text(second)
+    return str(tmp_path)
+
+
+def test_part_files_with_another_header_are_refused(spark, tmp_path):
+    other = "customer_state,customer_id,customer_city,customer_zip_code_prefix\nRJ,c2,village,02000\n"
+    opener = read_csv_folder(spark, customer_parts(tmp_path, other))["customers"]
+    with pytest.raises(Exception, match="header"):
+        opener().collect()
+
+
+def test_rows_that_do_not_fit_are_refused_or_set_aside(spark, tmp_path):
+    short = "customer_id,customer_city,customer_state,customer_zip_code_prefix\nc2\nc3,city,RJ,03000\n"
+    folder = customer_parts(tmp_path, short)
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_csv_folder(spark, folder)["customers"]().collect()
+    good = read_csv_folder(spark, folder, malformed="skip")["customers"]()
+    assert sorted(r["customer_id"] for r in rows(good)) == ["c1", "c3"]
+    assert good.count() == 2
+    (bad,) = rows(malformed_in_folder(spark, folder)["customers"])
+    assert bad["TABLE_NAME"] == "customers" and bad["RECORD"] == "c2"
+
+
+def test_a_raw_copy_keeps_undeclared_columns_and_tables(spark, tmp_path):
+    (tmp_path / "customers.csv").write_text("customer_id,customer_city,customer_state,zip\nc1,town,SP,01000\n")
+    (tmp_path / "notes.csv").write_text("a,b\n1,2\n")
+    folder = store.Layers(new_run_folder(spark, "whole"))
+    names = store.sync_raw(Tables(read_csv_folder(spark, str(tmp_path))), folder)
+    assert sorted(names) == ["customers", "notes"]
+    assert rows(spark.read.parquet(folder.raw("customers")))[0]["zip"] == "01000"
+    assert rows(store.open_table(spark, folder.raw("notes"), "notes")) == [{"a": "1", "b": "2"}]
+    assert store.open_table(spark, folder.raw("customers"), "customers").columns == raw_schema("customers").names
+
+
 def test_filter_and_columns_reach_the_scan(spark):
     path = new_run_folder(spark, "pushdown")
     shop = Shop(spark).person("c1", "n", "t")
@@ -97,12 +138,30 @@ def test_refresh_runs_steps_in_order_and_repeats(spark):
     for _ in range(2):
         done = refresh.run_refresh(spark, source, folder, "2026-01-01 00:00:00")
         assert done.steps == ["raw_sync", "staging", "marts", "checks"]
+    current = store.published(spark, folder)
+    assert current == done.layers
     for name in MARTS:
-        assert refresh.open_mart(spark, folder, name).count() >= 0
-    assert refresh.open_mart(spark, folder, "mart_top_sellers").count() == 1
+        assert refresh.open_mart(spark, current, name).count() >= 0
+    assert refresh.open_mart(spark, current, "mart_top_sellers").count() == 1
     assert spark.table("stg_orders").count() == 1
 
 
+def test_a_failing_mart_leaves_the_former_version_readable(spark, monkeypatch):
+    folder = store.Layers(new_run_folder(spark, "versions"))
+    first = refresh.run_refresh(spark, small_shop(spark).tables(), folder, "2026-01-01 00:00:00")
+
+    def broken(t):
+        raise RuntimeError("broken mart")
+
+    monkeypatch.setitem(MARTS, "mart_peak_hours", broken)
+    with pytest.raises(RuntimeError, match="broken mart"):
+        refresh.run_refresh(spark, small_shop(spark).order("o2").tables(), folder)
+    current = store.published(spark, folder)
+    assert current == first.layers
+    assert refresh.open_mart(spark, current, "mart_sazonalidade").count() == 1
+    assert refresh.open_mart(spark, current, "mart_peak_hours").count() == 1
+
+
 def test_refresh_stops_before_marts_when_staging_fails(spark):
     folder = store.Layers(new_run_folder(spark, "stopped"))
     shop = small_shop(spark).order("o1").order("o2", status="lost")
@@ -111,7 +170,7 @@ def test_refresh_stops_before_marts_when_staging_fails(spark):
         refresh.run_refresh(spark, shop.tables(), folder, on_step=seen.append)
     assert seen == ["raw_sync"]
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
-        refresh.open_mart(spark, folder, "mart_top_sellers").count()
+        store.published(spark, folder)
 
 
 def test_quarantine_moves_malformed_rows_to_the_error_layer(spark):
@@ -129,7 +188,7 @@ def test_shuffles_are_sized_by_input_unless_set(spark):
     assert shuffle_partitions_for(0, cores=8) == 8
     assert shuffle_partitions_for(0, cores=8000) == 200
     assert shuffle_partitions_for(1 << 40, cores=8) == 4096
-    assert shuffle_partitions_for(100 << 40, cores=8000) == 32_000
+    assert shuffle_partitions_for(100 << 40, cores=8000) == 409_600
     before = spark.conf.get("spark.sql.shuffle.partitions")
     size_shuffles(spark, "somewhere", lambda: 100 << 40)
     assert spark.conf.get("spark.sql.shuffle.partitions") == before

@@ -18,6 +18,18 @@ def draw(key: Column, label: str, size: int) -> Column:
     return F.conv(F.substring(digest, 1, 12), 16, 10).cast("bigint") % size
 
 
+def pick_weighted(weights: dict[str, int], key: Column, label: str) -> Column:
+    """One of the values, each as likely as its weight."""
+    drawn, bound, found = draw(key, label, sum(weights.values())), 0, F.lit(None)
+    steps = []
+    for value, weight in weights.items():
+        bound += weight
+        steps.append((bound, value))
+    for bound, value in reversed(steps):
+        found = F.when(drawn < bound, value).otherwise(found)
+    return found
+
+
 def pick(options: list[str], key: Column, label: str) -> Column:
     """One of the options, each with equal weight."""
     listed = F.array(*[F.lit(option) for option in options])

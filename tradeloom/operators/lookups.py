@@ -24,14 +24,23 @@ def broadcast_limit(df: DataFrame) -> int:
     return state.conf().autoBroadcastJoinThreshold()
 
 
+def counted_bytes(df: DataFrame) -> int:
+    """Bytes of a frame's values as text, by one aggregation over it."""
+    widths = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns]
+    return df.agg(F.coalesce(F.sum(sum(widths[1:], widths[0])), F.lit(0))).first()[0]
+
+
 def lookup_join(
-    fact: DataFrame, dimension: DataFrame, key: str, how: str = "inner"
+    fact: DataFrame, dimension: DataFrame, key: str, how: str = "inner", derived: bool = False
 ) -> DataFrame:
     """Join on a dimension key without moving the fact when the dimension is small.
 
     Up to the session's broadcast threshold the dimension is broadcast. Beyond it
-    both sides are shuffled, and skewed fact partitions are split at run time.
+    both sides are shuffled, and skewed fact partitions are split at run time. A
+    `derived` dimension may be far smaller than its inputs (distinct values of a large
+    table), so where those are too large its own size is measured first.
     """
-    if input_bytes(dimension) <= broadcast_limit(dimension):
+    limit = broadcast_limit(dimension)
+    if input_bytes(dimension) <= limit or (derived and limit > 0 and counted_bytes(dimension) <= limit):
         dimension = F.broadcast(dimension)
     return fact.join(dimension, key, how)

@@ -57,23 +57,27 @@ def distinct_rollup(
     entity: str,
     flags: Mapping[str, Column] | None = None,
     measures: Mapping[str, Column] | None = None,
+    once: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Per key: distinct entities, distinct flagged entities, row statistics.
 
     Returns the keys, `n` (distinct non-null entities), one `n_<flag>` per flag
     (distinct entities with at least one row where it holds) and
-    `<measure>_sum/_cnt/_min/_max` over all rows.
+    `<measure>_sum/_cnt/_min/_max` over all rows. A value of `once` is the same on all
+    rows of an entity; `<name>_once` adds it up over entities.
     """
-    flags, measures = dict(flags or {}), dict(measures or {})
+    flags, measures, once = dict(flags or {}), dict(measures or {}), dict(once or {})
     known = F.col(entity).isNotNull()
     per_entity = df.groupBy(*keys, entity).agg(
         F.count(F.lit(1)).alias("n_rows"),
         *[F.max(holds).alias(f"has_{name}") for name, holds in flags.items()],
+        *[F.max(value).alias(f"once_{name}") for name, value in once.items()],
         *_measure_columns(measures),
     )
     return per_entity.groupBy(*keys).agg(
         F.count(entity).alias("n"),
         *[F.count_if(known & F.col(f"has_{f}")).alias(f"n_{f}") for f in flags],
+        *[F.sum(f"once_{name}").alias(f"{name}_once") for name in once],
         *_merged_columns(measures),
     )
 
@@ -90,21 +94,21 @@ def dual_distinct_rollup(
     `first` is the column the input is already partitioned on (the join key): its
     duplicates within a key are marked without a shuffle. Grouping on
     (keys, second) then sums the marks, and grouping on the keys counts the rows.
-    Both columns must be non-null, as they are after inner joins on them.
+    A null counts as neither, its row still counts in the measures.
 
     Returns the keys, `n_<first>`, `n_<second>` and the measure statistics.
     """
     cells = df.groupBy(first, *keys, second).agg(*_measure_columns(measures))
     within = Window.partitionBy(first, *keys).orderBy(second)
     marked = cells.withColumn(
-        "opens", (F.row_number().over(within) == F.lit(1)).cast("int")
+        "opens", ((F.row_number().over(within) == 1) & F.col(first).isNotNull()).cast("int")
     )
     per_second = marked.groupBy(*keys, second).agg(
         F.sum("opens").alias("opens"), *_merged_columns(measures)
     )
     return per_second.groupBy(*keys).agg(
         F.sum("opens").alias(f"n_{first}"),
-        F.count(F.lit(1)).alias(f"n_{second}"),
+        F.count(second).alias(f"n_{second}"),
         *_merged_columns(measures),
     )
 
@@ -119,35 +123,16 @@ def group_total(metric: str, *part: str) -> Column:
 
 
 def top_with_total(
-    df: DataFrame,
-    metric: str,
-    total_of: str,
-    tie_break: str,
-    limit: int,
-    buckets: int = 256,
+    df: DataFrame, metric: str, total_of: str, tie_break: str, limit: int
 ) -> DataFrame:
     """The `limit` rows with the largest metric, plus a total over all rows.
 
-    For frames of unbounded size. Rows are spread over hash buckets; each bucket
-    keeps its own `limit` best rows and its sum, so the last step sees at most
-    `buckets * limit` rows and the input is computed once.
+    For frames of unbounded size: the total is a scalar subquery over the same
+    aggregate, whose exchange is reused, and each task keeps its best rows only.
     """
-    bucket = F.pmod(F.xxhash64(tie_break), F.lit(buckets))
-    ranked = (descending(metric), ascending(tie_break))
-    in_bucket = Window.partitionBy("bucket")
-    finalists = (
-        df.withColumn("bucket", bucket)
-        .withColumn("bucket_total", F.sum(total_of).over(in_bucket))
-        .withColumn("place", F.row_number().over(in_bucket.orderBy(*ranked)))
-        .where(F.col("place") <= limit)
-    )
-    one_per_bucket = F.when(F.col("place") == 1, F.col("bucket_total"))
-    return (
-        finalists.withColumn("total", F.sum(one_per_bucket).over(Window.partitionBy()))
-        .orderBy(*ranked)
-        .limit(limit)
-        .drop("bucket", "bucket_total", "place")
-    )
+    total = df.agg(F.sum(total_of)).scalar()
+    best = df.orderBy(descending(metric), ascending(tie_break)).limit(limit)
+    return best.withColumn("total", total)
 
 
 def ranked(

@@ -82,6 +82,8 @@ CTES: dict[str, str] = {
         select concat('r', order_id) as review_id, order_id,
             cast(case k % 10 when 0 then 1 when 1 then 2 when 2 then 3 when 3 then 4
                  when 4 then 4 when 5 then 4 else 5 end as integer) as review_score,
+            cast(null as varchar) as review_comment_title,
+            cast(null as varchar) as review_comment_message,
             strftime(delivered + to_days(cast(1 + k % 7 as integer)),
                 '%Y-%m-%d %H:%M:%S') as review_creation_date,
             case when k % 23 <> 0 then
@@ -109,7 +111,8 @@ CTES: dict[str, str] = {
         from items join labelled on labelled.product_id = items.product_id""",
     "people": """
         select c_custkey as ck, cast(c_custkey as varchar) as customer_id,
-            c_name as full_name, n_name as customer_state,
+            c_name as full_name,
+            chr(65 + c_nationkey // 5) || chr(65 + c_nationkey % 5) as customer_state,
             concat(n_name, case when c_custkey % 10 = 0 then '_rural'
                                 else '_capital' end) as customer_city
         from customer join nation on c_nationkey = n_nationkey""",

@@ -3,28 +3,50 @@
 from __future__ import annotations
 
 from tradeloom.oracle.models_sql import MODEL_SQL
+from tradeloom.schemas import MART_DDL, RAW_DDL
 
-# Raw table -> (CTE it corresponds to, its first column).
+# Raw table -> the CTE it corresponds to.
 RAW_CTES = {
-    "orders": ("raw_orders", "order_id"),
-    "order_items": ("items", "order_id"),
-    "order_payments": ("pay", "order_id"),
-    "order_reviews": ("rev", "review_id"),
-    "customers": ("cust", "customer_id"),
-    "sellers": ("sell", "seller_id"),
-    "products": ("prod", "product_id"),
-    "translation": ("tran", "product_category_name"),
-    "geolocation": ("geo", "geolocation_zip_code_prefix"),
-    "customers_extended": ("cext", "customer_id"),
+    "orders": "raw_orders",
+    "order_items": "items",
+    "order_payments": "pay",
+    "order_reviews": "rev",
+    "customers": "cust",
+    "sellers": "sell",
+    "products": "prod",
+    "translation": "tran",
+    "geolocation": "geo",
+    "customers_extended": "cext",
 }
 
 
-def table_sizes(names, label: str = "") -> str:
+def columns_of(ddl: str) -> list[tuple[str, str]]:
+    return [tuple(part.split()) for part in ddl.split(",")]
+
+
+def column_check(table: str, source: str, column: str, kind: str) -> str:
+    text = {
+        "string": column,
+        "timestamp": f"strftime({column}, '%Y-%m-%d %H:%M:%S')",
+        "timestamp_ntz": f"strftime({column}, '%Y-%m-%d %H:%M:%S')",
+    }.get(kind)
+    if text:
+        number = f"cast('0x' || substr(md5({text}), 1, 8) as bigint)"
+    elif kind == "boolean":
+        number = f"cast({column} as bigint)"
+    else:
+        number = f"cast(round(cast({column} as double) * 10000) as bigint)"
+    return f"""select '{table}' as TABLE_NAME, count(*) as ROW_COUNT, '{column}' as COLUMN_NAME,
+                   count({column}) as VALUE_COUNT,
+                   cast(sum({number}) % 1000000007 as bigint) as CHECKSUM
+               from {source}"""
+
+
+def table_checks(names, label: str = "") -> str:
     return " union all ".join(
-        f"""select '{label}{name}' as TABLE_NAME, count(*) as ROW_COUNT,
-                cast(sum(length({RAW_CTES[name][1]})) as bigint) as KEY_CHARS
-            from {RAW_CTES[name][0]}"""
+        column_check(f"{label}{name}", RAW_CTES[name], column, kind)
         for name in names
+        for column, kind in columns_of(RAW_DDL[name])
     )
 
 
@@ -58,8 +80,11 @@ DECLARED = {
         ["ORDER_ID", "CUSTOMER_ID"],
         ["ORDER_ID"],
         {
-            "ORDER_STATUS": "delivered shipped canceled unavailable invoiced "
-            "processing created approved".split()
+            # Fixed values.
+            "ORDER_STATUS": [
+                "delivered", "shipped", "canceled", "unavailable",
+                "invoiced", "processing", "created", "approved",
+            ]
         },
     ),
     "mart_sazonalidade": (["MES"], ["MES"], {"NUMERO_MES": MONTHS}),
@@ -138,6 +163,14 @@ def pick(options: list[str], key: str, label: str) -> str:
     return f"list_extract([{listed}], {draw(key, label, len(options))} + 1)"
 
 
+def pick_weighted(weights: dict[str, int], key: str, label: str) -> str:
+    drawn, bound, steps = draw(key, label, sum(weights.values())), 0, []
+    for value, weight in weights.items():
+        bound += weight
+        steps.append(f"when {drawn} < {bound} then '{value}'")
+    return f"case {' '.join(steps)} end"
+
+
 def padded(text: str, width: int) -> str:
     return f"lpad({text}, cast(greatest({width}, length({text})) as integer), '0')"
 
@@ -176,11 +209,13 @@ def cpf(nine: str) -> str:
     return f"{ten} || {check_digit(ten, 10)}"
 
 
-STATES = (
-    "SP RJ MG RS PR SC BA GO PE CE PA MA MS MT RN AL PB SE PI TO RO AM AC AP RR DF ES"
-).split()
-STATUSES = ["delivered"] * 5 + ["shipped", "canceled", "invoiced", "processing"]
-PAYMENTS = ["credit_card"] * 3 + ["boleto", "voucher", "debit_card"]
+# Domains, and values with their weights.
+STATES = [
+    "SP", "RJ", "MG", "RS", "PR", "SC", "BA", "GO", "PE", "CE", "PA", "MA", "MS", "MT",
+    "RN", "AL", "PB", "SE", "PI", "TO", "RO", "AM", "AC", "AP", "RR", "DF", "ES",
+]
+STATUSES = {"delivered": 5, "shipped": 1, "canceled": 1, "invoiced": 1, "processing": 1}
+PAYMENTS = {"credit_card": 3, "boleto": 1, "voucher": 1, "debit_card": 1}
 CLUSTER = "'fraud:cluster'"
 
 
@@ -246,7 +281,7 @@ SYNTH_CTES = {
                 {later("bought", "days", draw("order_id", "delivery", 43) + " + 3")} end
                 as arrived
         from (select *, {_BOUGHT} as bought,
-                  {pick(STATUSES, "order_id", "status")} as order_status
+                  {pick_weighted(STATUSES, "order_id", "status")} as order_status
               from syn_numbered)""",
     "syn_items": f"""
         select order_id, cast(no as integer) as order_item_id,
@@ -263,34 +298,41 @@ SYNTH_CTES = {
 _LUCK = draw("order_id", "score", 100)
 
 JOB_SQL: dict[str, str] = {
-    "src_csv_dir": table_sizes([n for n in RAW_CTES if n != "customers_extended"]),
+    "src_csv_dir": table_checks([n for n in RAW_CTES if n != "customers_extended"]),
     "sink_replace": "select * from pay",
     "sink_append": "select * from pay",
     "src_table_filter": "select customer_id from cext where is_synthetic",
     "sink_create_if_absent": """
-        select * replace (right(customer_state, 2) as customer_state,
-            true as is_synthetic, 'synthetic_2019' as data_source) from cext""",
-    "raw_sync": table_sizes(RAW_CTES),
-    "src_registry": table_sizes(RAW_CTES, "raw_"),
+        select * replace (true as is_synthetic, 'synthetic_2019' as data_source) from cext""",
+    "raw_sync": table_checks(RAW_CTES),
+    "src_registry": table_checks(RAW_CTES, "raw_"),
     "mat_view": """
         select ORDER_STATUS, count(*) as ORDERS, min(ORDER_PURCHASED_AT) as FIRST_AT,
             max(ORDER_PURCHASED_AT) as LAST_AT
         from stg group by ORDER_STATUS""",
     "mat_table": MODEL_SQL["mart_top_sellers"],
+    "pipeline_run": " union all ".join(
+        column_check(model, model, column, kind)
+        for model in DECLARED
+        if model != "stg_orders"
+        for column, kind in columns_of(MART_DDL[model])
+    ),
     "daily_refresh": " union all ".join(
         f"select '{model}' as MODEL, count(*) as ROW_COUNT from {model}"
         for model in DECLARED
         if model != "stg_orders"
     ),
     "dq_not_null": " union all ".join(
-        nulls("stg", f"ORDER_{c}" if c != "CUSTOMER_ID" else c)
-        for c in (
-            "ID CUSTOMER_ID STATUS PURCHASED_AT APPROVED_AT SHIPPED_AT DELIVERED_AT "
-            "ESTIMATED_AT MONTH HOUR DAY_OF_WEEK HOUR_OF_DAY"
-        ).split()
+        nulls("stg", column)
+        for column in (
+            "ORDER_ID", "CUSTOMER_ID", "ORDER_STATUS", "ORDER_PURCHASED_AT",
+            "ORDER_APPROVED_AT", "ORDER_SHIPPED_AT", "ORDER_DELIVERED_AT",
+            "ORDER_ESTIMATED_AT", "ORDER_MONTH", "ORDER_HOUR", "ORDER_DAY_OF_WEEK",
+            "ORDER_HOUR_OF_DAY",
+        )
     ),
     "dq_unique": " union all ".join(
-        repeats(RAW_CTES[name][0], "order_id", f"'{name}' as MODEL,")
+        repeats(RAW_CTES[name], "order_id", f"'{name}' as MODEL,")
         for name in ("orders", "order_items", "order_payments")
     ),
     "dq_accepted_values": " union all ".join(
@@ -325,7 +367,7 @@ JOB_SQL: dict[str, str] = {
                 cast({draw("order_id", "installments", 12)} + 1 as integer) else 1 end
                 as payment_installments,
             payment_value
-        from (select order_id, {pick(PAYMENTS, "order_id", "payment")} as payment_type,
+        from (select order_id, {pick_weighted(PAYMENTS, "order_id", "payment")} as payment_type,
                   cast(round(cast(sum(price) as decimal(28, 8)), 2) as double)
                       as payment_value
               from syn_items group by order_id)""",
@@ -355,5 +397,5 @@ JOB_SQL: dict[str, str] = {
 # Further CTEs a statement needs besides the derivation of the inputs.
 EXTRA_CTES: dict[str, dict[str, str]] = {
     **{name: SYNTH_CTES for name in ("synth_orders", "synth_items", "synth_payments", "synth_reviews")},
-    **{name: {m: MODEL_SQL[m] for m in DECLARED} for name in ("dq_suite", "daily_refresh")},
+    **{name: {m: MODEL_SQL[m] for m in DECLARED} for name in ("dq_suite", "daily_refresh", "pipeline_run")},
 }

@@ -351,11 +351,11 @@ def score_distribution() -> str:
 
 
 def category_reviews(worst: int | None) -> str:
-    star_columns = [f"{FIVE} as FIVE_STAR", f"{ONE} as ONE_STAR"]
+    stars = f"{ONE} as ONE_STAR, {FIVE} as FIVE_STAR" if worst else f"{FIVE} as FIVE_STAR, {ONE} as ONE_STAR"
     good = "" if worst else f", {pct(GOOD, ORDERS)} as POSITIVE_RATE_PCT"
     return f"""
         select CATEGORY, {ORDERS} as TOTAL_ORDERS, {r("avg(review_score)")} as AVG_SCORE,
-            {", ".join(reversed(star_columns) if worst else star_columns)},
+            {stars},
             {pct(BAD, ORDERS)} as NEGATIVE_RATE_PCT {good}
         from {SOLD} join rev on rev.order_id = oid
         group by CATEGORY having {ORDERS} >= 100
@@ -413,13 +413,14 @@ def monthly_best_category() -> str:
 def commercial_days(limit: int | None) -> str:
     return f"""
         select ORDER_DATE, TOTAL_ORDERS, TOTAL_REVENUE,
-            case strftime(ORDER_DATE, '%m%d')
-                when '1124' then 'Black Friday 2017' when '1123' then 'Black Friday 2018'
-                when '1224' then 'Christmas' when '1225' then 'Christmas'
-                when '0101' then 'New Year' when '0102' then 'New Year'
-                when '0212' then 'Valentines' when '0213' then 'Valentines'
-                when '0214' then 'Valentines' when '0513' then 'Mothers Day'
-                when '0514' then 'Mothers Day' else 'regular day' end as DATE_TYPE
+            -- Fixed values: label by month and day.
+            case when strftime(ORDER_DATE, '%m-%d') in ('11-24') then 'Black Friday 2017'
+                when strftime(ORDER_DATE, '%m-%d') in ('11-23') then 'Black Friday 2018'
+                when strftime(ORDER_DATE, '%m-%d') in ('12-24', '12-25') then 'Christmas'
+                when strftime(ORDER_DATE, '%m-%d') in ('01-01', '01-02') then 'New Year'
+                when strftime(ORDER_DATE, '%m-%d') in ('02-12', '02-13', '02-14') then 'Valentines'
+                when strftime(ORDER_DATE, '%m-%d') in ('05-13', '05-14') then 'Mothers Day'
+                else 'regular day' end as DATE_TYPE
         from (select cast(date_trunc('day', bought) as timestamp) as ORDER_DATE,
                   {ORDERS} as TOTAL_ORDERS, {r("sum(payment_value)")} as TOTAL_REVENUE
               from {PAID} group by all)

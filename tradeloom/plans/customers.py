@@ -179,9 +179,13 @@ def profile_by_state(t: Tables) -> DataFrame:
         (F.col("n_paid") * weight).alias("order_total"),
         weight.alias("order_weight"),
     )
-    names = ["n", "value", "value_total", "value_weight", "order_total", "order_weight"]
+    names = ["value", "value_total", "value_weight", "order_total", "order_weight"]
     rolled = distinct_rollup(
-        located, ["STATE"], "customer_id", measures={c: F.col(c) for c in names}
+        located,
+        ["STATE"],
+        "customer_id",
+        measures={c: F.col(c) for c in names},
+        once={"orders": F.col("n")},
     )
 
     def weighted_mean(total: str, count: str):
@@ -190,7 +194,7 @@ def profile_by_state(t: Tables) -> DataFrame:
     return rolled.select(
         "STATE",
         F.col("n").alias("TOTAL_CUSTOMERS"),
-        F.col("n_sum").alias("TOTAL_ORDERS"),
+        F.col("orders_once").alias("TOTAL_ORDERS"),
         half_up(weighted_mean("value_total", "value_weight"), 2).alias(
             "AVG_LIFETIME_VALUE"
         ),

@@ -41,32 +41,56 @@ def card_members(t: Tables) -> DataFrame:
     return people.join(repeated, "credit_card_token", "left_semi")
 
 
-def shared_cards(t: Tables) -> DataFrame:
+def card_figures(t: Tables) -> DataFrame:
     """One row per shared token with its distinct customers, names and places.
 
-    Ids and places are deduplicated by (token, value) before the rows of a token
-    meet, so a token with very many customers is spread over tasks. The list of
-    names is a single cell by definition and as long as its names are.
+    Each value is deduplicated by (token, value) before the rows of a token meet, so
+    a token with very many customers is spread over tasks.
     """
-    figures = (
+    return (
         card_members(t)
         .groupBy(F.col("credit_card_token").alias("CREDIT_CARD_TOKEN"))
         .agg(
             F.count_distinct("customer_id").alias("CUSTOMERS_SHARING_CARD"),
+            F.count_distinct("full_name").alias("DIFFERENT_NAMES"),
             F.count_distinct("customer_state").alias("DIFFERENT_STATES"),
             F.count_distinct("customer_city").alias("DIFFERENT_CITIES"),
-            F.array_sort(F.collect_set("full_name")).alias("names"),
         )
         .where(F.col("CUSTOMERS_SHARING_CARD") > 1)
     )
-    different = F.size("names").cast("bigint")
-    return figures.select(
-        "CREDIT_CARD_TOKEN",
-        "CUSTOMERS_SHARING_CARD",
-        different.alias("DIFFERENT_NAMES"),
-        "DIFFERENT_STATES",
-        "DIFFERENT_CITIES",
-        F.when(different > 0, F.array_join("names", NAME_SEPARATOR)).alias("NAMES_LIST"),
+
+
+def card_names(t: Tables) -> DataFrame:
+    """NAMES_LIST of every shared token: its distinct names in order, in one cell.
+
+    Names are deduplicated by (token, name) first; what meets in one task is the list
+    itself, which the definition wants in one cell.
+    """
+    names = card_members(t).select(
+        F.col("credit_card_token").alias("CREDIT_CARD_TOKEN"), F.col("full_name").alias("name")
+    )
+    listed = (
+        names.where(F.col("name").isNotNull())
+        .distinct()
+        .groupBy("CREDIT_CARD_TOKEN")
+        .agg(F.array_sort(F.collect_list("name")).alias("names"))
+    )
+    return listed.select("CREDIT_CARD_TOKEN", F.array_join("names", NAME_SEPARATOR).alias("NAMES_LIST"))
+
+
+def shared_cards(t: Tables) -> DataFrame:
+    """The figures of every shared token with its list of names."""
+    return (
+        card_figures(t)
+        .join(card_names(t), "CREDIT_CARD_TOKEN", "left")
+        .select(
+            "CREDIT_CARD_TOKEN",
+            "CUSTOMERS_SHARING_CARD",
+            "DIFFERENT_NAMES",
+            "DIFFERENT_STATES",
+            "DIFFERENT_CITIES",
+            "NAMES_LIST",
+        )
     )
 
 
@@ -102,8 +126,12 @@ def card_risk(customers: Column) -> Column:
     return level.otherwise(LOWEST_RISK)
 
 
-def fraud_customers(t: Tables) -> DataFrame:
-    """Every customer behind a shared token, with the token's figures and risk."""
+def flagged_customers(t: Tables) -> DataFrame:
+    """Every customer behind a shared token, with the token's figures and risk.
+
+    The list of names is not part of it: it belongs to the token, and repeating it on
+    every row would grow with the square of the customers of a token.
+    """
     holders = _card_holders(t).select(
         F.col("customer_id").alias("CUSTOMER_ID"),
         F.col("full_name").alias("FULL_NAME"),
@@ -116,25 +144,25 @@ def fraud_customers(t: Tables) -> DataFrame:
         F.col("data_source").alias("DATA_SOURCE"),
     )
     # An exchange of its own, for the reason given in `card_members`.
-    figures = shared_cards(t).drop("DIFFERENT_CITIES").hint("rebalance")
+    figures = card_figures(t).drop("DIFFERENT_CITIES").hint("rebalance")
     return holders.join(figures, "CREDIT_CARD_TOKEN").select(
         *holders.columns,
         "CUSTOMERS_SHARING_CARD",
         "DIFFERENT_NAMES",
         "DIFFERENT_STATES",
-        "NAMES_LIST",
         card_risk(F.col("CUSTOMERS_SHARING_CARD")).alias("RISK_LEVEL"),
         F.lit(SHARED_CARD).alias("FRAUD_TYPE"),
     )
 
 
-def fraud_signals(t: Tables, detected_at: str | None = None) -> DataFrame:
-    """The flagged customers, stamped with the detection moment.
+def with_names(flagged: DataFrame, names: DataFrame) -> DataFrame:
+    """Flagged customers with the list of names of their token, joined where it is read."""
+    return flagged.join(names.hint("rebalance"), "CREDIT_CARD_TOKEN", "left")
 
-    A fixed `detected_at` makes runs repeatable; by default it is the query time.
-    """
-    stamp = F.lit(detected_at).cast("timestamp") if detected_at else F.current_timestamp()
-    return fraud_customers(t).select(
+
+def fraud_customers(t: Tables) -> DataFrame:
+    """The flagged customers with the list of names behind their card."""
+    return with_names(flagged_customers(t), card_names(t)).select(
         "CUSTOMER_ID",
         "FULL_NAME",
         "EMAIL",
@@ -142,24 +170,60 @@ def fraud_signals(t: Tables, detected_at: str | None = None) -> DataFrame:
         "CREDIT_CARD_LAST4",
         "CUSTOMER_STATE",
         "CUSTOMER_CITY",
-        "FRAUD_TYPE",
-        "RISK_LEVEL",
+        "IS_SYNTHETIC",
+        "DATA_SOURCE",
         "CUSTOMERS_SHARING_CARD",
         "DIFFERENT_NAMES",
+        "DIFFERENT_STATES",
         "NAMES_LIST",
-        "IS_SYNTHETIC",
-        "DATA_SOURCE",
-        stamp.alias("DETECTED_AT"),
+        "RISK_LEVEL",
+        "FRAUD_TYPE",
     )
 
 
+SIGNAL_COLUMNS = [
+    "CUSTOMER_ID",
+    "FULL_NAME",
+    "EMAIL",
+    "CREDIT_CARD_TOKEN",
+    "CREDIT_CARD_LAST4",
+    "CUSTOMER_STATE",
+    "CUSTOMER_CITY",
+    "FRAUD_TYPE",
+    "RISK_LEVEL",
+    "CUSTOMERS_SHARING_CARD",
+    "DIFFERENT_NAMES",
+    "NAMES_LIST",
+    "IS_SYNTHETIC",
+    "DATA_SOURCE",
+    "DETECTED_AT",
+]
+
+
+def stamped(flagged: DataFrame, detected_at: str | None) -> DataFrame:
+    """With the detection moment; a fixed one makes runs repeatable."""
+    stamp = F.lit(detected_at).cast("timestamp") if detected_at else F.current_timestamp()
+    return flagged.withColumn("DETECTED_AT", stamp)
+
+
+def stored_signals(t: Tables, detected_at: str | None = None) -> DataFrame:
+    """The mart as it is stored: all columns but NAMES_LIST, one row per customer."""
+    columns = [name for name in SIGNAL_COLUMNS if name != "NAMES_LIST"]
+    return stamped(flagged_customers(t), detected_at).select(*columns)
+
+
+def fraud_signals(t: Tables, detected_at: str | None = None) -> DataFrame:
+    """The flagged customers, stamped with the detection moment."""
+    return stamped(fraud_customers(t), detected_at).select(*SIGNAL_COLUMNS)
+
+
 def all_signals(t: Tables) -> DataFrame:
     """All three rules in one list of (subject, rule, level)."""
     def signals(rows: DataFrame, subject: str) -> DataFrame:
         return rows.select(F.col(subject).alias("SUBJECT_ID"), "FRAUD_TYPE", "RISK_LEVEL")
 
     return (
-        signals(fraud_customers(t), "CUSTOMER_ID")
+        signals(flagged_customers(t), "CUSTOMER_ID")
         .unionByName(signals(negative_payments(t), "ORDER_ID"))
         .unionByName(signals(invalid_dates(t), "ORDER_ID"))
     )

@@ -28,7 +28,9 @@ def arrived_orders(t: Tables, compare_with: str) -> DataFrame:
 
 def categorised_items(t: Tables) -> DataFrame:
     """One row per item of a known product: order_id, product_id, price, CATEGORY."""
-    named = lookup_join(t.products, t.translation, "product_category_name", "left")
+    named = lookup_join(
+        t.products, t.translation, "product_category_name", "left", derived=True
+    )
     labelled = named.select(
         "product_id",
         category_label(

@@ -7,6 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from tradeloom.operators.lookups import input_bytes
 from tradeloom.operators.quality import enforce_contract, run_checks, suite
@@ -16,7 +17,7 @@ from tradeloom.plans.catalog import ALL_CHECKS, MARTS, STAGING_CHECKS, Builder
 from tradeloom.plans.lines import SHARED_LINES
 from tradeloom.schemas import contract
 from tradeloom.session import size_shuffles
-from tradeloom.sources.layers import Layers, raw_tables, replace_table, sync_raw
+from tradeloom.sources.layers import Layers, publish, raw_tables, replace_table, sync_raw
 from tradeloom.sources.tables import Tables
 
 
@@ -81,18 +82,37 @@ def store_marts(
     of each. The first error is raised.
     """
     builders = dict(MARTS)
-    builders["mart_fraud_signals"] = lambda tables: fraud.fraud_signals(tables, detected_at)
+    del builders["mart_fraud_signals"]
     with ThreadPoolExecutor(max_workers=at_once) as pool:
         jobs = [
             pool.submit(store_mart, t, layers, name, build)
             for name, build in builders.items()
         ]
+        jobs.append(pool.submit(store_fraud, t, layers, detected_at))
         for job in jobs:
             job.result()
 
 
+def store_fraud(t: Tables, layers: Layers, detected_at: str | None) -> None:
+    """Store the fraud mart as customers and, once per card, the list of names."""
+    declared = contract("mart_fraud_signals")
+    stored = StructType([f for f in declared.fields if f.name != "NAMES_LIST"])
+    signals = enforce_contract("mart_fraud_signals", fraud.stored_signals(t, detected_at), stored)
+    replace_table(signals, layers.mart("mart_fraud_signals"))
+    replace_table(fraud.card_names(t), layers.mart("mart_fraud_card_names"))
+
+
 def open_mart(spark: SparkSession, layers: Layers, name: str) -> DataFrame:
-    return spark.read.schema(contract(name)).parquet(layers.mart(name))
+    """A stored mart; the fraud mart takes its lists of names on while it is read."""
+    declared = contract(name)
+    if name != "mart_fraud_signals":
+        return spark.read.schema(declared).parquet(layers.mart(name))
+    stored = StructType([f for f in declared.fields if f.name != "NAMES_LIST"])
+    signals = spark.read.schema(stored).parquet(layers.mart(name))
+    names = spark.read.schema("CREDIT_CARD_TOKEN string, NAMES_LIST string").parquet(
+        layers.mart("mart_fraud_card_names")
+    )
+    return fraud.with_names(signals, names).select(*declared.names)
 
 
 def quality_report(spark: SparkSession, staged: DataFrame, layers: Layers) -> DataFrame:
@@ -123,9 +143,13 @@ def run_refresh(
 ) -> Refresh:
     """Run all steps; marts only start when staging passed its checks.
 
+    Staging and marts are written as a version of their own, which is published once
+    all checks passed. `layers.published` finds it; a failed run leaves the last one.
+
     Malformed timestamps fail the staging step, or, with `quarantine`, move their
     rows to the error layer.
     """
+    layers = layers.new_version()
     done = Refresh(layers)
 
     def step(name: str) -> None:
@@ -151,5 +175,6 @@ def run_refresh(
     step("marts")
 
     _stop_on_failures(quality_report(spark, staged, layers))
+    publish(spark, layers)
     step("checks")
     return done

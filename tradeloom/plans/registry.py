@@ -9,8 +9,9 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField
 
 from tradeloom.functions.identity import card_token, cpf, cpf_is_valid
 from tradeloom.operators import quality
@@ -37,17 +38,37 @@ def _stack(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def table_sizes(tables: dict[str, DataFrame]) -> DataFrame:
-    """Rows and total key text per table; the key is the first column."""
-    return _stack(
-        [
-            frame.agg(
-                F.count(F.lit(1)).alias("ROW_COUNT"),
-                F.sum(F.length(frame.columns[0])).alias("KEY_CHARS"),
-            ).select(F.lit(name).alias("TABLE_NAME"), "ROW_COUNT", "KEY_CHARS")
-            for name, frame in tables.items()
-        ]
-    )
+#: Checksums are kept below this prime.
+CHECKSUM_BELOW = 1_000_000_007
+
+
+def _hashed(field: StructField) -> Column:
+    """A whole number per value that another engine can compute alike."""
+    value, kind = F.col(field.name), field.dataType.simpleString()
+    if kind == "boolean":
+        return value.cast("int").cast("bigint")
+    if kind not in ("string", "timestamp", "timestamp_ntz"):
+        return F.round(value.cast("double") * 10_000).cast("bigint")
+    text = value if kind == "string" else F.date_format(value, "yyyy-MM-dd HH:mm:ss")
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+
+
+def table_checks(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows, non-null values and an order-free checksum of every column of every table."""
+    return _stack([_column_checks(name, frame) for name, frame in tables.items()])
+
+
+def _column_checks(name: str, frame: DataFrame) -> DataFrame:
+    sums = [
+        F.struct(
+            F.lit(field.name).alias("COLUMN_NAME"),
+            F.count(field.name).alias("VALUE_COUNT"),
+            (F.sum(_hashed(field).cast("decimal(20,0)")) % CHECKSUM_BELOW).cast("bigint").alias("CHECKSUM"),
+        )
+        for field in frame.schema.fields
+    ]
+    found = frame.agg(F.count(F.lit(1)).alias("ROW_COUNT"), F.array(*sums).alias("columns"))
+    return found.select(F.lit(name).alias("TABLE_NAME"), "ROW_COUNT", F.inline("columns"))
 
 
 # --- sources, sinks, materialisation -------------------------------------------
@@ -59,7 +80,7 @@ def csv_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name in SOURCE_TABLES:
         getattr(t, name).write.option("header", True).csv(f"{folder}/{name}.csv")
     landed = {name: opener() for name, opener in read_csv_folder(spark, folder).items()}
-    return table_sizes(landed)
+    return table_checks(landed)
 
 
 def replaced_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,10 +115,9 @@ def created_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     store.create_extended_customers(spark, table, path)
     store.create_extended_customers(spark, table, path)
     given = [c for c in t.customers_extended.columns if c not in store.EXTENDED_DEFAULTS]
-    rows = t.customers_extended.withColumn("customer_state", F.right("customer_state", F.lit(2)))
     spark.sql(
         f"insert into {table} ({', '.join(given)}) select {', '.join(given)} from {{rows}}",
-        rows=rows,
+        rows=t.customers_extended,
     )
     spark.sql(f"drop table {table}")  # the catalog entry only; the files are external
     return store.open_table(spark, path, "customers_extended")
@@ -107,13 +127,13 @@ def synced_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copy all source tables to the raw layer and measure the copies."""
     layers = store.Layers(new_run_folder(spark, "raw"))
     names = store.sync_raw(load_tables(spark, sf_dir), layers)
-    return table_sizes(store.raw_tables(spark, layers, names).by_name())
+    return table_checks(store.raw_tables(spark, layers, names).by_name())
 
 
 def source_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every declared source by its registered view name."""
     views = store.register_sources(spark, load_tables(spark, sf_dir))
-    return table_sizes({view: spark.table(view) for view in views})
+    return table_checks({view: spark.table(view) for view in views})
 
 
 def staging_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,10 +153,21 @@ def stored_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refresh.open_mart(spark, layers, "mart_top_sellers")
 
 
-def daily_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole refresh, all checks on; rows per stored mart."""
+def _refreshed(spark: SparkSession, sf_dir: str) -> store.Layers:
     layers = store.Layers(new_run_folder(spark, "refresh"))
     refresh.run_refresh(spark, load_tables(spark, sf_dir), layers, DETECTED_AT)
+    return store.published(spark, layers)
+
+
+def pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole refresh, all checks on; every column of the published marts checked."""
+    layers = _refreshed(spark, sf_dir)
+    return table_checks({name: refresh.open_mart(spark, layers, name) for name in MARTS})
+
+
+def daily_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole refresh, all checks on; rows per published mart."""
+    layers = _refreshed(spark, sf_dir)
     return _stack(
         [
             refresh.open_mart(spark, layers, name)
@@ -253,6 +284,7 @@ JOBS: dict[str, Query] = {
     "src_registry": source_registry,
     "mat_view": staging_view,
     "mat_table": stored_mart,
+    "pipeline_run": pipeline_run,
     "daily_refresh": daily_refresh,
     "dq_not_null": _model(null_counts),
     "dq_unique": _model(repeated_values),

@@ -22,14 +22,14 @@ from tradeloom.plans.lines import delivered_orders, paid_lines, sales_lines
 from tradeloom.plans.sales import monthly_revenue
 from tradeloom.sources.tables import Tables
 
-# Label -> month*100 + day, the same in every year.
+# Label -> month and day, the same in every year.
 COMMERCIAL_DATES = {
-    "Black Friday 2017": [1124],
-    "Black Friday 2018": [1123],
-    "Christmas": [1224, 1225],
-    "New Year": [101, 102],
-    "Valentines": [212, 213, 214],
-    "Mothers Day": [513, 514],
+    "Black Friday 2017": ["11-24"],
+    "Black Friday 2018": ["11-23"],
+    "Christmas": ["12-24", "12-25"],
+    "New Year": ["01-01", "01-02"],
+    "Valentines": ["02-12", "02-13", "02-14"],
+    "Mothers Day": ["05-13", "05-14"],
 }
 ORDINARY_DATE = "regular day"
 
@@ -146,7 +146,7 @@ def top_category_report(t: Tables) -> DataFrame:
 
 def date_label(day: Column) -> Column:
     """Commercial date a day falls on, by month and day only."""
-    month_day = F.month(day) * 100 + F.dayofmonth(day)
+    month_day = F.date_format(day, "MM-dd")
     label = None
     for name, days in COMMERCIAL_DATES.items():
         hit = month_day.isin(days)

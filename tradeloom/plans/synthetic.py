@@ -12,15 +12,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.functions.columns import DELIVERED, half_up
-from tradeloom.functions.identity import card_token, cpf, draw, pick
+from tradeloom.functions.identity import card_token, cpf, draw, pick, pick_weighted
 from tradeloom.schemas import raw_schema
 
-# Domains and weights (a value listed n times has weight n).
-STATES = (
-    "SP RJ MG RS PR SC BA GO PE CE PA MA MS MT RN AL PB SE PI TO RO AM AC AP RR DF ES"
-).split()
-STATUSES = ["delivered"] * 5 + ["shipped", "canceled", "invoiced", "processing"]
-PAYMENT_TYPES = ["credit_card"] * 3 + ["boleto", "voucher", "debit_card"]
+# Domains, and values with their weights.
+STATES = [
+    "SP", "RJ", "MG", "RS", "PR", "SC", "BA", "GO", "PE", "CE", "PA", "MA", "MS", "MT",
+    "RN", "AL", "PB", "SE", "PI", "TO", "RO", "AM", "AC", "AP", "RR", "DF", "ES",
+]
+STATUSES = {"delivered": 5, "shipped": 1, "canceled": 1, "invoiced": 1, "processing": 1}
+PAYMENT_TYPES = {"credit_card": 3, "boleto": 1, "voucher": 1, "debit_card": 1}
 SCORE_BELOW = {5: 1, 10: 2, 20: 3, 50: 4}  # draw of 100 below key -> score, else 5
 NORMAL_SOURCE = "synthetic_2019"
 FRAUD_SOURCE = "synthetic_fraud_2019"
@@ -158,7 +159,7 @@ def order_facts(customers: DataFrame) -> DataFrame:
         "SECOND", draw(key, "purchase", PURCHASE_SECONDS), _moment(FIRST_PURCHASE)
     )
     dated = numbered.select(
-        "*", pick(STATUSES, key, "status").alias("order_status"), purchased.alias("bought")
+        "*", pick_weighted(STATUSES, key, "status").alias("order_status"), purchased.alias("bought")
     )
 
     def item(number: Column) -> Column:
@@ -222,7 +223,7 @@ def order_payments(facts: DataFrame) -> DataFrame:
     key = F.col("order_id")
     total = F.aggregate("items", F.lit(0.0), lambda sum_, item: sum_ + item["price"])
     paid = facts.select(
-        key, pick(PAYMENT_TYPES, key, "payment").alias("payment_type"), total.alias("total")
+        key, pick_weighted(PAYMENT_TYPES, key, "payment").alias("payment_type"), total.alias("total")
     )
     by_card = F.col("payment_type") == "credit_card"
     return paid.select(

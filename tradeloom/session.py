@@ -28,20 +28,16 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-# Shuffle sizing: input bytes per shuffle partition, and the most partitions a
-# driver should track. Spark merges partitions that turn out small at run time.
+# Shuffle sizing: input bytes per shuffle partition. Spark merges partitions that turn
+# out small at run time.
 SHUFFLE_BYTES = 256 << 20
-MOST_PARTITIONS = 32_000
-# From this input size on, scan tasks read larger splits.
-LARGE_INPUT_BYTES = 4 << 40
-LARGE_SPLIT = "512MB"
 SIZED_FOR = "spark.tradeloom.shuffle.sizedFor"
 
 
 def shuffle_partitions_for(input_bytes: int, cores: int) -> int:
     """Enough partitions for the bytes, at least one per core up to 200."""
     wanted = -(-input_bytes // SHUFFLE_BYTES)
-    return max(min(200, cores), min(MOST_PARTITIONS, wanted))
+    return max(min(200, cores), wanted)
 
 
 def _is_set(spark: SparkSession, key: str) -> bool:
@@ -49,20 +45,18 @@ def _is_set(spark: SparkSession, key: str) -> bool:
 
 
 def size_shuffles(spark: SparkSession, source: str, measure: Callable[[], int]) -> None:
-    """Fit shuffle partitions and scan splits to the input named by `source`.
+    """Fit shuffle partitions to the input named by `source`.
 
     `measure` gives its bytes and is only called for a source not sized for yet. A
     session that sets `spark.sql.shuffle.partitions` itself keeps its setting.
     """
-    partitions, splits = "spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"
+    partitions = "spark.sql.shuffle.partitions"
     sized_for = spark.conf.get(SIZED_FOR, "")
     if sized_for == source or (_is_set(spark, partitions) and not sized_for):
         return
     size = measure()
     cores = spark.sparkContext.defaultParallelism
     spark.conf.set(partitions, str(shuffle_partitions_for(size, cores)))
-    if size >= LARGE_INPUT_BYTES and not _is_set(spark, splits):
-        spark.conf.set(splits, LARGE_SPLIT)
     spark.conf.set(SIZED_FOR, source)
 
 

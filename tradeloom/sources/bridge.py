@@ -161,7 +161,9 @@ class Bridge:
             "cast(c_custkey as string) as customer_id",
             "c_name as full_name",
             "concat(n_name, if(c_custkey % 10 = 0, '_rural', '_capital')) as customer_city",
-            "n_name as customer_state",
+            # A two-letter code of the nation key.
+            """concat(char(65 + cast(c_nationkey / 5 as int)), char(65 + c_nationkey % 5))
+               as customer_state""",
         )
 
     def customers(self) -> DataFrame:

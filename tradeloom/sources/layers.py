@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import time
+import uuid
+from dataclasses import dataclass, replace
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tradeloom.schemas import RAW_DDL, TEXT_LIMITS, raw_schema
 from tradeloom.sources.tables import Tables
@@ -19,22 +22,52 @@ EXTENDED_DEFAULTS = {"is_synthetic": "true", "data_source": "'synthetic_2019'"}
 
 @dataclass(frozen=True)
 class Layers:
-    """Folder layout: raw tables, staging, marts, and rejected rows."""
+    """Folder layout: raw tables, staging, marts, and rejected rows.
+
+    Staging and marts lie below a version, if there is one: a refresh builds a version
+    of its own and publishes it at its end, so readers only see finished ones.
+    """
 
     root: str
+    version: str = ""
+
+    def _versioned(self, layer: str, name: str) -> str:
+        return "/".join(x for x in (self.root, layer, self.version, name) if x)
 
     def raw(self, name: str) -> str:
         return f"{self.root}/raw/{name}"
 
     def staging(self, name: str) -> str:
-        return f"{self.root}/stg/{name}"
+        return self._versioned("stg", name)
 
     def mart(self, name: str) -> str:
-        return f"{self.root}/mrt/{name}"
+        return self._versioned("mrt", name)
 
     def rejected(self, name: str) -> str:
         return f"{self.root}/err/{name}"
 
+    def versions(self) -> str:
+        return f"{self.root}/versions"
+
+    def new_version(self) -> Layers:
+        return replace(self, version=f"v{time.time_ns()}-{uuid.uuid4().hex[:8]}")
+
+
+VERSION_DDL = "published_ns long, version string"
+
+
+def publish(spark: SparkSession, layers: Layers) -> None:
+    """Make a version the one that `published` finds: one appended row, one file."""
+    row = spark.createDataFrame([(time.time_ns(), layers.version)], VERSION_DDL)
+    append_rows(row.coalesce(1), layers.versions())
+
+
+def published(spark: SparkSession, layers: Layers) -> Layers:
+    """The layers at the version published last; without one an error of the reader."""
+    rows = spark.read.schema(VERSION_DDL).parquet(layers.versions())
+    last = rows.orderBy(F.desc("published_ns"), F.desc("version")).first()
+    return replace(layers, version=last["version"])
+
 
 def replace_table(df: DataFrame, path: str) -> None:
     """Full refresh of a stored table."""
@@ -64,16 +97,17 @@ def replace_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: in
 
 
 def open_table(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """A stored raw table with its declared schema."""
+    """The declared columns of a stored raw table; all of one without a declaration."""
+    if name not in RAW_DDL:
+        return spark.read.parquet(path)
     return spark.read.schema(raw_schema(name)).parquet(path)
 
 
 def sync_raw(source: Tables, layers: Layers) -> list[str]:
-    """Copy every source table to the raw layer, replacing what is there."""
-    copied = [name for name in source.names() if name in RAW_DDL]
-    for name in copied:
+    """Copy every source table, whole, to the raw layer, replacing what is there."""
+    for name in source.names():
         replace_table(getattr(source, name), layers.raw(name))
-    return copied
+    return source.names()
 
 
 def sync_raw_bucketed(

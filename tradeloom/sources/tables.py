@@ -8,13 +8,13 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from tradeloom.operators.staging import orders_view, stage_orders
-from tradeloom.schemas import RAW_DDL
 
 
 class Tables:
     """Raw tables of one run, each opened on first use and then kept.
 
-    Tables are reached as attributes named in `RAW_DDL`: `t.orders`, `t.customers`.
+    Tables are reached as attributes: `t.orders`, `t.customers`. Those named in `RAW_DDL`
+    have a declared schema; others are carried along, so that a copy is complete.
     """
 
     def __init__(
@@ -22,9 +22,6 @@ class Tables:
         openers: Mapping[str, Callable[[], DataFrame]],
         stored: Mapping[str, DataFrame] | None = None,
     ):
-        unknown = set(openers) - set(RAW_DDL)
-        if unknown:
-            raise ValueError(f"undeclared tables: {sorted(unknown)}")
         self._openers = dict(openers)
         self._shared = dict(stored or {})
 
