@@ -65,9 +65,9 @@ def copied_texts() -> list:
     return texts
 
 
-@pytest.mark.parametrize("block", [1024, 7])
+@pytest.mark.parametrize("block", [200_000, 2_000])
 def test_near_copies(spark, tmp_path, monkeypatch, block):
-    monkeypatch.setattr(near_copies, "BLOCK", block)
+    monkeypatch.setattr(near_copies, "BLOCK_SHINGLES", block)
     texts = copied_texts()
     rows, schema = documents(texts)
     rows += [rows[20], (None, *rows[20][1:])]
@@ -115,6 +115,8 @@ def test_suffix_array_and_prefixes(letters):
         text = np.frombuffer(data, np.uint8)
         order = suffix_array(text, 10_000).tolist()
         assert order == sorted(range(len(data)), key=lambda i: data[i:])
+        wanted = np.array([draw.random() < 0.3 for _ in data], bool)
+        assert suffix_array(text, 10_000, wanted).tolist() == [i for i in order if wanted[i]]
         lengths = common_prefixes(text, np.array(order, np.int64), 10_000)
         for i in range(1, len(order)):
             a, b = data[order[i] :], data[order[i - 1] :]

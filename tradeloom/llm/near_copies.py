@@ -9,9 +9,9 @@ most common-looking class is its pivot, and all classes listed with a pivot are
 
 First every member is held against its pivot; what the union sketch does not rule out is
 verified on full sets, and verified links join classes to components. Then members of one
-family that are still in different components are held against each other, in blocks of
-bounded size, and what remains is verified and joined as well. So a large group of copies
-costs a star of links, not all its pairs, and no list is cut.
+family that are still in different components are held against each other on full sets, in
+blocks of bounded size that return joining links only. So a large group of copies costs a
+star of links, not all its pairs, and no list is cut.
 
 Documents without words have an empty set and are linked with nothing, as are null texts;
 fewer than 5 words make one shingle. Rows that repeat an id with equal text are alike in
@@ -40,8 +40,8 @@ PERCENT = 85
 SKETCH, LISTED, LEAST_SHARED = 96, 64, 38
 #: Standard deviations of the union-sketch estimate that a pair may fall short.
 SPREADS = 4.0
-#: Classes of a family compared at once.
-BLOCK = 1024
+#: Shingles of a block of a family; two blocks are compared at once.
+BLOCK_SHINGLES = 200_000
 IS_WORD = (~WHITE).astype(np.uint8)
 
 
@@ -186,51 +186,77 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long")
 
 
-def compare_block(pivot_cell: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """Likely links between the members of two blocks (or within one) of a family.
+def full_sets(texts: DataFrame) -> DataFrame:
+    """class_id and all shingle hashes of texts."""
 
-    Only pairs of different components, of sizes that allow a link and with a value in
-    common are looked at; their union sketch decides.
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, data, bounds in text_chunks(batch.column("text")):
+                values, begin = shingle_sets(data, bounds)
+                lists = pa.ListArray.from_arrays(begin.astype(np.int32), pa.array(as_long(values)))
+                yield pa.RecordBatch.from_arrays([batch.column("class_id").slice(first, len(lists)), lists], ["class_id", "shingles"])
+
+    return texts.select("class_id", "text").mapInArrow(sets, "class_id long, shingles array<long>")
+
+
+def links_in_cell(cell: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """Links between members of two blocks (or within one) of a family, on full sets.
+
+    An inverted list over the second block gives the overlaps of one member with all of
+    it. Only pairs of different components are looked at, and each link found joins its
+    two, so a cell returns fewer links than it has members.
     """
-    i, j = pivot_cell[1], pivot_cell[2]
+    i, j = cell[1], cell[2]
     rows = rows.sort_values("class_id")
     left, right = rows[rows["own"] == i], rows[rows["own"] == j]
-    out_a, out_b = [], []
-    ids, groups, sizes = (right[c].to_numpy() for c in ("class_id", "component", "n_shingles"))
-    sketches = [np.asarray(x, np.int64).view(np.uint64) for x in right["sketch"]]
-    flat = np.concatenate(sketches)
-    owner = np.repeat(np.arange(len(sketches)), [len(x) for x in sketches])
+    if left.empty or right.empty:
+        return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+    names, group = np.unique(rows["component"], return_inverse=True)
+    group_of = dict(zip(rows["class_id"], group))
+    joined = np.arange(len(names))
+    ids, sizes = right["class_id"].to_numpy(), right["n_shingles"].to_numpy()
+    groups = np.array([group_of[x] for x in ids])
+    sets = [np.asarray(x, np.int64) for x in right["shingles"]]
+    flat = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
     order = np.argsort(flat, kind="stable")
-    flat, owner = flat[order], owner[order]
-    for a, group, size, sketch in zip(left["class_id"], left["component"], left["n_shingles"], left["sketch"]):
-        mine = np.asarray(sketch, np.int64).view(np.uint64)
-        low, high = np.searchsorted(flat, mine, "left"), np.searchsorted(flat, mine, "right")
-        hits = np.concatenate([owner[x:y] for x, y in zip(low, high)])
-        shared = np.bincount(hits, minlength=len(sketches))
-        open_pair = (groups != group) & (100 * np.minimum(sizes, size) >= PERCENT * np.maximum(sizes, size))
-        if i == j:
-            open_pair &= ids > a
-        for at in np.flatnonzero(open_pair & (shared > 0)):
-            both, of = union_overlap(mine, sketches[at])
-            if not short_of(np.array(both), np.array(of)):
-                out_a.append(min(a, ids[at]))
-                out_b.append(max(a, ids[at]))
-    return pd.DataFrame({"a": np.array(out_a, np.int64), "b": np.array(out_b, np.int64)})
-
-
-def open_pairs(family: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
-    """Likely links between members of one family that are in different components."""
-    named = written(classes.join(found.withColumnRenamed("node", "class_id"), "class_id", "left"), "named")
-    named = named.select("class_id", "n_shingles", "sketch", F.coalesce("component", "class_id").alias("component"))
-    members = written(family.join(named.select("class_id", "component"), "class_id"), "members")
-    mixed = members.groupBy("pivot").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).where("x <> y")
-    mixed = written(mixed.select("pivot", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "mixed")
-    rows = members.join(mixed, "pivot").join(named.select("class_id", "n_shingles", "sketch"), "class_id")
+    values, begin = np.unique(flat[order], return_index=True)
+    begin, owner = np.append(begin, len(flat)), owner[order]
+    out = []
+    for a, size, mine in zip(left["class_id"], left["n_shingles"], left["shingles"]):
+        open_pair = (joined[groups] != joined[group_of[a]]) & (100 * np.minimum(sizes, size) >= PERCENT * np.maximum(sizes, size))
+        if not open_pair.any():
+            continue
+        mine = np.asarray(mine, np.int64)
+        at = np.minimum(np.searchsorted(values, mine), len(values) - 1)
+        at = at[values[at] == mine]
+        count = begin[at + 1] - begin[at]
+        places = np.repeat(begin[at] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        both = np.bincount(owner[places], minlength=len(sets))
+        linked = open_pair & (100 * both >= PERCENT * (size + sizes - both))
+        for b in np.flatnonzero(linked):
+            old, new = joined[groups[b]], joined[group_of[a]]
+            if old != new:
+                joined[joined == old] = new
+                out.append((a, ids[b]))
+    return pd.DataFrame(out, columns=["a", "b"]).astype(np.int64)
+
+
+def open_links(family: DataFrame, classes: DataFrame, found: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between members of one family that are in different components."""
+    named = classes.join(found.withColumnRenamed("node", "class_id"), "class_id", "left")
+    named = written(named.select("class_id", "n_shingles", F.coalesce("component", "class_id").alias("component")), "named")
+    members = written(family.join(named, "class_id"), "members")
+    counts = members.groupBy("pivot").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.sum("n_shingles").alias("n"))
+    blocks = F.ceil(F.col("n") / BLOCK_SHINGLES).cast("int")
+    mixed = written(counts.where("x <> y").select("pivot", blocks.alias("blocks")), "mixed")
+    members = written(members.join(mixed, "pivot"), "mixed_members")
+    wanted = written(members.select("class_id").distinct(), "wanted")
+    sets = written(full_sets(texts.withColumnRenamed("doc_id", "class_id").join(wanted, "class_id")), "sets")
     own = F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int")
-    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("pivot", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "class_id", "component", "n_shingles", "sketch")
-    cells = rows.groupBy("pivot", "i", "j")
-    return cells.applyInPandas(lambda key, part: compare_block(key, part), "a long, b long").distinct()
+    rows = members.withColumn("own", own).join(sets, "class_id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("pivot", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "class_id", "component", "n_shingles", "shingles")
+    return rows.groupBy("pivot", "i", "j").applyInPandas(lambda cell, part: links_in_cell(cell, part), "a long, b long").distinct()
 
 
 def group_copies(documents: DataFrame) -> DataFrame:
@@ -249,7 +275,7 @@ def group_copies(documents: DataFrame) -> DataFrame:
     )
     links = written(verified(written(likely_links(star), "likely"), texts), "verified")
     found = written(components(links), "components")
-    more = written(verified(written(open_pairs(family, classes, found), "likely"), texts), "verified")
+    more = written(open_links(family, classes, found, texts), "more")
     found = written(components(links.union(more)), "components")
     labels = classes.join(found.withColumnRenamed("node", "class_id"), "class_id", "left")
     labels = written(labels.select(*SET, F.coalesce("component", "class_id").alias("component_id")), "labels")
