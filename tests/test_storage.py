@@ -175,12 +175,14 @@ def test_refresh_stops_before_marts_when_staging_fails(spark):
 
 def test_quarantine_moves_malformed_rows_to_the_error_layer(spark):
     folder = store.Layers(new_run_folder(spark, "quarantine"))
-    shop = small_shop(spark).order("bad", bought="yesterday")
+    shop = small_shop(spark).order("bad", bought="yesterday").review("o1", 5, answered="soon")
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         refresh.run_refresh(spark, shop.tables(), folder)
     refresh.run_refresh(spark, shop.tables(), folder, quarantine=True)
     rejected = store.open_table(spark, folder.rejected("orders"), "orders")
     assert [r["order_id"] for r in rows(rejected)] == ["bad"]
+    reviews = store.open_table(spark, folder.rejected("order_reviews"), "order_reviews")
+    assert [r["review_answer_timestamp"] for r in rows(reviews)] == ["soon"]
     assert [r["ORDER_ID"] for r in rows(spark.table("stg_orders"))] == ["o1"]
 
 

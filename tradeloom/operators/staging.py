@@ -60,11 +60,18 @@ def stage_orders(raw_orders: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
-def is_malformed() -> Column:
-    """Whether any timestamp text of a raw order is present but unreadable."""
+# Timestamp texts that models parse, by raw table.
+PARSED_TEXTS = {
+    "orders": list(PARSED_FROM.values()),
+    "order_reviews": ["review_creation_date", "review_answer_timestamp"],
+}
+
+
+def is_malformed(table: str) -> Column:
+    """Whether any timestamp text of a raw row is present but unreadable."""
     unreadable = [
         F.col(raw).isNotNull() & F.col(raw).try_cast("timestamp_ntz").isNull()
-        for raw in PARSED_FROM.values()
+        for raw in PARSED_TEXTS[table]
     ]
     return reduce(Column.__or__, unreadable)
 

@@ -147,8 +147,8 @@ CTES: dict[str, str] = {
 }
 
 
-def with_bridge(body: str, extra: dict[str, str] | None = None) -> str:
+def with_bridge(body: str, extra: dict[str, str] | None = None, base: dict[str, str] = CTES) -> str:
     """A complete statement: the derivation, further CTEs, then the query."""
-    parts = {**CTES, **(extra or {})}
+    parts = {**base, **(extra or {})}
     listed = ",\n".join(f"{name} as ({text})" for name, text in parts.items())
     return f"with {listed}\n{body}"

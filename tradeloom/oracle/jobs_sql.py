@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from tradeloom.oracle.bridge_sql import CTES
 from tradeloom.oracle.models_sql import MODEL_SQL
-from tradeloom.schemas import MART_DDL, RAW_DDL
+from tradeloom.schemas import MART_DDL, RAW_DDL, TEXT_LIMITS
 
 # Raw table -> the CTE it corresponds to.
 RAW_CTES = {
@@ -305,6 +306,7 @@ JOB_SQL: dict[str, str] = {
     "sink_create_if_absent": """
         select * replace (true as is_synthetic, 'synthetic_2019' as data_source) from cext""",
     "raw_sync": table_checks(RAW_CTES),
+    "raw_sync_bucketed": table_checks(RAW_CTES),
     "src_registry": table_checks(RAW_CTES, "raw_"),
     "mat_view": """
         select ORDER_STATUS, count(*) as ORDERS, min(ORDER_PURCHASED_AT) as FIRST_AT,
@@ -342,6 +344,17 @@ JOB_SQL: dict[str, str] = {
             strangers("rev", "review_score", [1, 2, 3, 4, 5]),
         ]
     ),
+    "quarantine_split": """
+        select 'orders' as TABLE_NAME, order_id as KEY,
+            cast(order_id as bigint) % 50 = 0 as REJECTED from raw_orders
+        union all
+        select 'order_reviews', review_id, cast(order_id as bigint) % 40 = 0 from rev""",
+    "dq_text_limits": " union all ".join(
+        f"""select 'text_limit' as CHECK_NAME, '{column}' as COLUMN_NAME,
+                count(*) filter (length({column}) > {most}) as FAILURES from cext"""
+        for column, limit in TEXT_LIMITS.items()
+        for most in (limit, limit * 3 // 4)
+    ),
     "dq_contract": """
         select ORDER_STATUS, count(ORDER_ID) as ORDERS,
             count(ORDER_DELIVERED_AT) as ARRIVALS
@@ -394,8 +407,39 @@ JOB_SQL: dict[str, str] = {
         from (select *, right(document_number, 9) as nine from cext)""",
 }
 
+# The raw tables after the synthetic load: what was given and what was generated.
+GENERATED = {
+    "raw_orders": ["synth_orders"],
+    "items": ["synth_items"],
+    "pay": ["synth_payments"],
+    "rev": ["synth_reviews"],
+    "cext": ["synth_normal_customers", "synth_fraud_customers"],
+}
+LOADED_CTES: dict[str, str] = {
+    **SYNTH_CTES,
+    **{
+        name: " union all by name ".join(
+            f"select * from ({part})" for part in [text, *(JOB_SQL[job] for job in GENERATED.get(name, []))]
+        )
+        for name, text in CTES.items()
+    },
+}
+CHANGED_BY_LOAD = [
+    "mart_sazonalidade",
+    "mart_revenue_trend",
+    "mart_seasonal_dates",
+    "mart_peak_hours",
+    "mart_fraud_signals",
+]
+JOB_SQL["synth_load"] = " union all ".join(
+    column_check(model, model, column, kind)
+    for model in CHANGED_BY_LOAD
+    for column, kind in columns_of(MART_DDL[model])
+)
+
 # Further CTEs a statement needs besides the derivation of the inputs.
 EXTRA_CTES: dict[str, dict[str, str]] = {
     **{name: SYNTH_CTES for name in ("synth_orders", "synth_items", "synth_payments", "synth_reviews")},
     **{name: {m: MODEL_SQL[m] for m in DECLARED} for name in ("dq_suite", "daily_refresh", "pipeline_run")},
+    "synth_load": {m: MODEL_SQL[m] for m in CHANGED_BY_LOAD},
 }

@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from tradeloom.operators.lookups import input_bytes
 from tradeloom.operators.quality import enforce_contract, run_checks, suite
-from tradeloom.operators.staging import is_malformed
+from tradeloom.operators.staging import PARSED_TEXTS, is_malformed
 from tradeloom.plans import fraud
 from tradeloom.plans.catalog import ALL_CHECKS, MARTS, STAGING_CHECKS, Builder
 from tradeloom.plans.lines import SHARED_LINES
@@ -122,14 +122,18 @@ def quality_report(spark: SparkSession, staged: DataFrame, layers: Layers) -> Da
 
 
 def set_malformed_aside(t: Tables, layers: Layers) -> Tables:
-    """Move raw orders with unreadable timestamps to the error layer.
+    """Move raw orders and reviews with unreadable timestamps to the error layer.
 
     The rest is staged as usual, so one bad row does not stop the refresh and no row
     is dropped unseen.
     """
-    bad = is_malformed()
-    replace_table(t.orders.where(bad), layers.rejected("orders"))
-    return t.with_raw(orders=t.orders.where(~bad))
+    good = {}
+    for name in PARSED_TEXTS:
+        if name in t.names():
+            rows, bad = getattr(t, name), is_malformed(name)
+            replace_table(rows.where(bad), layers.rejected(name))
+            good[name] = rows.where(~bad)
+    return t.with_raw(**good)
 
 
 def run_refresh(

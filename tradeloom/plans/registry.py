@@ -17,7 +17,7 @@ from tradeloom.functions.identity import card_token, cpf, cpf_is_valid
 from tradeloom.operators import quality
 from tradeloom.plans import fraud, refresh, sellers, synthetic
 from tradeloom.plans.catalog import ANALYSES, FRAUD_RULES, MARTS, STAGING, Builder
-from tradeloom.schemas import SOURCE_TABLES, contract
+from tradeloom.schemas import SOURCE_TABLES, TEXT_LIMITS, contract
 from tradeloom.session import new_run_folder
 from tradeloom.sources import layers as store
 from tradeloom.sources.bridge import Bridge, load_tables
@@ -130,6 +130,15 @@ def synced_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_checks(store.raw_tables(spark, layers, names).by_name())
 
 
+def synced_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw copy with the order-keyed tables bucketed on the order id, measured."""
+    layers = store.Layers(new_run_folder(spark, "bucketed"))
+    database = "raw_" + layers.root.rsplit("-", 1)[1]
+    spark.sql(f"create database {database} location '{layers.root}/catalog'")
+    store.sync_raw_bucketed(load_tables(spark, sf_dir), layers, database, buckets=8)
+    return table_checks(store.bucketed_tables(spark, layers, database).by_name())
+
+
 def source_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every declared source by its registered view name."""
     views = store.register_sources(spark, load_tables(spark, sf_dir))
@@ -178,6 +187,31 @@ def daily_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and reviews by whether a timestamp that cannot be read sets them aside.
+
+    The given texts are all readable, so those of every 50th order and of the reviews of
+    every 40th are replaced by words first.
+    """
+    t, layers = load_tables(spark, sf_dir), store.Layers(new_run_folder(spark, "aside"))
+    number = F.col("order_id").cast("bigint")
+    spoilt = t.with_raw(
+        orders=_spoilt(t.orders, "order_purchase_timestamp", number % 50 == 0, "yesterday"),
+        order_reviews=_spoilt(t.order_reviews, "review_answer_timestamp", number % 40 == 0, "soon"),
+    )
+    kept = refresh.set_malformed_aside(spoilt, layers)
+    parts = []
+    for name, key in (("orders", "order_id"), ("order_reviews", "review_id")):
+        aside = store.open_table(spark, layers.rejected(name), name)
+        for rows, rejected in ((getattr(kept, name), False), (aside, True)):
+            parts.append(rows.select(F.lit(name).alias("TABLE_NAME"), F.col(key).alias("KEY"), F.lit(rejected).alias("REJECTED")))
+    return _stack(parts)
+
+
+def _spoilt(rows: DataFrame, column: str, where: Column, text: str) -> DataFrame:
+    return rows.withColumn(column, F.when(where, text).otherwise(F.col(column)))
+
+
 # --- data quality ---------------------------------------------------------------
 
 
@@ -211,6 +245,13 @@ def unexpected_values(t: Tables) -> DataFrame:
     )
 
 
+def long_texts(t: Tables) -> DataFrame:
+    """Values beyond the declared text lengths, and beyond lengths cut to three quarters."""
+    tight = {column: limit * 3 // 4 for column, limit in TEXT_LIMITS.items()}
+    declared = quality.text_limits(t.customers_extended, TEXT_LIMITS)
+    return declared.unionByName(quality.text_limits(t.customers_extended, tight))
+
+
 def contracted(t: Tables) -> DataFrame:
     """The staging model after its contract was enforced, summed up by status."""
     staged = quality.enforce_contract("stg_orders", t.stg_orders, contract("stg_orders"))
@@ -250,6 +291,39 @@ def _synthetic_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return synthetic.order_facts(everyone)
 
 
+#: Marts whose rows the synthetic load changes.
+CHANGED_BY_LOAD = [
+    "mart_sazonalidade",
+    "mart_revenue_trend",
+    "mart_seasonal_dates",
+    "mart_peak_hours",
+    "mart_fraud_signals",
+]
+
+
+def synthetic_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Generated customers and orders appended to the raw tables, then a refresh.
+
+    Every column of the marts the load changes, checked.
+    """
+    raw, lake = store.Layers(new_run_folder(spark, "loaded")), store.Layers(new_run_folder(spark, "lake"))
+    names = store.sync_raw(load_tables(spark, sf_dir), raw)
+    people = _normal(spark, sf_dir).unionByName(_fraudulent(spark, sf_dir))
+    facts = synthetic.order_facts(people)
+    generated = {
+        "customers_extended": people,
+        "orders": synthetic.orders(facts),
+        "order_items": synthetic.order_items(facts),
+        "order_payments": synthetic.order_payments(facts),
+        "order_reviews": synthetic.order_reviews(facts),
+    }
+    for name, rows in generated.items():
+        store.append_rows(rows, raw.raw(name))
+    refresh.run_refresh(spark, store.raw_tables(spark, raw, names), lake, DETECTED_AT)
+    current = store.published(spark, lake)
+    return table_checks({name: refresh.open_mart(spark, current, name) for name in CHANGED_BY_LOAD})
+
+
 def _generated(build: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(_synthetic_facts(spark, sf_dir))
 
@@ -281,14 +355,17 @@ JOBS: dict[str, Query] = {
     "src_table_filter": filtered_table,
     "sink_create_if_absent": created_table,
     "raw_sync": synced_raw,
+    "raw_sync_bucketed": synced_bucketed,
     "src_registry": source_registry,
     "mat_view": staging_view,
     "mat_table": stored_mart,
     "pipeline_run": pipeline_run,
     "daily_refresh": daily_refresh,
+    "quarantine_split": quarantine_split,
     "dq_not_null": _model(null_counts),
     "dq_unique": _model(repeated_values),
     "dq_accepted_values": _model(unexpected_values),
+    "dq_text_limits": _model(long_texts),
     "dq_contract": _model(contracted),
     "dq_suite": quality_suite,
     "synth_normal_customers": _normal,
@@ -297,6 +374,7 @@ JOBS: dict[str, Query] = {
     "synth_items": _generated(synthetic.order_items),
     "synth_payments": _generated(synthetic.order_payments),
     "synth_reviews": _generated(synthetic.order_reviews),
+    "synth_load": synthetic_load,
     "synth_card_token": _model(card_tokens),
     "synth_cpf": _model(tax_numbers),
 }
