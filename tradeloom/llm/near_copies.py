@@ -295,3 +295,33 @@ def keep_first_copies(documents: DataFrame) -> DataFrame:
 
 def op6_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_copies(table(spark, sf_dir, "documents")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+OP6_SQL = r"""
+with recursive words as (
+    select doc_id, list_filter(
+        string_split_regex(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[\x20\x09-\x0D]+'),
+        lambda w: w <> '') as w
+    from documents
+), sets as (
+    select doc_id, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+        else list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) end as s
+    from words
+), items as (
+    select doc_id, len(s) as n, unnest(s) as item from sets
+), links as (
+    select a.doc_id as a, b.doc_id as b
+    from items a join items b on a.item = b.item and a.doc_id < b.doc_id
+    group by all having 100 * count(*) >= 85 * (any_value(a.n) + any_value(b.n) - count(*))
+), both_ways as (
+    select a, b from links union all select b, a from links
+), reach(doc_id, other) as (
+    select doc_id, doc_id from sets
+    union
+    select reach.doc_id, both_ways.b from reach join both_ways on both_ways.a = reach.other
+)
+select sets.doc_id, cast(len(s) as bigint) as n_shingles, least_id as component_id, sets.doc_id = least_id as kept
+from sets join (select doc_id, min(other) as least_id from reach group by doc_id) using (doc_id)
+"""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tradeloom.llm.bit_slices import OP4_SQL, op4_top_products
 from tradeloom.llm.bpe import op9_bpe
-from tradeloom.llm.near_copies import op6_near_copies
+from tradeloom.llm.near_copies import OP6_SQL, op6_near_copies
 from tradeloom.llm.neighbours import OP10_SQL, op10_nearest
 from tradeloom.llm.packing import op7_packing
 from tradeloom.llm.quality import op1_quality
@@ -32,5 +32,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op4_top_products": OP4_SQL,
+    "op6_near_copies": OP6_SQL,
     "op10_nearest": OP10_SQL,
 }
