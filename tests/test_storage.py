@@ -5,7 +5,12 @@ from tradeloom.plans import refresh, sales
 from tradeloom.plans.lines import paid_lines
 from tradeloom.plans.catalog import MARTS
 from tradeloom.schemas import SOURCE_TABLES, raw_schema
-from tradeloom.session import new_run_folder, shuffle_partitions_for, size_shuffles
+from tradeloom.session import (
+    new_run_folder,
+    remove_run_folders,
+    shuffle_partitions_for,
+    size_shuffles,
+)
 from tradeloom.sources import layers as store
 from tradeloom.sources.bridge import load_tables
 from tradeloom.sources.landing import malformed_in_folder, read_csv_folder
@@ -205,5 +210,14 @@ def test_marts_from_the_stored_staging_push_the_status_filter(spark):
     assert "ReadSchema: struct<ORDER_ID:string,ORDER_STATUS:string,ORDER_PURCHASED_AT" in plan
 
 
+def test_an_application_removes_its_own_run_folders(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr("tradeloom.session.shared_folder", lambda spark: str(tmp_path))
+    other = tmp_path / "another-application"
+    other.mkdir()
+    spark.range(3).write.parquet(new_run_folder(spark, "left"))
+    remove_run_folders(spark)
+    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["another-application"]
+
+
 def test_source_names():
     assert len(SOURCE_TABLES) == 9

@@ -90,6 +90,17 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def run_root(spark: SparkSession) -> str:
+    """Where this application keeps its intermediate tables."""
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+
+
 def new_run_folder(spark: SparkSession, label: str) -> str:
-    """A fresh folder below the shared one."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder below the one of this application."""
+    return f"{run_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_run_folders(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application, once its results are stored."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
