@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tradeloom.oracle.bridge_sql import CTES
-from tradeloom.oracle.models_sql import MODEL_SQL
+from tradeloom.oracle.models_sql import MODEL_SQL, MONTHLY, r
 from tradeloom.schemas import MART_DDL, RAW_DDL, TEXT_LIMITS
 
 # Raw table -> the CTE it corresponds to.
@@ -349,6 +349,18 @@ JOB_SQL: dict[str, str] = {
             cast(order_id as bigint) % 50 = 0 as REJECTED from raw_orders
         union all
         select 'order_reviews', review_id, cast(order_id as bigint) % 40 = 0 from rev""",
+    "incremental_month": f"""
+        select YEAR, MONTH, MONTH_NAME, MONTH_DATE, TOTAL_ORDERS,
+            {r("s")} as TOTAL_REVENUE, {r("a")} as AVG_ORDER_VALUE from ({MONTHLY})""",
+    "scd2_customers": """
+        select customer_id, customer_city, customer_state, t1 as VALID_FROM,
+            case when no % 10 = 3 or no % 17 = 0 then t2 end as VALID_TO,
+            not (no % 10 = 3 or no % 17 = 0) as IS_CURRENT
+        from numbered where no % 13 <> 0
+        union all
+        select customer_id, customer_city || case when no % 10 = 3 then '_new' else '' end,
+            customer_state, t2, null, true
+        from numbered where no % 17 <> 0 and (no % 13 = 0 or no % 10 = 3)""",
     "dq_text_limits": " union all ".join(
         f"""select 'text_limit' as CHECK_NAME, '{column}' as COLUMN_NAME,
                 count(*) filter (length({column}) > {most}) as FAILURES from cext"""
@@ -441,5 +453,10 @@ JOB_SQL["synth_load"] = " union all ".join(
 EXTRA_CTES: dict[str, dict[str, str]] = {
     **{name: SYNTH_CTES for name in ("synth_orders", "synth_items", "synth_payments", "synth_reviews")},
     **{name: {m: MODEL_SQL[m] for m in DECLARED} for name in ("dq_suite", "daily_refresh", "pipeline_run")},
+    "scd2_customers": {
+        "numbered": """
+            select *, cast(customer_id as bigint) as no,
+                timestamp '2025-01-01' as t1, timestamp '2026-01-01' as t2 from cust"""
+    },
     "synth_load": {m: MODEL_SQL[m] for m in CHANGED_BY_LOAD},
 }

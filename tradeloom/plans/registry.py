@@ -15,7 +15,7 @@ from pyspark.sql.types import StructField
 
 from tradeloom.functions.identity import card_token, cpf, cpf_is_valid
 from tradeloom.operators import quality
-from tradeloom.plans import fraud, refresh, sellers, synthetic
+from tradeloom.plans import fraud, history, refresh, sellers, synthetic
 from tradeloom.plans.catalog import ANALYSES, FRAUD_RULES, MARTS, STAGING, Builder
 from tradeloom.schemas import SOURCE_TABLES, TEXT_LIMITS, contract
 from tradeloom.session import new_run_folder
@@ -212,6 +212,31 @@ def _spoilt(rows: DataFrame, column: str, where: Column, text: str) -> DataFrame
     return rows.withColumn(column, F.when(where, text).otherwise(F.col(column)))
 
 
+# --- optional: incremental months and customer history ----------------------------
+
+
+def incremental_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly revenue stored without some orders of 1995, then brought up to date.
+
+    Only the months of the orders that came late are computed and replaced.
+    """
+    t, path = load_tables(spark, sf_dir), f"{new_run_folder(spark, 'months')}/revenue"
+    late = (F.col("order_id").cast("bigint") % 7 == 0) & history.month_of_purchase().startswith("1995")
+    history.store_months(t.with_raw(orders=t.orders.where(~late)), path)
+    history.store_months(t, path, history.changed_months(t.orders.where(late)))
+    return history.open_months(spark, path)
+
+
+def customer_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses over two snapshots: some customers move, some come, some go."""
+    number = F.col("customer_id").cast("bigint")
+    people = load_tables(spark, sf_dir).customers
+    moved = F.when(number % 10 == 3, F.concat("customer_city", F.lit("_new"))).otherwise(F.col("customer_city"))
+    first = history.first_history(people.where(number % 13 != 0), "2025-01-01 00:00:00")
+    second = people.where(number % 17 != 0).withColumn("customer_city", moved)
+    return history.next_history(first, second, "2026-01-01 00:00:00")
+
+
 # --- data quality ---------------------------------------------------------------
 
 
@@ -362,6 +387,8 @@ JOBS: dict[str, Query] = {
     "pipeline_run": pipeline_run,
     "daily_refresh": daily_refresh,
     "quarantine_split": quarantine_split,
+    "incremental_month": incremental_months,
+    "scd2_customers": customer_history,
     "dq_not_null": _model(null_counts),
     "dq_unique": _model(repeated_values),
     "dq_accepted_values": _model(unexpected_values),
