@@ -349,6 +349,12 @@ JOB_SQL: dict[str, str] = {
             cast(order_id as bigint) % 50 = 0 as REJECTED from raw_orders
         union all
         select 'order_reviews', review_id, cast(order_id as bigint) % 40 = 0 from rev""",
+    "event_driven_load": "select * from stg",
+    "event_driven_days": """
+        select cast(date_trunc('day', ORDER_PURCHASED_AT) as timestamp) as ORDER_DATE,
+            count(ORDER_ID) as TOTAL_ORDERS,
+            count(ORDER_ID) filter (ORDER_STATUS = 'delivered') as DELIVERED_ORDERS
+        from stg group by 1""",
     "incremental_month": f"""
         select YEAR, MONTH, MONTH_NAME, MONTH_DATE, TOTAL_ORDERS,
             {r("s")} as TOTAL_REVENUE, {r("a")} as AVG_ORDER_VALUE from ({MONTHLY})""",

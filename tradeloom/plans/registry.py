@@ -23,6 +23,7 @@ from tradeloom.sources import layers as store
 from tradeloom.sources.bridge import Bridge, load_tables
 from tradeloom.sources.landing import read_csv_folder
 from tradeloom.sources.tables import Tables
+from tradeloom.streaming import arrivals
 
 # A fixed detection moment keeps the fraud result comparable between runs.
 DETECTED_AT = "2026-01-01 06:00:00"
@@ -212,7 +213,27 @@ def _spoilt(rows: DataFrame, column: str, where: Column, text: str) -> DataFrame
     return rows.withColumn(column, F.when(where, text).otherwise(F.col(column)))
 
 
-# --- optional: incremental months and customer history ----------------------------
+# --- optional: arrivals, incremental months, customer history ---------------------
+
+
+def _delivered_twice(spark: SparkSession, sf_dir: str, handle: Callable) -> str:
+    """Two deliveries of order files, handled after each; the target folder."""
+    orders, root = load_tables(spark, sf_dir).orders, new_run_folder(spark, "arrivals")
+    early = F.col("order_id").cast("bigint") % 3 != 0
+    for delivery in (orders.where(early), orders.where(~early)):
+        store.append_rows(delivery, f"{root}/incoming")
+        handle(spark, f"{root}/incoming", f"{root}/target", f"{root}/checkpoint")
+    return f"{root}/target"
+
+
+def arrivals_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged orders of two deliveries, each file handled once."""
+    return arrivals.loaded_orders(spark, _delivered_twice(spark, sf_dir, arrivals.load_arrivals))
+
+
+def arrivals_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by day of purchase, kept up to date over two deliveries."""
+    return arrivals.counted_days(spark, _delivered_twice(spark, sf_dir, arrivals.count_arrivals))
 
 
 def incremental_months(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -387,6 +408,8 @@ JOBS: dict[str, Query] = {
     "pipeline_run": pipeline_run,
     "daily_refresh": daily_refresh,
     "quarantine_split": quarantine_split,
+    "event_driven_load": arrivals_loaded,
+    "event_driven_days": arrivals_counted,
     "incremental_month": incremental_months,
     "scd2_customers": customer_history,
     "dq_not_null": _model(null_counts),
