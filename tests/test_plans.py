@@ -124,6 +124,14 @@ def test_top_with_total_is_exact(spark):
     assert {r.total for r in found} == {df.agg(F.sum("m")).first()[0]}
 
 
+def test_unique_orders_are_counted_in_place(spark, no_broadcast):
+    t = load_tables(spark, SF_DIR)
+    for name in ("mart_peak_hours", "mart_late_deliveries"):
+        plain, direct = MARTS[name](t), MARTS[name](t.with_unique_orders())
+        assert "order_id" not in " ".join(re.findall(r"hashpartitioning\([^)]*", plan_of(direct)))
+        assert plain.exceptAll(direct).count() == 0 and direct.exceptAll(plain).count() == 0
+
+
 def test_nulls_are_no_distinct_values(spark):
     rows = [("o1", "a", None, 1.0), ("o1", "a", "p1", 2.0), (None, "a", "p2", 4.0), ("o2", "b", None, 8.0)]
     df = spark.createDataFrame(rows, "o string, k string, p string, x double")

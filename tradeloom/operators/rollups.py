@@ -58,6 +58,7 @@ def distinct_rollup(
     flags: Mapping[str, Column] | None = None,
     measures: Mapping[str, Column] | None = None,
     once: Mapping[str, Column] | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Per key: distinct entities, distinct flagged entities, row statistics.
 
@@ -65,9 +66,19 @@ def distinct_rollup(
     (distinct entities with at least one row where it holds) and
     `<measure>_sum/_cnt/_min/_max` over all rows. A value of `once` is the same on all
     rows of an entity; `<name>_once` adds it up over entities.
+
+    `unique`: every entity is known to have one row. Then rows are counted in place and
+    only one partial result per key and task is shuffled.
     """
     flags, measures, once = dict(flags or {}), dict(measures or {}), dict(once or {})
     known = F.col(entity).isNotNull()
+    if unique:
+        return df.groupBy(*keys).agg(
+            F.count(entity).alias("n"),
+            *[F.count_if(known & holds).alias(f"n_{name}") for name, holds in flags.items()],
+            *[F.sum(value).alias(f"{name}_once") for name, value in once.items()],
+            *_measure_columns(measures),
+        )
     per_entity = df.groupBy(*keys, entity).agg(
         F.count(F.lit(1)).alias("n_rows"),
         *[F.max(holds).alias(f"has_{name}") for name, holds in flags.items()],

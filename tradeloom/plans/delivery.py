@@ -70,6 +70,7 @@ def late_deliveries(t: Tables, month_names: bool = True) -> DataFrame:
         "order_id",
         flags={"late": is_late(), "punctual": ~is_late()},
         measures={"late": days_late()},
+        unique=t.unique_orders,
     )
     report = rolled.select(
         F.year("m").alias("YEAR"),

@@ -174,7 +174,7 @@ def run_refresh(
     _stop_on_failures(run_checks("stg_orders", staged, STAGING_CHECKS["stg_orders"]))
     step("staging")
 
-    shared = store_shared(spark, t.with_stored(stg_orders=staged), layers)
+    shared = store_shared(spark, t.with_stored(stg_orders=staged), layers).with_unique_orders()
     store_marts(shared, layers, detected_at, at_once)
     step("marts")
 

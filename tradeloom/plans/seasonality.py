@@ -102,7 +102,8 @@ def peak_hours(t: Tables) -> DataFrame:
         F.dayname(moment).alias("DAY_NAME"),
         F.hour(moment).alias("HOUR_OF_DAY"),
     )
-    rolled = distinct_rollup(slots, ["DAY_NUMBER", "DAY_NAME", "HOUR_OF_DAY"], "order_id")
+    keys = ["DAY_NUMBER", "DAY_NAME", "HOUR_OF_DAY"]
+    rolled = distinct_rollup(slots, keys, "order_id", unique=t.unique_orders)
     return rolled.select(
         "DAY_NUMBER",
         "DAY_NAME",

@@ -21,7 +21,9 @@ class Tables:
         self,
         openers: Mapping[str, Callable[[], DataFrame]],
         stored: Mapping[str, DataFrame] | None = None,
+        unique_orders: bool = False,
     ):
+        self.unique_orders = unique_orders
         self._openers = dict(openers)
         self._shared = dict(stored or {})
 
@@ -55,7 +57,11 @@ class Tables:
 
     def with_stored(self, **frames: DataFrame) -> Tables:
         """The same tables, with stored frames in place of derived shared ones."""
-        return Tables(self._openers, frames)
+        return Tables(self._openers, frames, self.unique_orders)
+
+    def with_unique_orders(self) -> Tables:
+        """The same tables after a check that staged orders have unique, known ids."""
+        return Tables(self._openers, self._shared, unique_orders=True)
 
     def with_raw(self, **frames: DataFrame) -> Tables:
         """The same tables with some raw tables replaced; nothing shared is kept."""
