@@ -5,9 +5,8 @@ least hashed 128-byte strings inside it. Equal windows have equal anchors at equ
 so a window can only repeat where its anchor does. Windows with one anchor make a segment.
 
 1. Anchors are counted over all documents; those that occur once are done with.
-2. Segments of an anchor that are all equal, and equal segments of other anchors, repeat
-   as a whole: counting copies of a segment is enough.
-3. The distinct segments of the remaining anchors are gathered, anchor by anchor, into
+2. A segment that occurs more than once repeats as a whole: counting it is enough.
+3. The distinct segments of anchors that have several are gathered, anchor by anchor, into
    blocks of bounded size; a block's suffix array (two-stage sorting) and adjacent common
    prefixes of the windows show which of them repeat in it. An anchor with very many distinct segments is
    not put into one block: its windows are counted one by one instead, by their hashes.
@@ -201,9 +200,11 @@ def repeated_ranges(documents: DataFrame) -> DataFrame:
     shared = written(shared_segments(written(segments_of(documents), "segments")), "shared")
     copies = shared.where("mixed").groupBy(*SAME).agg(F.count("*").alias("n"), F.min(F.struct("doc_id", *TEXT, "start")).alias("one"))
     copies = written(copies, "copies")
+    # All shared segments repeat as a whole but those that are the only one of their kind.
+    alone = copies.where("n = 1").select("one.text_a", "one.text_b", "one.start", "windows", F.lit(True).alias("alone"))
+    listed = shared.select(*TEXT, "start", "windows", F.lit(False).alias("alone")).unionByName(alone)
+    whole = listed.groupBy(*TEXT, "start").agg(F.max("windows").alias("windows"), F.max("alone").alias("alone")).where("not alone")
     span = (F.col("start").cast("long").alias("first"), (F.col("start") + F.col("windows") - 1 + REPEAT).cast("long").alias("end"))
-    alike = shared.where("not mixed").select(*TEXT, *span)
-    whole = shared.where("mixed").join(copies.where("n > 1").select(*SAME), SAME, "left_semi").select(*TEXT, *span)
     per_anchor = copies.groupBy("anchor").agg(F.count("*").alias("segments"), F.sum(F.col("windows") + REPEAT).alias("bytes"))
     per_anchor = written(per_anchor.where("segments > 1"), "anchors")
     size = per_anchor.where(F.col("segments") <= MOST_SEGMENTS).agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
@@ -214,7 +215,7 @@ def repeated_ranges(documents: DataFrame) -> DataFrame:
     sorted_blocks = pieces.where("not hot").groupBy("block").applyInArrow(
         lambda rows: repeats_in_block(rows), "text_a long, text_b long, first long, end long"
     )
-    return alike.union(whole).union(sorted_blocks).union(counted_windows(pieces.where("hot")))
+    return whole.select(*TEXT, *span).union(sorted_blocks).union(counted_windows(pieces.where("hot")))
 
 
 def covered(first: list[int], end: list[int], size: int) -> np.ndarray:
