@@ -177,10 +177,12 @@ def best_splits(rows: DataFrame, leaf: Column, margin: Column, features: int) ->
 
 
 def learn_urls(labelled: DataFrame) -> UrlModel:
-    """Trees learned from lexical features and `blocked` (0 or 1); null labels are left out."""
+    """Trees learned from lexical features and `blocked` (0 or 1) of distinct URLs; null
+    labels are left out."""
     known = labelled.where(F.col("blocked").isNotNull())
     columns = ["blocked", *RATED, *(f"f{i}" for i in range(LEXICAL))]
-    sample = written(bounded_sample(known, "url", SAMPLE_ROWS, salt=3).select(*columns), "urls")
+    some = bounded_sample(known, "url", SAMPLE_ROWS, salt=3).dropDuplicates(["url"])
+    sample = written(some.select(*columns), "urls")
     total, positive = sample.agg(F.count("*"), F.coalesce(F.sum("blocked"), F.lit(0))).first()
     if not total:
         return UrlModel()
