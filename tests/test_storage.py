@@ -151,6 +151,16 @@ def test_refresh_runs_steps_in_order_and_repeats(spark):
     assert spark.table("stg_orders").count() == 1
 
 
+def test_refresh_on_bucketed_tables(spark):
+    spark.sql("create database if not exists lake_refresh")
+    folder = store.Layers(new_run_folder(spark, "bucketed_refresh"))
+    source = small_shop(spark).tables()
+    done = refresh.run_refresh(spark, source, folder, "2026-01-01 00:00:00", bucketed=("lake_refresh", 2))
+    assert refresh.open_mart(spark, done.layers, "mart_top_sellers").count() == 1
+    described = {r["col_name"]: r["data_type"] for r in rows(spark.sql("describe extended lake_refresh.orders"))}
+    assert described["Num Buckets"] == "2" and "order_id" in described["Bucket Columns"]
+
+
 def test_a_failing_mart_leaves_the_former_version_readable(spark, monkeypatch):
     folder = store.Layers(new_run_folder(spark, "versions"))
     first = refresh.run_refresh(spark, small_shop(spark).tables(), folder, "2026-01-01 00:00:00")

@@ -17,7 +17,15 @@ from tradeloom.plans.catalog import ALL_CHECKS, MARTS, STAGING_CHECKS, Builder
 from tradeloom.plans.lines import SHARED_LINES
 from tradeloom.schemas import contract
 from tradeloom.session import size_shuffles
-from tradeloom.sources.layers import Layers, publish, raw_tables, replace_table, sync_raw
+from tradeloom.sources.layers import (
+    Layers,
+    bucketed_tables,
+    publish,
+    raw_tables,
+    replace_table,
+    sync_raw,
+    sync_raw_bucketed,
+)
 from tradeloom.sources.tables import Tables
 
 
@@ -144,12 +152,16 @@ def run_refresh(
     at_once: int = 4,
     quarantine: bool = False,
     on_step: Callable[[str], None] | None = None,
+    bucketed: tuple[str, int] | None = None,
 ) -> Refresh:
     """Run all steps; marts only start when staging passed its checks.
 
     Staging and marts are written as a version of their own, which is published once
     all checks passed. `layers.published` finds it; a failed run leaves the last one.
 
+    With `bucketed`, a catalog database and a number of buckets, the order-keyed raw tables
+    are laid out by the order id, and the joins on it need no shuffle.
+
     Malformed timestamps fail the staging step, or, with `quarantine`, move their
     rows to the error layer.
     """
@@ -161,10 +173,13 @@ def run_refresh(
         if on_step:
             on_step(name)
 
-    names = sync_raw(source, layers)
+    if bucketed:
+        sync_raw_bucketed(source, layers, *bucketed)
+        t = bucketed_tables(spark, layers, bucketed[0], source.names())
+    else:
+        t = raw_tables(spark, layers, sync_raw(source, layers))
     step("raw_sync")
 
-    t = raw_tables(spark, layers, names)
     size_shuffles(
         spark, layers.root, lambda: sum(map(input_bytes, t.by_name().values()))
     )

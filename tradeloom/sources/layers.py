@@ -132,16 +132,18 @@ def raw_tables(spark: SparkSession, layers: Layers, names: list[str] | None = No
     )
 
 
-def bucketed_tables(spark: SparkSession, layers: Layers, database: str) -> Tables:
+def bucketed_tables(
+    spark: SparkSession, layers: Layers, database: str, names: list[str] | None = None
+) -> Tables:
     """The raw layer with the order-keyed tables taken from the catalog."""
-    openers = {
-        name: partial(open_table, spark, layers.raw(name), name)
-        for name in RAW_DDL
-        if name not in ORDER_KEYED
-    }
-    for name in ORDER_KEYED:
-        openers[name] = partial(spark.table, f"{database}.{name}")
-    return Tables(openers)
+    return Tables(
+        {
+            name: partial(spark.table, f"{database}.{name}")
+            if name in ORDER_KEYED
+            else partial(open_table, spark, layers.raw(name), name)
+            for name in names or RAW_DDL
+        }
+    )
 
 
 def register_sources(spark: SparkSession, source: Tables) -> list[str]:
