@@ -138,12 +138,27 @@ def top_with_total(
 ) -> DataFrame:
     """The `limit` rows with the largest metric, plus a total over all rows.
 
-    For frames of unbounded size: the total is a scalar subquery over the same
-    aggregate, whose exchange is reused, and each task keeps its best rows only.
+    For frames of unbounded size. Rows are spread over as many hash buckets as a shuffle
+    has partitions; each bucket keeps its `limit` best rows and its sum, and the last step
+    sees those only. The input is computed once (a scalar subquery for the total reads
+    fewer columns, so that its exchange is not shared).
     """
-    total = df.agg(F.sum(total_of)).scalar()
-    best = df.orderBy(descending(metric), ascending(tie_break)).limit(limit)
-    return best.withColumn("total", total)
+    buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by_rank = (descending(metric), ascending(tie_break))
+    in_bucket = Window.partitionBy("bucket")
+    finalists = (
+        df.withColumn("bucket", F.pmod(F.xxhash64(tie_break), F.lit(buckets)))
+        .withColumn("bucket_total", F.sum(total_of).over(in_bucket))
+        .withColumn("place", F.row_number().over(in_bucket.orderBy(*by_rank)))
+        .where(F.col("place") <= limit)
+    )
+    one_per_bucket = F.when(F.col("place") == 1, F.col("bucket_total"))
+    return (
+        finalists.withColumn("total", F.sum(one_per_bucket).over(Window.partitionBy()))
+        .orderBy(*by_rank)
+        .limit(limit)
+        .drop("bucket", "bucket_total", "place")
+    )
 
 
 def ranked(
