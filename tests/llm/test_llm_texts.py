@@ -56,6 +56,16 @@ def test_without_rows_or_labels(spark, tmp_path, query):
     assert query(spark, folder).count() == 0
 
 
+def test_every_text_with_a_known_word_is_held_against_the_examples(spark, tmp_path):
+    insults, prose = ["you idiot moron number%d" % i for i in range(60)], ["calm river walk under tree%d" % i for i in range(60)]
+    texts = insults + prose + ["a river", "a seldom rude grobian"] + ["grobian met again near bridge%d" % i for i in range(4)]
+    labels = [(i, 1, int(i < 60 or i > 121), 0.0) for i in range(len(texts))]
+    folder = store(spark, tmp_path, documents=documents(texts), labels=(labels, LABELS))
+    found = {r.doc_id: r for r in op8_toxicity(spark, folder).collect()}
+    assert all(found[i].evidence for i in range(60, 121))
+    assert all(found[i].evidence for i in range(121, len(texts)))
+
+
 def test_words_are_runs_of_one_class():
     import pyarrow as pa
 
