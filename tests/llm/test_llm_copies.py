@@ -222,6 +222,20 @@ def test_stages_keep_columns_and_act(spark, tmp_path):
     assert {r.doc_id for r in docs.collect()} == set(kept["secrets"])
 
 
+def test_one_row_of_each_component_stays(spark, tmp_path):
+    draw = random.Random(9)
+    long = [" ".join("w%d" % draw.randrange(10**6) for _ in range(120)) for _ in range(4)]
+    rows, schema = documents([long[0], long[0] + " more", long[1], long[2], "", long[3]])
+    rows += [rows[0], rows[2], rows[2], (None, *rows[3][1:]), rows[4], (None, *rows[4][1:]), (None, *rows[4][1:])]
+    rows += [(5, "another text of this id", *rows[5][2:]), (None, "only without id", *rows[5][2:]), (None, "only without id", *rows[5][2:])]
+    docs = spark.read.parquet(store(spark, tmp_path, documents=(rows, schema)) + "/documents.parquet")
+    kept = near_copies.keep_first_copies(docs)
+    assert kept.columns == docs.columns
+    kept = corpus_pipeline.repeats(spark, kept, "").select("doc_id", "text").collect()
+    wanted = [(0, long[0]), (2, long[1]), (3, long[2]), (4, ""), (None, ""), (None, ""), (5, long[3]), (5, "another text of this id"), (None, "only without id")]
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, wanted))
+
+
 def test_run_on_given_texts(spark):
     packed = corpus_pipeline.run(spark, f"{DATA}/sf0.001")
     assert packed.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]

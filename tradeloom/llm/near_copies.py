@@ -284,13 +284,39 @@ def group_copies(documents: DataFrame) -> DataFrame:
 
 
 def keep_first_copies(documents: DataFrame) -> DataFrame:
-    """The documents, all columns, that are the least of their component.
+    """The documents, all columns, exactly one row of each component.
 
-    Rows that repeat an id stay or go together; rows with a null id stay.
+    Components are those of the texts, so repeated and null ids are grouped as well. The row
+    with the least id stays (a null id is the largest), then the one with the least digest;
+    of equal rows one stays. Without words a text has no copies: of equal rows with an id
+    one stays, rows with a null id all stay.
     """
-    copied = free_name(documents, "copied")
-    gone = group_copies(documents).where("doc_id <> component_id").select(F.col("doc_id").alias(copied)).distinct()
-    return documents.join(written(gone, "copied"), F.col("doc_id") == F.col(copied), "left_anti")
+    tag = free_name(documents, "copied")
+    marks = [f"{tag}_a", f"{tag}_b"]
+    hashed = [F.col(f"`{x.name}`") for x in documents.schema if "map<" not in x.dataType.simpleString()]
+    salted = [*(c.isNull() for c in hashed), *hashed]
+    text = F.coalesce(F.col("text"), F.lit(""))
+    digests = dict(zip(marks, (F.xxhash64(*salted), F.xxhash64(F.lit("second"), *salted))))
+    rows = documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        text.rlike(r"[^\x20\x09-\x0D]").alias("words"),
+        F.xxhash64(text).alias("text_id"),
+        *(value.alias(name) for name, value in zip(("a", "b"), digests.values())),
+    )
+    rows = written(rows.groupBy("doc_id", "words", "text_id", "a", "b").agg(F.count("*").alias("n")), "rows")
+    grouped = group_copies(documents.select(F.xxhash64(text).alias("doc_id"), "text")).where("n_shingles > 0")
+    grouped = grouped.groupBy(F.col("doc_id").alias("text_id")).agg(F.min("component_id").alias("component"))
+    rank = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "a", "b")).alias("best")
+    first = rows.where("words").groupBy("text_id").agg(rank).join(grouped, "text_id").groupBy("component").agg(F.min("best").alias("best"))
+    first = written(first.select("best.a", "best.b", F.lit(True).alias("first")), "first")
+    named = rows.join(first, ["a", "b"], "left")
+    gone = named.where("words and first is null").select("a", "b", F.lit(False).alias("again"))
+    again = named.where("n > 1 and (first or (not words and doc_id is not null))").select("a", "b", F.lit(True).alias("again"))
+    listed = written(gone.union(again).distinct().toDF(*marks, tag), "copied")
+    marked = documents.withColumns(digests)
+    once = marked.join(listed, marks, "left_anti")
+    repeated = marked.join(listed.where(F.col(tag)), marks, "left_semi").dropDuplicates(marks)
+    return once.unionByName(repeated).drop(*marks)
 
 
 def op6_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
