@@ -11,6 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from tradeloom.llm import packing
 from tradeloom.llm.bpe import VOCABULARY, Bpe, encode_documents, op9_bpe
 from tradeloom.llm.packing import op7_packing, pack_rests, powers_of_two
 
@@ -109,3 +110,24 @@ def test_a_neighbour_is_cut_to_fill_a_window():
     windows = pack_rests([2000, 1500], lambda i: [i, 1 - i])
     assert windows == [[(0, 0, 2000), (1, 0, 48)], [(1, 48, 1452)]]
     assert [sum(n for *_, n in w) for w in powers_of_two(windows[1])] == [1024, 256, 128, 32, 8, 4]
+
+
+def test_rests_that_share_rare_words_share_a_shard(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_ROWS", 16)
+    draw = np.random.default_rng(4)
+    texts, topics = [], []
+    for i in range(640):
+        topic = int(draw.integers(40))
+        words = [f"topic{topic * 977 + j}x" for j in range(12)] + ["common"] * 3 + [f"n{i}"]
+        texts.append(" ".join(draw.permutation(words)))
+        topics.append(topic)
+    folder = store(spark, tmp_path, documents=documents(texts))
+    rows = op7_packing(spark, folder).collect()
+    check_packing(rows, dict(enumerate(texts)))
+    shards = {}
+    for r in rows:
+        shards.setdefault(r.sequence_id >> 16, set()).add(r.doc_id)
+    assert len(shards) >= 40
+    together = sum(topics[a] == topics[b] for s in shards.values() for a in s for b in s if a < b)
+    of_all = sum(len(s) * (len(s) - 1) // 2 for s in shards.values())
+    assert together > 0.2 * of_all

@@ -1,7 +1,10 @@
 """Packing of tokenised documents into sequences by lexical retrieval.
 
-A document is its ids and one closing id. Whole windows are cut off its front; the rests
-are dealt over shards by their place in the input. Each shard holds a BM25 inverted index
+A document is its ids and one closing id. Whole windows are cut off its front. The rests
+are sorted by their words and dealt over shards in that order: the sort key is a min-hash
+of the ids with the largest BM25 weights in a rest, with document frequencies over all
+rests, so that rests that share rare words come to lie together; doc_id, start, checksum
+and place order the rests of one key, which may so fill many shards. Each shard holds a BM25 inverted index
 over the ids of its rests. The longest unused rest seeds a window; unused neighbours that
 fit fill it in order of their BM25 score, and the best neighbour that does not fit is cut
 to fill it up. What is left at the end of a shard is cut into sequences of powers of two,
@@ -21,15 +24,19 @@ import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import tiktoken
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.llm.bpe import PATTERN, VOCABULARY, Bpe
-from tradeloom.llm.tables import table
+from tradeloom.llm.tables import table, written
+from tradeloom.llm.words import mix
 
 WINDOW, CLOSING = 2048, 1
-#: Rests per shard; BM25 saturation and length weight.
-SHARD_ROWS = 512
+#: Rests per shard, shards per task; BM25 saturation and length weight.
+SHARD_ROWS, TASK_SHARDS = 512, 8
+#: Ids of a rest that its key is made from.
+KEY_IDS = 16
 K1, B = 1.2, 0.75
 
 
@@ -47,33 +54,80 @@ class Encoder:
 
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
-CUT_SCHEMA = f"{PIECE}, ids binary, shard long"
+CUT_SCHEMA = f"{PIECE}, ids binary, place long"
+KEYS = ["key_a", "key_b", "key_c"]
 PACKED_SCHEMA = f"{PIECE}, sequence_id long, offset long"
 
 
-def cut_documents(documents: DataFrame, vocabulary: str, shards: int) -> DataFrame:
+def cut_documents(documents: DataFrame, vocabulary: str) -> DataFrame:
     """Whole windows (without their ids) and rests (with ids) of all documents."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = Encoder(vocabulary)
         for batch in batches:
             out: list[list] = [[] for _ in range(7)]
-            for doc_id, text, shard in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "shard"))):
+            for doc_id, text, place in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "place"))):
                 ids = np.append(encode(text), np.uint32(CLOSING)).astype("<u4")
                 for start in range(0, len(ids), WINDOW):
                     piece = ids[start : start + WINDOW].tobytes()
                     whole = len(piece) == 4 * WINDOW
-                    for column, value in zip(out, (doc_id, start, len(piece) // 4, zlib.crc32(piece), len(ids), None if whole else piece, shard)):
+                    for column, value in zip(out, (doc_id, start, len(piece) // 4, zlib.crc32(piece), len(ids), None if whole else piece, place)):
                         column.append(value)
             types = [pa.int64()] * 5 + [pa.binary(), pa.int64()]
-            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids", "shard"]
+            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids", "place"]
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, types)], names)
 
-    place = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards))
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), place.alias("shard"))
+    place = F.monotonically_increasing_id()
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), place.alias("place"))
     return rows.mapInArrow(cut, CUT_SCHEMA)
 
 
+def id_frequencies(pieces: DataFrame) -> tuple[np.ndarray, int, float]:
+    """Number of rests with each id, and number and mean length of all rests."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts = np.zeros(1, np.int64)
+        for batch in batches:
+            for ids in batch.column("ids"):
+                found = np.bincount(np.unique(np.frombuffer(ids.as_py(), "<u4")), minlength=len(texts))
+                found[: len(texts)] += texts
+                texts = found
+        some = np.flatnonzero(texts)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(texts[some])], ["id", "texts"])
+
+    rests = pieces.where("ids is not null")
+    found = rests.select("ids").mapInArrow(count, "id long, texts long").groupBy("id").agg(F.sum("texts").alias("texts")).toPandas()
+    texts = np.zeros(int(found["id"].max() if len(found) else 0) + 1, np.int64)
+    texts[found["id"].to_numpy(np.int64)] = found["texts"]
+    rows, mean = rests.agg(F.count("*"), F.coalesce(F.avg("length"), F.lit(1.0))).first()
+    return texts, rows, mean
+
+
+def lexical_key(ids: np.ndarray, idf: np.ndarray, mean: float) -> list[int]:
+    """The least hashes of the KEY_IDS ids of the largest BM25 weight that others share."""
+    found, counts = np.unique(ids, return_counts=True)
+    weight = idf[found] * counts * (K1 + 1) / (counts + K1 * (1 - B + B * len(ids) / mean))
+    best = np.argsort(-weight, kind="stable")[:KEY_IDS]
+    best = found[best[weight[best] > 0]]
+    hashes = np.sort(mix(best.astype(np.uint64) + np.uint64(7)).view(np.int64))[: len(KEYS)].tolist()
+    return hashes + [0] * (len(KEYS) - len(hashes))
+
+
+def with_keys(pieces: DataFrame, idf: np.ndarray, mean: float) -> DataFrame:
+    """The pieces with the keys of their ids, or, for whole windows, of their checksums."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = []
+            for ids, crc in zip(batch.column("ids").to_pylist(), batch.column("ids_crc32").to_pylist()):
+                spread = [int(mix(np.array([crc], np.uint64)).view(np.int64)[0])] * len(KEYS)
+                keys.append(spread if ids is None else lexical_key(np.frombuffer(ids, "<u4"), idf, mean))
+            columns = [pa.array([k[i] for k in keys], pa.int64()) for i in range(len(KEYS))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, *KEYS])
+
+    return pieces.mapInArrow(add, f"{CUT_SCHEMA}, {', '.join(f'{k} long' for k in KEYS)}")
+
+
 class Bm25:
     """Inverted index over the ids of a shard's rests."""
 
@@ -154,11 +208,11 @@ def powers_of_two(window: list[tuple[int, int, int]]) -> list[list[tuple[int, in
     return out
 
 
-def pack_shard(rows: pa.Table) -> pa.Table:
+def pack_shard(rows: pa.Table, shard: int) -> pa.Table:
     """All pieces of one shard with their sequences."""
     rows = rows.sort_by([("length", "descending"), ("doc_id", "ascending"), ("start", "ascending"), ("ids_crc32", "ascending")]).to_pydict()
-    shard, out = rows["shard"][0], []
-    sequence = shard << 32
+    out = []
+    sequence = shard << 16
     open_rows = []
     for i, ids in enumerate(rows["ids"]):
         if ids is None:
@@ -184,10 +238,36 @@ def pack_shard(rows: pa.Table) -> pa.Table:
     return pa.table([pa.array(c, pa.int64()) for c in zip(*out)], names)
 
 
+def pack_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pieces of a task in shards of SHARD_ROWS that follow each other."""
+    shard, parts, size = TaskContext.get().partitionId() << 20, [], 0
+    for batch in batches:
+        while batch.num_rows:
+            part = batch.slice(0, SHARD_ROWS - size)
+            batch = batch.slice(part.num_rows)
+            parts.append(part)
+            size += part.num_rows
+            if size == SHARD_ROWS:
+                yield from pack_shard(pa.Table.from_batches(parts), shard).to_batches()
+                shard, parts, size = shard + 1, [], 0
+    if parts:
+        yield from pack_shard(pa.Table.from_batches(parts), shard).to_batches()
+
+
+def deal_pieces(documents: DataFrame, vocabulary: str) -> DataFrame:
+    """The pieces of all documents in the order of their keys, over tasks of about
+    TASK_SHARDS shards."""
+    pieces = written(cut_documents(documents, vocabulary), "pieces")
+    texts, rests, mean = id_frequencies(pieces)
+    idf = np.where(texts > 1, np.log(1 + (rests - texts + 0.5) / (texts + 0.5)), 0)
+    tasks = max(1, -(-pieces.count() // (SHARD_ROWS * TASK_SHARDS)))
+    order = [*KEYS, "doc_id", "start", "ids_crc32", "place"]
+    keyed = written(with_keys(pieces, idf, mean), "keyed")
+    return keyed.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+
+
 def pack_documents(documents: DataFrame, vocabulary: str) -> DataFrame:
-    shards = max(1, -(-documents.count() // SHARD_ROWS))
-    pieces = cut_documents(documents, vocabulary, shards)
-    return pieces.groupBy("shard").applyInArrow(lambda rows: pack_shard(rows), PACKED_SCHEMA)
+    return deal_pieces(documents, vocabulary).mapInArrow(lambda batches: pack_sorted(batches), PACKED_SCHEMA)
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
