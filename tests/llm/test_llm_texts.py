@@ -10,6 +10,7 @@ from cases import AWKWARD, DATA, documents, store
 
 from tradeloom.llm.quality import op1_quality
 from tradeloom.llm.secrets import Network, learn_secrets, masked, op3_secrets, scan_secrets, windows
+from tradeloom.llm import urls
 from tradeloom.llm.toxicity import BlockMaxIndex, monotone_fit, op8_toxicity
 from tradeloom.llm.urls import RULES, op2_urls
 from tradeloom.llm.words import CLASSES, text_chunks, token_bounds
@@ -66,6 +67,16 @@ def test_every_text_with_a_known_word_is_held_against_the_examples(spark, tmp_pa
     assert all(found[i].evidence for i in range(121, len(texts)))
 
 
+def test_urls_crawled_often_leave_the_sample_its_size(spark, monkeypatch):
+    monkeypatch.setattr(urls, "SAMPLE_ROWS", 100)
+    monkeypatch.setattr(urls, "TREES", 0)
+    sizes = []
+    monkeypatch.setattr(urls, "written", lambda frame, label: (sizes.append(frame.count()), frame)[1])
+    rows = [(p, f"http://h{u % 3}.example.org/{'es' if u % 2 else 'fr'}/{u}") for p in range(20) for u in range(200)]
+    urls.judge_urls(spark.createDataFrame(rows, "page_id long, url string"))
+    assert 60 <= sizes[0] <= 140
+
+
 def test_words_are_runs_of_one_class():
     import pyarrow as pa
 

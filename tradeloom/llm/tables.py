@@ -28,12 +28,14 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % folds
 
 
-def bounded_sample(rows: DataFrame, key: str, most: int, salt: int) -> DataFrame:
+def bounded_sample(rows: DataFrame, key: str, most: int, salt: int, count: int | None = None) -> DataFrame:
     """About `most` rows, or all if there are fewer, picked by a hash of their key.
 
+    With `count`, the number of distinct keys, about `most` keys with all of their rows.
+
     Needs one count and no shuffle: the same filter works at any size.
     """
-    share = min(1.0, most / max(1, rows.count()))
+    share = min(1.0, most / max(1, rows.count() if count is None else count))
     place = F.pmod(F.xxhash64(F.col(key), F.lit(salt)), F.lit(SAMPLE_BUCKETS))
     return rows.where(place < int(share * SAMPLE_BUCKETS))
 

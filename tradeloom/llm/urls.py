@@ -181,7 +181,8 @@ def learn_urls(labelled: DataFrame) -> UrlModel:
     labels are left out."""
     known = labelled.where(F.col("blocked").isNotNull())
     columns = ["blocked", *RATED, *(f"f{i}" for i in range(LEXICAL))]
-    some = bounded_sample(known, "url", SAMPLE_ROWS, salt=3).dropDuplicates(["url"])
+    urls = known.select("url").distinct().count()
+    some = bounded_sample(known, "url", SAMPLE_ROWS, salt=3, count=urls).dropDuplicates(["url"])
     sample = written(some.select(*columns), "urls")
     total, positive = sample.agg(F.count("*"), F.coalesce(F.sum("blocked"), F.lit(0))).first()
     if not total:
