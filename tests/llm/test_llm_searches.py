@@ -86,3 +86,19 @@ def test_recall_on_given_vectors(spark):
             near = sorted((np.sqrt(((w - v) ** 2).sum()), i) for i, w in rows if i != q)[:10]
             hits += len({i for _, i in near} & {r.vec_id for r in found if r.query_id == q})
     assert hits == len(found)
+
+
+@pytest.mark.parametrize("columns", [64, 1536, 3072])
+def test_near_vectors_on_a_grid(columns):
+    draw = np.random.default_rng(6)
+    base = draw.integers(-60, 60, columns)
+    whole = np.tile(base, (600, 1))
+    whole[np.arange(600)[:, None], draw.integers(0, columns, (600, 3))] += draw.integers(-1, 2, (600, 3))
+    vectors = whole * 0.1
+    ids = draw.permutation(600)
+    asked = np.arange(0, 600, 25)
+    found = list(zip(*nearest_in_cell(ids[asked], vectors[asked], ids, vectors, 10)))
+    for q in asked:
+        exact = np.sqrt(((vectors - vectors[q]) ** 2).sum(axis=1))
+        wanted = sorted((float(d), int(i)) for d, i in zip(exact, ids) if i != ids[q])[:10]
+        assert sorted((float(s), int(i)) for a, i, s in found if a == ids[q]) == wanted

@@ -1,9 +1,9 @@
 """Nearest neighbours by a block matrix join with int8 product tiles.
 
-In each grid cell rows and queries are rounded to 8-bit whole numbers with one scale per
-side. The product of two such tiles gives distances between the rounded vectors; the
-distance of the originals differs by at most the two rounding errors, which are known
-exactly. Pairs whose lower bound exceeds the k-th upper bound are dropped, the others are
+In each grid cell rows and queries are rounded to 8-bit whole numbers with one scale. The
+product of two such tiles gives squared distances between the rounded vectors, which are
+whole numbers and exact in double precision; the distance of the originals differs by at
+most the two rounding errors and what double precision loses in them (`RELATIVE_LOSS`). Pairs whose lower bound exceeds the k-th upper bound are dropped, the others are
 recomputed from the original vectors in double precision and kept in a heap per query.
 Nothing is approximated in the result: recall is 1.
 """
@@ -20,31 +20,36 @@ from tradeloom.llm.vectors import search_grid
 
 K = 10
 TILE_ROWS = 2048
+#: Bound on the relative rounding error of a distance in up to some 10,000 dimensions.
+RELATIVE_LOSS = 1e-11
 
 
-def rounded(vectors: np.ndarray) -> tuple[np.ndarray, float, np.ndarray]:
-    """8-bit components, their scale and each vector's rounding error (Euclidean)."""
-    scale = float(np.abs(vectors).max(initial=0)) / 127 or 1.0
+def rounded(vectors: np.ndarray, scale: float) -> tuple[np.ndarray, np.ndarray]:
+    """8-bit components and each vector's rounding error (Euclidean)."""
     small = np.rint(vectors / scale).astype(np.int8)
-    return small, scale, np.sqrt(((vectors - small * scale) ** 2).sum(axis=1))
+    return small, np.sqrt(((vectors - small * scale) ** 2).sum(axis=1))
 
 
-def tile_distances(a: np.ndarray, sa: float, b: np.ndarray, sb: float) -> np.ndarray:
-    """Distances between rounded vectors; the products are whole numbers, exact in float32."""
-    products = a.astype(np.float32) @ b.astype(np.float32).T
-    squares = lambda x, s: (x.astype(np.float64) ** 2).sum(axis=1) * s * s
-    return np.sqrt(np.maximum(squares(a, sa)[:, None] + squares(b, sb)[None, :] - 2 * sa * sb * products, 0))
+def tile_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Squared distances between rounded vectors: whole numbers below 2**53, so that sums
+    and products of doubles are exact in any order."""
+    a, b = a.astype(np.float64), b.astype(np.float64)
+    return (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None, :] - 2 * (a @ b.T)
 
 
 def nearest_in_cell(query_ids, queries, row_ids, rows, k):
     """Kernel of one grid cell: at most k (query id, row id, distance) per query."""
-    q8, qs, q_off = rounded(queries)
-    r8, rs, r_off = rounded(rows)
+    scale = max(float(np.abs(x).max(initial=0)) for x in (queries, rows)) / 127 or 1.0
+    q8, q_off = rounded(queries, scale)
+    r8, r_off = rounded(rows, scale)
+    # What double precision may lose in the rounding errors and in the final distances.
+    loss = 1e-13 * scale * np.sqrt(rows.shape[1])
     heaps: list[list[tuple[float, int]]] = [[] for _ in query_ids]
     for first in range(0, len(rows), TILE_ROWS):
         tile = slice(first, first + TILE_ROWS)
-        about = tile_distances(q8, qs, r8[tile], rs)
-        off = q_off[:, None] + r_off[None, tile] + 1e-9 * (1 + about)
+        about = scale * np.sqrt(tile_distances(q8, r8[tile]))
+        off = q_off[:, None] + r_off[None, tile]
+        off += RELATIVE_LOSS * (about + off) + loss
         own = query_ids[:, None] == row_ids[None, tile]
         upper = np.where(own, np.inf, about + off)
         lower = np.where(own, np.inf, about - off)
