@@ -350,6 +350,10 @@ JOB_SQL: dict[str, str] = {
         union all
         select 'order_reviews', review_id, cast(order_id as bigint) % 40 = 0 from rev""",
     "event_driven_load": "select * from stg",
+    "event_driven_repeats": "select * from stg",
+    "event_driven_revenue": MODEL_SQL["mart_seasonal_dates"],
+    "incremental_top_sellers": MODEL_SQL["mart_top_sellers"],
+    "incremental_top_categories": MODEL_SQL["mart_top_categories"],
     "event_driven_days": """
         select cast(date_trunc('day', ORDER_PURCHASED_AT) as timestamp) as ORDER_DATE,
             count(ORDER_ID) as TOTAL_ORDERS,

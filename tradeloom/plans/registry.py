@@ -15,7 +15,7 @@ from pyspark.sql.types import StructField
 
 from tradeloom.functions.identity import card_token, cpf, cpf_is_valid
 from tradeloom.operators import quality
-from tradeloom.plans import fraud, history, refresh, sellers, synthetic
+from tradeloom.plans import fraud, history, partials, refresh, sellers, synthetic
 from tradeloom.plans.catalog import ANALYSES, FRAUD_RULES, MARTS, STAGING, Builder
 from tradeloom.schemas import SOURCE_TABLES, TEXT_LIMITS, contract
 from tradeloom.session import new_run_folder
@@ -23,7 +23,7 @@ from tradeloom.sources import layers as store
 from tradeloom.sources.bridge import Bridge, load_tables
 from tradeloom.sources.landing import read_csv_folder
 from tradeloom.sources.tables import Tables
-from tradeloom.streaming import arrivals
+from tradeloom.streaming import arrivals, revenue
 
 # A fixed detection moment keeps the fraud result comparable between runs.
 DETECTED_AT = "2026-01-01 06:00:00"
@@ -236,6 +236,69 @@ def arrivals_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arrivals.counted_days(spark, _delivered_twice(spark, sf_dir, arrivals.count_arrivals))
 
 
+def arrivals_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged orders where every file is delivered again, and some of its rows once more.
+
+    The deliveries follow the years, so that state is let go on the way.
+    """
+    orders, root = load_tables(spark, sf_dir).orders, new_run_folder(spark, "repeated")
+    again = F.col("order_id").cast("bigint") % 4 == 0
+    year = F.substring("order_purchase_timestamp", 1, 4)
+    for years in (year < "1998", year >= "1998", year < "1996"):
+        for delivery in (orders.where(years), orders.where(years & again)):
+            store.append_rows(delivery, f"{root}/incoming")
+        arrivals.load_arrivals(spark, f"{root}/incoming", f"{root}/target", f"{root}/checkpoint", late=revenue.LATE)
+    return arrivals.loaded_orders(spark, f"{root}/target")
+
+
+def revenue_arrived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revenue by day over three deliveries of orders and payments, then their end.
+
+    Some orders and payments come a delivery late, some come twice. Payments are given
+    moments up to 19 days after their orders.
+    """
+    t, incoming = load_tables(spark, sf_dir), f"{new_run_folder(spark, 'revenue')}/incoming"
+    target, checkpoint = f"{incoming}-days", f"{incoming}-state"
+    number = F.col("order_id").cast("bigint")
+    bought = F.col("order_purchase_timestamp").cast("timestamp_ntz")
+    paid_at = F.timestamp_add("DAY", (number % 20).cast("int"), bought)
+    payments = t.order_payments.join(t.orders.select("order_id", "order_purchase_timestamp"), "order_id")
+    payments = payments.withColumn("paid_at", paid_at.cast("string")).drop("order_purchase_timestamp")
+    cuts = ["", "1997-03", "1999-05", "9"]
+    for part in range(3):
+        for name, rows, at in (("orders", t.orders, "order_purchase_timestamp"), ("payments", payments, "paid_at")):
+            # Every 9th order of the days before a cut comes with the delivery after it.
+            month = F.substring(at, 1, 7)
+            late = (number % 9 == 0) & (F.substring(at, 9, 2) > "15")
+            month = F.when(late & (month == "1997-02"), cuts[1]).when(late & (month == "1999-04"), cuts[2]).otherwise(month)
+            given = rows.where((month >= cuts[part]) & (month < cuts[part + 1]))
+            store.append_rows(given.union(given.where(number % 6 == 0)), f"{incoming}/{name}")
+        if part == 2:
+            revenue.complete_until(spark, incoming, "2002-12-31 00:00:00")
+        revenue.revenue_on_arrival(spark, incoming, target, checkpoint)
+    return revenue.told_days(spark, target)
+
+
+def _merged_months(spark: SparkSession, sf_dir: str) -> tuple[Tables, partials.Store]:
+    """States of all orders but some of two months, then brought up to date for those."""
+    t, kept = load_tables(spark, sf_dir), partials.Store(new_run_folder(spark, "partials"))
+    late = (F.col("order_id").cast("bigint") % 3 == 0) & history.month_of_purchase().isin("1995-03", "1997-11")
+    for orders in (t.orders.where(~late), t.orders.where(late)):
+        delivery = t.with_raw(orders=orders)
+        partials.refresh_states(spark, kept, partials.add_delivery(delivery, kept))
+    return t, kept
+
+
+def incremental_top_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best sellers merged from the states of months after a late delivery."""
+    return partials.top_sellers_merged(*_merged_months(spark, sf_dir))
+
+
+def incremental_top_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best categories merged from the states of months after a late delivery."""
+    return partials.top_categories_merged(spark, _merged_months(spark, sf_dir)[1])
+
+
 def incremental_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly revenue stored without some orders of 1995, then brought up to date.
 
@@ -410,7 +473,11 @@ JOBS: dict[str, Query] = {
     "quarantine_split": quarantine_split,
     "event_driven_load": arrivals_loaded,
     "event_driven_days": arrivals_counted,
+    "event_driven_repeats": arrivals_repeated,
+    "event_driven_revenue": revenue_arrived,
     "incremental_month": incremental_months,
+    "incremental_top_sellers": incremental_top_sellers,
+    "incremental_top_categories": incremental_top_categories,
     "scd2_customers": customer_history,
     "dq_not_null": _model(null_counts),
     "dq_unique": _model(repeated_values),

@@ -46,6 +46,11 @@ def top_categories(t: Tables, limit: int = 10) -> DataFrame:
         second="product_id",
         measures={"price": F.col("price")},
     )
+    return category_report(rolled, limit)
+
+
+def category_report(rolled: DataFrame, limit: int) -> DataFrame:
+    """The best of all categories, given orders, products and prices of each."""
     report = rolled.select(
         "CATEGORY",
         F.col("n_order_id").alias("TOTAL_ORDERS"),

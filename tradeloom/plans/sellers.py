@@ -42,7 +42,13 @@ def top_sellers(t: Tables, limit: int = 20) -> DataFrame:
         first="order_id",
         second="product_id",
         measures={"price": F.col("price")},
-    ).withColumn("TOTAL_REVENUE", half_up(F.col("price_sum"), 2))
+    )
+    return seller_report(rolled, limit)
+
+
+def seller_report(rolled: DataFrame, limit: int) -> DataFrame:
+    """The best of all sellers, given orders, products and prices of each."""
+    rolled = rolled.withColumn("TOTAL_REVENUE", half_up(F.col("price_sum"), 2))
     best = top_with_total(
         rolled, metric="TOTAL_REVENUE", total_of="price_sum", tie_break="seller_id",
         limit=limit,

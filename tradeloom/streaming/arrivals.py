@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tradeloom.functions.columns import DELIVERED
 from tradeloom.operators.staging import stage_orders
 from tradeloom.schemas import contract, raw_schema
+from tradeloom.streaming.revenue import moment, once, store_batch
 
 DAYS_DDL = "ORDER_DATE timestamp_ntz, TOTAL_ORDERS bigint, DELIVERED_ORDERS bigint"
 
@@ -21,9 +22,17 @@ def arriving_orders(spark: SparkSession, incoming: str) -> DataFrame:
     return stage_orders(spark.readStream.schema(raw_schema("orders")).parquet(incoming))
 
 
-def load_arrivals(spark: SparkSession, incoming: str, target: str, checkpoint: str) -> None:
-    """Append the staged orders of new files to the target table."""
-    writer = arriving_orders(spark, incoming).writeStream.format("parquet").outputMode("append")
+def load_arrivals(spark: SparkSession, incoming: str, target: str, checkpoint: str, late: str | None = None) -> None:
+    """Append the staged orders of new files to the target table.
+
+    With `late`, for how long an order may come after later ones, an order that is delivered
+    again is dropped by keyed state; orders without purchase moment or later than that are
+    dropped as well. A target and its checkpoint keep to one of both ways.
+    """
+    rows = spark.readStream.schema(raw_schema("orders")).parquet(incoming)
+    if late:
+        rows = once(rows.withColumn("at", moment("order_purchase_timestamp")), "at", ["order_id"], late).drop("at")
+    writer = stage_orders(rows).writeStream.format("parquet").outputMode("append")
     writer = writer.option("checkpointLocation", checkpoint).option("path", target)
     writer.trigger(availableNow=True).start().awaitTermination()
 
@@ -41,10 +50,8 @@ def count_arrivals(spark: SparkSession, incoming: str, target: str, checkpoint:
         .select(F.col("day.start").alias("ORDER_DATE"), "TOTAL_ORDERS", "DELIVERED_ORDERS")
     )
 
-    def store(rows: DataFrame, batch: int) -> None:
-        rows.write.mode("overwrite").parquet(target)
-
-    writer = counted.writeStream.outputMode("complete").foreachBatch(store)
+    # Each batch has all days, in a folder of its own: readers keep the last finished one.
+    writer = counted.writeStream.outputMode("complete").foreachBatch(lambda rows, batch: store_batch(rows, batch, target))
     writer = writer.option("checkpointLocation", checkpoint)
     writer.trigger(availableNow=True).start().awaitTermination()
 
@@ -54,4 +61,7 @@ def loaded_orders(spark: SparkSession, target: str) -> DataFrame:
 
 
 def counted_days(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.schema(DAYS_DDL).parquet(target)
+    """The days of the batch finished last; the number of a batch is read from folder names."""
+    rows = spark.read.schema(f"{DAYS_DDL}, batch long").parquet(target)
+    last = rows.agg(F.max("batch")).first()[0]
+    return rows.where(F.col("batch") == F.lit(last)).drop("batch")
