@@ -17,6 +17,7 @@ those of the vocabulary file, found by a compiled encoder over the same merges.
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections.abc import Iterator
 
@@ -50,7 +51,13 @@ class Encoder:
         self.table = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=bpe.special)
 
     def __call__(self, text: str) -> np.ndarray:
-        return np.array(self.table.encode(text, allowed_special="all"), "<u4")
+        return self.table.encode_to_numpy(text, allowed_special="all")
+
+
+@functools.cache
+def encoder_of(vocabulary: str) -> Encoder:
+    """One encoder per worker process and vocabulary file, as tables take time to build."""
+    return Encoder(vocabulary)
 
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -63,7 +70,7 @@ def cut_documents(documents: DataFrame, vocabulary: str) -> DataFrame:
     """Whole windows (without their ids) and rests (with ids) of all documents."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(vocabulary)
+        encode = encoder_of(vocabulary)
         for batch in batches:
             out: list[list] = [[] for _ in range(7)]
             for doc_id, text, place in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "place"))):
