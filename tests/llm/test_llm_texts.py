@@ -8,9 +8,9 @@ import numpy as np
 import pytest
 from cases import AWKWARD, DATA, documents, store
 
+from tradeloom.llm import toxicity, urls
 from tradeloom.llm.quality import op1_quality
 from tradeloom.llm.secrets import Network, learn_secrets, masked, op3_secrets, scan_secrets, windows
-from tradeloom.llm import urls
 from tradeloom.llm.toxicity import BlockMaxIndex, monotone_fit, op8_toxicity
 from tradeloom.llm.urls import RULES, op2_urls
 from tradeloom.llm.words import CLASSES, text_chunks, token_bounds
@@ -87,20 +87,25 @@ def test_words_are_runs_of_one_class():
     assert found == [(0, "ab"), (0, ","), (0, "c"), (2, "d"), (2, "!!"), (2, "é9")]
 
 
-def test_neighbours_of_the_block_index_are_exact():
+@pytest.mark.parametrize("common, visit, cells", [(1 / 50, 4, 1 << 20), (1 / 4, 1, 1 << 20), (1 / 50, 1, 4000), (2, 2, 0)])
+def test_neighbours_of_the_block_index_are_exact(monkeypatch, common, visit, cells):
+    for name, value in (("COMMON", common), ("VISIT", visit), ("COMMON_CELLS", cells)):
+        monkeypatch.setattr(toxicity, name, value)
     draw = np.random.default_rng(2)
     vectors = []
     for _ in range(400):
         numbers = np.sort(draw.choice(50, draw.integers(1, 6), replace=False))
         weights = draw.integers(1, 4, len(numbers)).astype(float)
-        vectors.append((numbers, weights / np.sqrt((weights**2).sum())))
-    index = BlockMaxIndex(np.arange(400), draw.integers(0, 2, 400), vectors, 50)
-    for numbers, weights in vectors[:60]:
+        vectors.append((numbers, (weights / np.sqrt((weights**2).sum())).astype(np.float32).astype(float)))
+    flat = [np.concatenate(x) for x in zip(*vectors)]
+    index = BlockMaxIndex(np.arange(400), draw.integers(0, 2, 400), np.array([len(n) for n, _ in vectors]), *flat, 50)
+    nearest = index.nearest(vectors[:60], 15)
+    for i, (numbers, weights) in enumerate(vectors[:60]):
         mine = np.zeros(50)
         mine[numbers] = weights
-        cosines = [(round(float(mine[n] @ w), 9), i) for i, (n, w) in enumerate(vectors)]
-        wanted = sorted(((c, i) for c, i in cosines if c > 0), key=lambda x: (-x[0], x[1]))[:15]
-        assert [(pytest.approx(c, abs=2e-9), i) for c, i in wanted] == index.nearest(numbers, weights, 15)
+        cosines = [(round(float(mine[n] @ w), 9), j) for j, (n, w) in enumerate(vectors)]
+        wanted = sorted(((c, j) for c, j in cosines if c > 0), key=lambda x: (-x[0], x[1]))[:15]
+        assert [(pytest.approx(c, abs=2e-9), j) for c, j in wanted] == nearest[i]
 
 
 def test_monotone_fit_never_falls():

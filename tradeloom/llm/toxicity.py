@@ -7,7 +7,8 @@ far the term depends on the label (the root of chi-square, of which an independe
 1, over the sample's distinct texts). Vectors are (1 + ln tf) times that, of unit length.
 Examples are the sampled texts with a term. Their inverted lists are cut into blocks of
 examples with the largest weight of each; blocks are visited by falling upper bound and the
-rest is skipped once no bound can reach the k-th cosine, so the neighbours are exact.
+rest is skipped once no bound can reach the k-th cosine, so the neighbours are exact (the
+examples' weights are kept in single precision).
 Similarity-weighted votes of the neighbours become a score by a monotone fit on examples
 kept aside; a text that shares no term with an example, an empty or a null one gets the rate
 of such texts. Without labelled rows of both
@@ -18,10 +19,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,11 +34,12 @@ from tradeloom.llm.words import CLASSES, LOWER, RangeHash, mix, text_chunks, tok
 FOLDS, HELD_FOLD, THRESHOLD = 4, 2, 0.3
 #: Labelled texts learned from (a quarter of them for calibration).
 SAMPLE_ROWS = 12_000
-NEIGHBOURS, BLOCK = 15, 64
-#: A term is common if more than this part of the examples has it.
-COMMON = 1 / 4
-#: Blocks visited at once at first; each further visit takes twice as many.
-VISIT = 2
+NEIGHBOURS, BLOCK = 15, 256
+#: A term is common if more than this part of the examples has it; weights kept as rows of
+#: common terms (the longest lists first), which bounds the memory of a process.
+COMMON, COMMON_CELLS = 1 / 50, 12 << 20
+#: Blocks visited before the rest is held against the bound, and texts searched at once.
+VISIT, SEARCHED = 2, 128
 PREFIXES = (4, 5)
 LETTERS = np.where(CLASSES == 1, 1, 0).astype(np.uint8)
 LETTERS[48:58] = 0
@@ -135,67 +139,85 @@ class BlockMaxIndex:
 
     The short lists of all other terms are added up as a whole. What common terms can add
     to that is bounded by their block maxima and by the lengths of both vectors' common
-    parts; a block that is visited adds them exactly, as one product.
+    parts; blocks that are visited add them exactly, as one product for many texts. Lists
+    are made where the index is first asked, once per process.
     """
 
-    def __init__(self, ids: np.ndarray, labels: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]], size: int):
-        self.ids, self.labels = ids, labels
+    def __init__(self, ids: np.ndarray, labels: np.ndarray, sizes: np.ndarray, numbers: np.ndarray, weights: np.ndarray, size: int):
+        """Examples and, one example behind the other, their term numbers and weights."""
+        self.ids, self.labels, self.size = ids, labels, size
         self.blocks = max(1, -(-len(ids) // BLOCK))
-        example = np.repeat(np.arange(len(ids), dtype=np.int32), [len(n) for n, _ in vectors])
-        number = np.concatenate([n for n, _ in vectors]).astype(np.int32) if vectors else np.zeros(0, np.int32)
-        weight = np.concatenate([w for _, w in vectors]) if vectors else np.zeros(0)
-        order = np.argsort(number, kind="stable")
-        self.example, self.weight = example[order], weight[order]
-        self.begin = np.searchsorted(number[order], np.arange(size + 1)).astype(np.int32)
-        self.common = np.flatnonzero(np.diff(self.begin) > COMMON * len(ids))
-        self.column = np.full(size, -1, np.int32)
-        self.column[self.common] = np.arange(len(self.common))
+        self.given = sizes, numbers, weights
         self.rows = None
 
-    def __getstate__(self) -> dict:
-        return self.__dict__ | {"rows": None}
-
     def _build(self) -> None:
-        """Weights of common terms as rows, their lengths and the maxima of each block."""
-        self.rows = np.zeros((self.blocks * BLOCK, len(self.common)))
+        """The lists by term; weights of common terms as rows, their lengths and the maxima
+        of each block."""
+        sizes, numbers, weights = self.given
+        order = np.argsort(numbers, kind="stable")
+        self.begin = np.searchsorted(numbers[order], np.arange(self.size + 1))
+        self.weight = weights[order]
+        self.example = np.repeat(np.arange(len(self.ids), dtype=np.int32), sizes)[order]
+        del order
+        self.given = None
+        lengths = np.diff(self.begin)
+        longest = np.argsort(-lengths, kind="stable")[: COMMON_CELLS // max(1, len(self.ids))]
+        self.common = np.sort(longest[lengths[longest] > COMMON * len(self.ids)])
+        self.column = np.full(self.size, -1, np.int32)
+        self.column[self.common] = np.arange(len(self.common))
+        self.rows = np.zeros((self.blocks * BLOCK, len(self.common)), np.float32)
         at, size = spread(self.begin, self.common)
         self.rows[self.example[at], np.repeat(np.arange(len(self.common)), size)] = self.weight[at]
-        self.most = self.rows.reshape(self.blocks, BLOCK, -1).max(axis=1)
-        self.length = np.sqrt((self.rows**2).sum(axis=1))
-
-    def nearest(self, numbers: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int]]:
-        """The k largest cosines above 0 as (cosine, example), ties to the smaller example."""
+        self.most = self.rows.reshape(self.blocks, BLOCK, -1).max(axis=1, initial=0)
+        self.length = np.sqrt((self.rows.reshape(self.blocks, BLOCK, -1) ** 2).sum(axis=2).max(axis=1))
+        # What a product in single precision may be off: both vectors have unit length.
+        self.loss = 2 * (len(self.common) + 8) * 2.0**-24
+
+    def _visit(self, cosines: np.ndarray, sums: np.ndarray, often: np.ndarray, wanted: np.ndarray) -> None:
+        """Fill in the cosines, in single precision, of the wanted (text, block) pairs."""
+        for block in np.flatnonzero(wanted.any(axis=0)).tolist():
+            texts = np.flatnonzero(wanted[:, block])
+            part = slice(block * BLOCK, (block + 1) * BLOCK)
+            cosines[texts, part] = sums[texts, part] + often[texts] @ self.rows[part].T
+
+    def _least(self, cosines: np.ndarray, k: int) -> np.ndarray:
+        """Single-precision cosine that an example among the k nearest has at least."""
+        if k >= cosines.shape[1]:
+            return np.full(len(cosines), -0.5)
+        kth = np.partition(cosines, -k, axis=1)[:, -k]
+        return np.where(kth > 0, kth - 2 * self.loss - 2e-9, -0.5)
+
+    def nearest(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[list[tuple[float, int]]]:
+        """For each (term numbers, weights) the k largest cosines above 0 as (cosine,
+        example), to nine places, ties to the smaller example."""
         if self.rows is None:
             self._build()
-        column = self.column[numbers]
-        rare, often = column < 0, np.zeros(len(self.common))
-        often[column[~rare]] = weights[~rare]
-        at, size = spread(self.begin, numbers[rare])
-        sums = np.bincount(self.example[at], np.repeat(weights[rare], size) * self.weight[at], self.blocks * BLOCK)
-        most = np.repeat(self.most @ often, BLOCK)
-        upper = sums + np.minimum(most, self.length * np.sqrt((often**2).sum())) + 1e-9
-        bounds = upper.reshape(self.blocks, BLOCK).max(axis=1)
-        order = np.argsort(-bounds, kind="stable")
-        bounds = bounds[order]
-        best: list[tuple[float, int]] = []
-        done, some = 0, VISIT
-        while done < self.blocks:
-            full = len(best) == k
-            least = best[-1][0] if full else np.nextafter(1e-9, 1)
-            end = min(done + some, int(np.searchsorted(-bounds, -least, "right")))
-            if end <= done:
-                break
-            near = (order[done:end, None] * BLOCK + np.arange(BLOCK)).ravel()
-            near = near[upper[near] >= least]
-            cosines = sums[near] + self.rows[near] @ often
-            found = np.flatnonzero(cosines > (least - 1e-9 if full else 0))
-            if len(found) > k:
-                kth = np.partition(cosines[found], -k)[-k]
-                found = found[cosines[found] >= kth - 2e-9]
-            new = [(round(float(cosines[i]), 9), int(near[i])) for i in found]
-            best = sorted(best + new, key=lambda x: (-x[0], x[1]))[:k] if new else best
-            done, some = end, 2 * some
-        return best
+        often = np.zeros((len(queries), len(self.common)))
+        sums = np.zeros((len(queries), self.blocks * BLOCK))
+        for i, (numbers, weights) in enumerate(queries):
+            column = self.column[numbers]
+            rare = column < 0
+            often[i, column[~rare]] = weights[~rare]
+            at, size = spread(self.begin, numbers[rare])
+            sums[i] = np.bincount(self.example[at], np.repeat(weights[rare], size) * self.weight[at], sums.shape[1])
+        single = often.astype(np.float32)
+        most = np.minimum(often @ self.most.T, self.length * np.sqrt((often**2).sum(axis=1))[:, None])
+        bounds = sums.reshape(len(queries), self.blocks, BLOCK).max(axis=2) + most + self.loss
+        best_first = np.argsort(-bounds, axis=1, kind="stable")[:, :VISIT]
+        first = np.zeros(bounds.shape, bool)
+        np.put_along_axis(first, best_first, True, axis=1)
+        cosines = np.full(sums.shape, -1, np.float32)
+        self._visit(cosines, sums, single, first)
+        least = self._least(cosines, k)
+        self._visit(cosines, sums, single, ~first & (bounds >= least[:, None]))
+        least = self._least(cosines, k)
+        out = []
+        for i, row in enumerate(cosines):
+            near = np.flatnonzero(row >= least[i])
+            exact = sums[i, near] + self.rows[near].astype(float) @ often[i]
+            rounded = ((round(c, 9), j) for c, j in zip(exact.tolist(), near.tolist()))
+            out.append(sorted((x for x in rounded if x[0] > 0), key=lambda x: (-x[0], x[1]))[:k])
+        return out
 
     def vote(self, best: list[tuple[float, int]]) -> float:
         return sum(c * self.labels[i] for c, i in best) / sum(c for c, _ in best)
@@ -217,8 +239,9 @@ def monotone_fit(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class ToxicityModel:
-    vocabulary: Vocabulary | None
-    index: BlockMaxIndex | None
+    """What scores texts; vocabulary and index lie in a broadcast, read once per process."""
+
+    learned: Broadcast | None
     silent: float
     at: np.ndarray
     heights: np.ndarray
@@ -227,15 +250,17 @@ class ToxicityModel:
         """Score and the neighbours' ids of every text."""
         scores = np.full(len(texts), self.silent)
         evidence: list[list[int]] = [[] for _ in range(len(texts))]
-        if self.vocabulary is None:
+        if self.learned is None:
             return scores, evidence
+        vocabulary, index = self.learned.value
         for first, data, bounds in text_chunks(texts):
-            for text, numbers, weights in self.vocabulary.vectors(data, bounds):
-                best = self.index.nearest(numbers, weights, NEIGHBOURS)
-                if best:
-                    place = min(np.searchsorted(self.at, self.index.vote(best)), len(self.at) - 1)
-                    scores[first + text] = self.heights[place]
-                    evidence[first + text] = [int(self.index.ids[i]) for _, i in best]
+            vectors = vocabulary.vectors(data, bounds)
+            while part := list(islice(vectors, SEARCHED)):
+                for (text, *_), best in zip(part, index.nearest([v[1:] for v in part], NEIGHBOURS)):
+                    if best:
+                        place = min(np.searchsorted(self.at, index.vote(best)), len(self.at) - 1)
+                        scores[first + text] = self.heights[place]
+                        evidence[first + text] = [int(index.ids[i]) for _, i in best]
         return scores, evidence
 
 
@@ -259,49 +284,69 @@ def sample_counts(sample: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
 
 def learn_toxicity(documents: DataFrame, labels: DataFrame, label: str = "toxic") -> ToxicityModel:
-    """The model; the driver receives the sample's terms and their counts."""
+    """The model; the driver receives the sample's terms and counts, and broadcasts them."""
     sample = written(labelled_texts(documents, labels, label, FOLDS, HELD_FOLD, SAMPLE_ROWS, salt=8), "toxicity")
     total, toxic = sample.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
-    nothing = ToxicityModel(None, None, toxic / total if total else 0.0, np.zeros(0), np.zeros(0))
+    nothing = ToxicityModel(None, toxic / total if total else 0.0, np.zeros(0), np.zeros(0))
     if not 0 < toxic < total:
         return nothing
     distinct = sample.groupBy("text").agg(F.max("label").alias("label"))
-    counts = count_terms(distinct).toPandas()
-    if counts.empty:
+    counts = count_terms(distinct).toArrow()
+    if not counts.num_rows:
         return nothing
-    hashes = counts["term"].to_numpy(np.int64).view(np.uint64)
+    hashes = counts.column("term").to_numpy().view(np.uint64)
     order = np.argsort(hashes)
     hashes = hashes[order]
-    a, n = (counts[c].to_numpy(float)[order] for c in ("toxic", "texts"))
+    a, n = (counts.column(c).to_numpy().astype(float)[order] for c in ("toxic", "texts"))
     rate, size = distinct.agg(F.avg("label"), F.count("*")).first()
     expected = n * rate
     chi_square = (a - expected) ** 2 * size / (expected * np.maximum(size - n, 0) * (1 - rate) + 1e-9)
     texts = document_frequencies(documents, hashes)
     idf = np.log(1 + texts[-1] / np.maximum(texts[:-1], 1))
     vocabulary = Vocabulary(hashes, idf * np.sqrt((chi_square + 1) / size))
-    rows = sample_counts(sample, vocabulary).orderBy("doc_id").toArrow()
-    ids, truth = (rows.column(c).to_numpy() for c in ("doc_id", "label"))
-    sizes = pc.list_value_length(rows.column("numbers")).to_numpy()
-    begin = np.concatenate([[0], np.cumsum(sizes)])
-    numbers, counts = (pc.list_flatten(rows.column(c)).to_numpy() for c in ("numbers", "counts"))
-    del rows
-
-    def vector(row: int) -> tuple[np.ndarray, np.ndarray]:
-        part = slice(begin[row], begin[row + 1])
-        return numbers[part], vocabulary.unit(numbers[part], counts[part])
-
-    aside = np.arange(len(ids)) % 4 == 3
-    examples = np.flatnonzero((sizes > 0) & ~aside)
-    index = BlockMaxIndex(ids[examples], truth[examples], [vector(row) for row in examples], len(hashes))
-    votes, heard, unheard = [], [], []
-    for row in np.flatnonzero(aside):
-        best = index.nearest(*vector(row), NEIGHBOURS)
-        if best:
-            votes.append(index.vote(best))
-        (heard if best else unheard).append(float(truth[row]))
-    rate = (sum(unheard) + toxic / total) / (len(unheard) + 1)
-    at, heights = monotone_fit(np.array([0.0, *votes, 1.0]), np.array([0.0, *heard, 1.0]))
-    return ToxicityModel(vocabulary, index, rate, at, heights)
+    rows = written(sample_counts(sample, vocabulary), "vectors")
+    learned = sample.sparkSession.sparkContext.broadcast((vocabulary, learned_index(rows.where(f"not ({ASIDE})"), vocabulary)))
+    told = votes(rows.where(ASIDE), learned).toPandas()
+    heard, unheard = told[told["vote"].notna()].sort_values("doc_id"), told[told["vote"].isna()]
+    rate = (unheard["label"].sum() + toxic / total) / (len(unheard) + 1)
+    at, heights = monotone_fit(np.array([0.0, *heard["vote"], 1.0]), np.array([0.0, *heard["label"], 1.0]))
+    return ToxicityModel(learned, rate, at, heights)
+
+
+#: Sampled texts that are kept aside for calibration.
+ASIDE = "pmod(xxhash64(doc_id, 31), 4) = 3"
+
+
+def learned_index(rows: DataFrame, vocabulary: Vocabulary) -> BlockMaxIndex:
+    """The index of the examples, whose terms and counts are bounded by the sample."""
+    table = rows.where(F.size("numbers") > 0).orderBy("doc_id").toArrow()
+    ids, truth = (table.column(c).to_numpy() for c in ("doc_id", "label"))
+    sizes = pc.list_value_length(table.column("numbers")).to_numpy()
+    numbers, counts = (pc.list_flatten(table.column(c)).to_numpy() for c in ("numbers", "counts"))
+    del table
+    weights = np.empty(len(numbers), np.float32)
+    end = np.cumsum(sizes)
+    for first, last in zip((end - sizes).tolist(), end.tolist()):
+        weights[first:last] = vocabulary.unit(numbers[first:last], counts[first:last])
+    return BlockMaxIndex(ids, truth, sizes, numbers, weights, len(vocabulary.hashes))
+
+
+def votes(rows: DataFrame, learned: Broadcast) -> DataFrame:
+    """doc_id, label and the neighbours' vote (null without any) of the sample's rows."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, index = learned.value
+        for batch in batches:
+            found: list[float | None] = []
+            for first in range(0, batch.num_rows, SEARCHED):
+                part = batch.slice(first, SEARCHED)
+                lists = [[np.asarray(x.values) for x in part.column(c)] for c in ("numbers", "counts")]
+                asked = [(n, vocabulary.unit(n, c)) for n, c in zip(*lists)]
+                found += [index.vote(best) if best else None for best in index.nearest(asked, NEIGHBOURS)]
+            columns = [batch.column("doc_id"), batch.column("label"), pa.array(found, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "label", "vote"])
+
+    return rows.mapInArrow(ask, "doc_id long, label int, vote double")
 
 
 def toxicity_scores(documents: DataFrame, model: ToxicityModel) -> DataFrame:
