@@ -130,18 +130,18 @@ def test_least_places():
         assert least_places(values, span).tolist() == wanted
 
 
-def plain_repeats(texts):
+def plain_repeats(texts, size=400):
     raw = [(t or "").encode() for t in texts]
     counts = {}
     for data in raw:
-        for i in range(len(data) - 399):
-            counts[data[i : i + 400]] = counts.get(data[i : i + 400], 0) + 1
+        for i in range(len(data) - size + 1):
+            counts[data[i : i + size]] = counts.get(data[i : i + size], 0) + 1
     out = []
     for i, data in enumerate(raw):
         gone = np.zeros(len(data), bool)
-        for k in range(len(data) - 399):
-            if counts[data[k : k + 400]] > 1:
-                gone[k : k + 400] = True
+        for k in range(len(data) - size + 1):
+            if counts[data[k : k + size]] > 1:
+                gone[k : k + size] = True
         spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
         out.append((i, len(data), int(gone.sum()), spans, hashlib.sha256(np.frombuffer(data, np.uint8)[~gone].tobytes()).hexdigest()))
     return out
@@ -176,6 +176,26 @@ def test_repeats(spark, tmp_path, monkeypatch, most):
     assert sorted(map(tuple, found)) == plain_repeats(texts)
 
 
+@pytest.mark.parametrize("size", [30, 240])
+def test_repeats_of_other_lengths(spark, size):
+    texts = repeating_texts()
+    rows, schema = documents(texts)
+    found = repeats.digest_removals(spark.createDataFrame(rows, schema), size).collect()
+    assert sorted(map(tuple, found)) == plain_repeats(texts, size)
+
+
+def test_passages_of_over_fifty_words_are_cut(spark):
+    draw = random.Random(51)
+    words = lambda n: " ".join("".join(draw.choice("abcdefgh") for _ in range(draw.randint(2, 7))) for _ in range(n))
+    shared, clean = [words(52) for _ in range(20)], [words(150) for _ in range(20)]
+    texts = clean + [f"{words(40)} {p} {words(40)}" for p in shared for _ in range(2)]
+    rows, schema = documents(texts)
+    kept = {r.doc_id: r.text for r in corpus_pipeline.repeats(spark, spark.createDataFrame(rows, schema), "").collect()}
+    assert all(kept[i] == text for i, text in enumerate(clean))
+    assert not any(p in kept[20 + 2 * i + j] for i, p in enumerate(shared) for j in (0, 1) if len(p) >= corpus_pipeline.REPEATED_BYTES)
+    assert sum(len(p) >= corpus_pipeline.REPEATED_BYTES for p in shared) >= 18
+
+
 def test_repeats_of_given_texts(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{DATA}/sf0.001/documents.parquet").collect()}
     ids = sorted(texts)
@@ -213,7 +233,7 @@ def test_stages_keep_columns_and_act(spark, tmp_path):
     wanted = plain_components(plain_sets([texts[i] for i in ids]))
     assert sorted(kept["near_copies"]) == sorted({ids[w] for w in wanted})
     before = [kept["near_copies"][i].text for i in sorted(kept["near_copies"])]
-    removed = {i: r for i, r in zip(sorted(kept["near_copies"]), plain_repeats(before))}
+    removed = {i: r for i, r in zip(sorted(kept["near_copies"]), plain_repeats(before, corpus_pipeline.REPEATED_BYTES))}
     for i, r in kept["repeats"].items():
         assert (r.text == texts[i]) == (removed[i][2] == 0)
         assert len((texts[i] or "").encode()) - len((r.text or "").encode()) <= removed[i][2]

@@ -1,7 +1,7 @@
 """Removal of passages that occur elsewhere, by sharded suffix arrays.
 
-Every start of a 400-byte string (a window) belongs to an anchor: the leftmost of the
-least hashed 128-byte strings inside it. Equal windows have equal anchors at equal places,
+Every start of a string of the given length (a window; 400 bytes, if none is given) belongs
+to an anchor: the leftmost of the least hashed strings of 8/25 of that length inside it. Equal windows have equal anchors at equal places,
 so a window can only repeat where its anchor does. Windows with one anchor make a segment.
 
 1. Anchors are counted over all documents; those that occur once are done with.
@@ -31,9 +31,8 @@ from tradeloom.llm.suffixes import common_prefixes, suffix_array
 from tradeloom.llm.tables import free_name, table, written
 from tradeloom.llm.words import RangeHash, replace_texts, text_bytes, text_chunks
 
-#: Length of a repeat and of the hashed strings that serve as anchors.
-REPEAT, ANCHOR = 400, 128
-SPAN = REPEAT - ANCHOR + 1
+#: Length of a repeat, if none is given.
+REPEAT = 400
 #: Bytes of segments in a block, and distinct segments from which on windows are counted.
 BLOCK_BYTES, MOST_SEGMENTS = 512 << 10, 512
 CHUNK = 1 << 18
@@ -47,6 +46,11 @@ def digests(text: Column) -> list[Column]:
 TEXT = ["text_a", "text_b"]
 
 
+def anchor_length(repeat: int) -> int:
+    """Length of the hashed strings that serve as anchors of windows of so many bytes."""
+    return repeat * 8 // 25
+
+
 def least_places(values: np.ndarray, span: int) -> np.ndarray:
     """For each run of `span` values the place of the leftmost least one.
 
@@ -68,36 +72,36 @@ def least_places(values: np.ndarray, span: int) -> np.ndarray:
     return place + np.where(from_left, starts // span, (starts + span - 1) // span) * span
 
 
-def chunk_segments(data: np.ndarray, bounds: np.ndarray):
+def chunk_segments(data: np.ndarray, bounds: np.ndarray, repeat: int):
     """(text number, anchor hash, first window, windows, anchor's place, segment hash) of all
     segments, in order; places count from the text's first byte."""
     n = len(data)
-    if n < REPEAT:
+    if n < repeat:
         return tuple(np.zeros(0, np.int64) for _ in range(6))
-    ranges = RangeHash(data)
-    at = np.arange(n - ANCHOR + 1)
-    anchor_hash = ranges(at, at + ANCHOR)
-    place = least_places(anchor_hash, SPAN)
-    windows = np.arange(n - REPEAT + 1)
+    ranges, anchor = RangeHash(data), anchor_length(repeat)
+    at = np.arange(n - anchor + 1)
+    anchor_hash = ranges(at, at + anchor)
+    place = least_places(anchor_hash, repeat - anchor + 1)
+    windows = np.arange(n - repeat + 1)
     owner = np.searchsorted(bounds, windows, "right") - 1
-    windows = windows[windows + REPEAT <= bounds[owner + 1]]
+    windows = windows[windows + repeat <= bounds[owner + 1]]
     owner, place = owner[windows], place[windows]
     new = np.ones(len(windows), bool)
     new[1:] = (place[1:] != place[:-1]) | (owner[1:] != owner[:-1])
     first = np.flatnonzero(new)
     count = np.diff(np.append(first, len(windows)))
     start, owner, place = windows[first], owner[first], place[first]
-    whole = ranges(start, start + count - 1 + REPEAT)
+    whole = ranges(start, start + count - 1 + repeat)
     return owner, anchor_hash[place], start - bounds[owner], count, place - start, whole
 
 
-def segments_of(documents: DataFrame) -> DataFrame:
+def segments_of(documents: DataFrame, repeat: int) -> DataFrame:
     """doc_id, text digests and the segments of every document with a window."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, data, bounds in text_chunks(batch.column("text"), CHUNK):
-                owner, *columns = chunk_segments(data, bounds)
+                owner, *columns = chunk_segments(data, bounds, repeat)
                 if not len(owner):
                     continue
                 texts, begin = np.unique(owner, return_index=True)
@@ -124,7 +128,7 @@ def shared_segments(segments: DataFrame) -> DataFrame:
     return rows.join(shared, "anchor")
 
 
-def fetch_segments(documents: DataFrame, chosen: DataFrame) -> DataFrame:
+def fetch_segments(documents: DataFrame, chosen: DataFrame, repeat: int) -> DataFrame:
     """The bytes of chosen segments: one row each, and the documents read once."""
     listed = chosen.groupBy("doc_id", *TEXT).agg(F.collect_list(F.struct("anchor", "start", "windows", "single", "hot", "block")).alias("found"))
 
@@ -133,7 +137,7 @@ def fetch_segments(documents: DataFrame, chosen: DataFrame) -> DataFrame:
             for row in range(batch.num_rows):
                 data = (batch.column("text")[row].as_py() or "").encode()
                 found = batch.column("found")[row].as_py()
-                pieces = [data[x["start"] : x["start"] + x["windows"] - 1 + REPEAT] for x in found]
+                pieces = [data[x["start"] : x["start"] + x["windows"] - 1 + repeat] for x in found]
                 fixed = [pa.array([batch.column(c)[row].as_py()] * len(found), pa.int64()) for c in TEXT]
                 yield pa.RecordBatch.from_arrays(
                     [*fixed, *(pa.array([x[c] for x in found], t) for c, t in CHOSEN), pa.array(pieces, pa.binary())],
@@ -148,13 +152,13 @@ def fetch_segments(documents: DataFrame, chosen: DataFrame) -> DataFrame:
 CHOSEN = [("anchor", pa.int64()), ("start", pa.int32()), ("windows", pa.int32()), ("single", pa.bool_()), ("hot", pa.bool_()), ("block", pa.int64())]
 
 
-def repeats_in_block(rows: pa.Table) -> pa.Table:
+def repeats_in_block(rows: pa.Table, repeat: int) -> pa.Table:
     """Runs of repeating windows of a block's segments: text digests, first and end byte."""
     pieces, bounds = piece_bytes(rows.column("piece"))
     start, windows = (rows.column(c).to_numpy().astype(np.int64) for c in ("start", "windows"))
     wanted = covered(bounds[:-1], bounds[:-1] + windows, len(pieces))
-    order = suffix_array(pieces, REPEAT, wanted)
-    same = common_prefixes(pieces, order, REPEAT) >= REPEAT
+    order = suffix_array(pieces, repeat, wanted)
+    same = common_prefixes(pieces, order, repeat) >= repeat
     group = np.cumsum(~same)
     repeating = np.zeros(len(pieces), bool)
     repeating[order[np.bincount(group)[group] > 1]] = True
@@ -168,7 +172,7 @@ def repeats_in_block(rows: pa.Table) -> pa.Table:
     last = np.append(first[1:], len(at)) - 1
     places = start[owner[first]] - bounds[owner[first]]
     keys = [rows.column(c).to_numpy()[owner[first]] for c in TEXT]
-    return pa.table([*map(pa.array, keys), pa.array(at[first] + places), pa.array(at[last] + places + REPEAT)], [*TEXT, "first", "end"])
+    return pa.table([*map(pa.array, keys), pa.array(at[first] + places), pa.array(at[last] + places + repeat)], [*TEXT, "first", "end"])
 
 
 def piece_bytes(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -176,7 +180,7 @@ def piece_bytes(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(pieces), np.uint8), np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
 
 
-def counted_windows(pieces: DataFrame) -> DataFrame:
+def counted_windows(pieces: DataFrame, repeat: int) -> DataFrame:
     """Repeating windows of anchors with very many segments, by counts of window hashes."""
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,37 +189,37 @@ def counted_windows(pieces: DataFrame) -> DataFrame:
                 data = np.frombuffer(batch.column("piece")[row].as_py(), np.uint8)
                 n, start = batch.column("windows")[row].as_py(), batch.column("start")[row].as_py()
                 at = np.arange(n)
-                value = RangeHash(data)(at, at + REPEAT)
+                value = RangeHash(data)(at, at + repeat)
                 keys = [np.full(n, batch.column(c)[row].as_py()) for c in ("anchor", *TEXT)]
                 single = np.full(n, batch.column("single")[row].as_py())
                 yield pa.RecordBatch.from_arrays([*map(pa.array, (*keys, value.view(np.int64), start + at, single))], ["anchor", *TEXT, "value", "first", "single"])
 
     rows = written(pieces.mapInArrow(windows, "anchor long, text_a long, text_b long, value long, first long, single boolean"), "windows")
     many = written(rows.groupBy("anchor", "value").count().where("count > 1").select("anchor", "value"), "counted")
-    return rows.where("single").join(many, ["anchor", "value"], "left_semi").select(*TEXT, "first", (F.col("first") + REPEAT).alias("end"))
+    return rows.where("single").join(many, ["anchor", "value"], "left_semi").select(*TEXT, "first", (F.col("first") + repeat).alias("end"))
 
 
-def repeated_ranges(documents: DataFrame) -> DataFrame:
+def repeated_ranges(documents: DataFrame, repeat: int = REPEAT) -> DataFrame:
     """text_a, text_b, first and end of byte ranges that repeat; ranges may overlap."""
-    shared = written(shared_segments(written(segments_of(documents), "segments")), "shared")
+    shared = written(shared_segments(written(segments_of(documents, repeat), "segments")), "shared")
     copies = shared.where("mixed").groupBy(*SAME).agg(F.count("*").alias("n"), F.min(F.struct("doc_id", *TEXT, "start")).alias("one"))
     copies = written(copies, "copies")
     # All shared segments repeat as a whole but those that are the only one of their kind.
     alone = copies.where("n = 1").select("one.text_a", "one.text_b", "one.start", "windows", F.lit(True).alias("alone"))
     listed = shared.select(*TEXT, "start", "windows", F.lit(False).alias("alone")).unionByName(alone)
     whole = listed.groupBy(*TEXT, "start").agg(F.max("windows").alias("windows"), F.max("alone").alias("alone")).where("not alone")
-    span = (F.col("start").cast("long").alias("first"), (F.col("start") + F.col("windows") - 1 + REPEAT).cast("long").alias("end"))
-    per_anchor = copies.groupBy("anchor").agg(F.count("*").alias("segments"), F.sum(F.col("windows") + REPEAT).alias("bytes"))
+    span = (F.col("start").cast("long").alias("first"), (F.col("start") + F.col("windows") - 1 + repeat).cast("long").alias("end"))
+    per_anchor = copies.groupBy("anchor").agg(F.count("*").alias("segments"), F.sum(F.col("windows") + repeat).alias("bytes"))
     per_anchor = written(per_anchor.where("segments > 1"), "anchors")
     size = per_anchor.where(F.col("segments") <= MOST_SEGMENTS).agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     blocks = -(-size // BLOCK_BYTES) + 1
     marks = per_anchor.select("anchor", (F.col("segments") > MOST_SEGMENTS).alias("hot"), F.pmod(F.xxhash64("anchor"), F.lit(blocks)).alias("block"))
     chosen = copies.join(marks, "anchor").select("anchor", "windows", "one.*", (F.col("n") == 1).alias("single"), "hot", "block")
-    pieces = written(fetch_segments(documents, written(chosen, "chosen")), "pieces")
+    pieces = written(fetch_segments(documents, written(chosen, "chosen"), repeat), "pieces")
     sorted_blocks = pieces.where("not hot").groupBy("block").applyInArrow(
-        lambda rows: repeats_in_block(rows), "text_a long, text_b long, first long, end long"
+        lambda rows: repeats_in_block(rows, repeat), "text_a long, text_b long, first long, end long"
     )
-    return whole.select(*TEXT, *span).union(sorted_blocks).union(counted_windows(pieces.where("hot")))
+    return whole.select(*TEXT, *span).union(sorted_blocks).union(counted_windows(pieces.where("hot"), repeat))
 
 
 def covered(first: list[int], end: list[int], size: int) -> np.ndarray:
@@ -226,10 +230,10 @@ def covered(first: list[int], end: list[int], size: int) -> np.ndarray:
     return np.cumsum(steps[:-1]) > 0
 
 
-def with_ranges(documents: DataFrame, tag: str) -> DataFrame:
+def with_ranges(documents: DataFrame, tag: str, repeat: int) -> DataFrame:
     """The documents, all columns, with the lists of first and end bytes that repeat (or
     null) in the columns `tag`_first and `tag`_end."""
-    found = repeated_ranges(documents).distinct().groupBy(*TEXT)
+    found = repeated_ranges(documents, repeat).distinct().groupBy(*TEXT)
     listed = written(found.agg(F.collect_list(F.struct("first", "end")).alias("found")), "ranges")
     names = {"text_a": f"{tag}_a", "text_b": f"{tag}_b", "found.first": f"{tag}_first", "found.end": f"{tag}_end"}
     listed = listed.select(*(F.col(old).alias(new) for old, new in names.items()))
@@ -237,7 +241,7 @@ def with_ranges(documents: DataFrame, tag: str) -> DataFrame:
     return documents.withColumns(keys).join(listed, list(keys), "left").drop(*keys)
 
 
-def digest_removals(documents: DataFrame) -> DataFrame:
+def digest_removals(documents: DataFrame, repeat: int = REPEAT) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and the digest of what is left."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,7 +261,7 @@ def digest_removals(documents: DataFrame) -> DataFrame:
             types = (pa.int64(), pa.int64(), pa.int64(), pa.string())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(x, t) for x, t in zip(out, types))], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    rows = with_ranges(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "found")
+    rows = with_ranges(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "found", repeat)
     return rows.select("doc_id", "text", "found_first", "found_end").mapInArrow(digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
@@ -270,8 +274,9 @@ def kept_text(text: str, first: list[int], end: list[int]) -> str:
     return data[~np.repeat(gone, np.diff(np.append(starts, len(data))))].tobytes().decode()
 
 
-def drop_repeats(documents: DataFrame) -> DataFrame:
-    """The documents, all rows and columns, without repeating passages; n_chars follows."""
+def drop_repeats(documents: DataFrame, repeat: int = REPEAT) -> DataFrame:
+    """The documents, all rows and columns, without passages of `repeat` bytes or more that
+    occur elsewhere; n_chars follows."""
     names, tag = documents.columns, free_name(documents, "found")
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,7 +286,7 @@ def drop_repeats(documents: DataFrame) -> DataFrame:
             new = {r: kept_text(batch.column("text")[r].as_py(), first[r].as_py(), end[r].as_py()) for r in rows}
             yield replace_texts(batch.select(names), new)
 
-    return with_ranges(documents, tag).select(*names, f"{tag}_first", f"{tag}_end").mapInArrow(drop, documents.schema)
+    return with_ranges(documents, tag, repeat).select(*names, f"{tag}_first", f"{tag}_end").mapInArrow(drop, documents.schema)
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
