@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tradeloom.oracle.bridge_sql import CTES
-from tradeloom.oracle.models_sql import MODEL_SQL, MONTHLY, r
+from tradeloom.oracle.models_sql import MODEL_SQL, MONTHLY, SOLD, pct, r
 from tradeloom.schemas import MART_DDL, RAW_DDL, TEXT_LIMITS
 
 # Raw table -> the CTE it corresponds to.
@@ -298,6 +298,12 @@ SYNTH_CTES = {
 
 _LUCK = draw("order_id", "score", 100)
 
+# Exact sums over all rows and up to a row, by revenue.
+EXACT = "cast(TOTAL_REVENUE as decimal(28, 2))"
+WHOLE = f"sum({EXACT}) over ()"
+RUNNING = f"""sum({EXACT}) over (order by TOTAL_REVENUE desc, {{key}}
+    rows between unbounded preceding and current row)"""
+
 JOB_SQL: dict[str, str] = {
     "src_csv_dir": table_checks([n for n in RAW_CTES if n != "customers_extended"]),
     "sink_replace": "select * from pay",
@@ -307,6 +313,18 @@ JOB_SQL: dict[str, str] = {
         select * replace (true as is_synthetic, 'synthetic_2019' as data_source) from cext""",
     "raw_sync": table_checks(RAW_CTES),
     "raw_sync_bucketed": table_checks(RAW_CTES),
+    "raw_sync_changes": """
+        select order_id, payment_sequential, payment_type, payment_installments, payment_value,
+            case when order_id not in (select order_id from old) then 'inserted'
+                 when order_id not in (select order_id from new) then 'deleted' else 'changed' end as CHANGE,
+            coalesce(o.n, 0) as BEFORE, coalesce(p.n, 0) as AFTER
+        from old o full join new p
+            using (order_id, payment_sequential, payment_type, payment_installments, payment_value)
+        where o.n is distinct from p.n""",
+    "sink_upsert": """
+        select * replace (
+            customer_city || case when cast(customer_id as bigint) % 10 = 3 then '_new' else '' end as customer_city)
+        from cext""",
     "src_registry": table_checks(RAW_CTES, "raw_"),
     "mat_view": """
         select ORDER_STATUS, count(*) as ORDERS, min(ORDER_PURCHASED_AT) as FIRST_AT,
@@ -371,6 +389,21 @@ JOB_SQL: dict[str, str] = {
         select customer_id, customer_city || case when no % 10 = 3 then '_new' else '' end,
             customer_state, t2, null, true
         from numbered where no % 17 <> 0 and (no % 13 = 0 or no % 10 = 3)""",
+    "scd2_orders": """
+        select ORDER_ID, o.CUSTOMER_ID, ORDER_PURCHASED_AT, case when here then city end as CITY,
+            case when here then state end as STATE, case when here then since end as VALID_FROM
+        from stg o asof left join begun b on o.CUSTOMER_ID = b.customer_id and o.ORDER_PURCHASED_AT >= b.t""",
+    "pareto_products": f"""
+        select *, {pct("TOTAL_REVENUE", WHOLE)} as REVENUE_SHARE_PCT,
+            {pct(RUNNING.format(key="PRODUCT_ID"), WHOLE)} as CUMULATIVE_SHARE_PCT
+        from (select product_id as PRODUCT_ID, {r("sum(price)")} as TOTAL_REVENUE from {SOLD} group by 1)""",
+    "pareto_customers": f"""
+        select CUSTOMER_ID, TOTAL_REVENUE,
+            {r("lag(TOTAL_REVENUE) over (order by TOTAL_REVENUE desc, CUSTOMER_ID) - TOTAL_REVENUE")} as GAP_TO_BETTER,
+            {pct("TOTAL_REVENUE", WHOLE)} as REVENUE_SHARE_PCT,
+            {pct(RUNNING.format(key="CUSTOMER_ID"), WHOLE)} as CUMULATIVE_SHARE_PCT
+        from (select cid as CUSTOMER_ID, {r("sum(payment_value)")} as TOTAL_REVENUE
+              from done join pay on order_id = oid group by 1)""",
     "dq_text_limits": " union all ".join(
         f"""select 'text_limit' as CHECK_NAME, '{column}' as COLUMN_NAME,
                 count(*) filter (length({column}) > {most}) as FAILURES from cext"""
@@ -468,5 +501,28 @@ EXTRA_CTES: dict[str, dict[str, str]] = {
             select *, cast(customer_id as bigint) as no,
                 timestamp '2025-01-01' as t1, timestamp '2026-01-01' as t2 from cust"""
     },
+    "raw_sync_changes": {
+        "was": "select *, cast(order_id as bigint) as no from pay",
+        "old": "select * exclude (no), count(*) as n from was where no % 997 <> 0 group by all",
+        "new": """
+            select * exclude (no) replace (payment_value + case when no % 983 = 0 then 1 else 0 end as payment_value),
+                count(*) as n
+            from was where no % 991 <> 0 group by all""",
+    },
+    "scd2_orders": {
+        "snaps": """
+            select *, cast(customer_id as bigint) as no
+            from cust, (values (1, timestamp '1993-06-01'), (2, timestamp '1995-06-01'), (3, timestamp '1997-06-01')) as v(snap, t)""",
+        "seen": """
+            select customer_id, snap, t, not (snap = 1 and no % 13 = 0 or snap = 2 and no % 17 = 0) as here,
+                customer_city || case when snap = 2 and no % 10 = 3 then '_new' else '' end as city, customer_state as state
+            from snaps""",
+        "runs": """
+            select *, case when here then city end is distinct from
+                lag(case when here then city end) over (partition by customer_id order by snap) as opens
+            from seen""",
+        "begun": """
+            select *, max(case when opens then t end) over (partition by customer_id order by snap) as since from runs""",
+    },
     "synth_load": {m: MODEL_SQL[m] for m in CHANGED_BY_LOAD},
 }

@@ -1,4 +1,4 @@
-"""Incremental months of a stored model, and the history of customer addresses."""
+"""Incremental months of a stored model, the history of addresses, and orders against it."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.functions.columns import DELIVERED
+from tradeloom.operators.ranges import as_of
 from tradeloom.plans.sales import monthly_revenue
 from tradeloom.sources.tables import Tables
 
@@ -99,3 +100,16 @@ def next_history(history: DataFrame, snapshot: DataFrame, moment: str) -> DataFr
     after = F.when(given & ~stays, row("new", now, never, F.lit(True)))
     moved = met.select("customer_id", F.inline(F.array_compact(F.array(before, after))))
     return history.where("not IS_CURRENT").unionByName(moved)
+
+
+def orders_with_address(orders: DataFrame, history: DataFrame) -> DataFrame:
+    """Staged orders with the address their customer had when they bought.
+
+    Nulls where the history does not know the customer yet, or not any more.
+    """
+    bought = orders.select("ORDER_ID", "CUSTOMER_ID", "ORDER_PURCHASED_AT")
+    at = history.withColumnRenamed("customer_id", "CUSTOMER_ID")
+    met = as_of(bought, at, "CUSTOMER_ID", "ORDER_PURCHASED_AT", "VALID_FROM", [*ADDRESS, "VALID_FROM", "VALID_TO"])
+    valid = F.col("VALID_TO").isNull() | (F.col("ORDER_PURCHASED_AT") < F.col("VALID_TO"))
+    kept = [F.when(valid, F.col(c)).alias(name) for c, name in zip([*ADDRESS, "VALID_FROM"], ["CITY", "STATE", "VALID_FROM"])]
+    return met.select(*bought.columns, *kept)

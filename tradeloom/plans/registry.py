@@ -15,10 +15,11 @@ from pyspark.sql.types import StructField
 
 from tradeloom.functions.identity import card_token, cpf, cpf_is_valid
 from tradeloom.operators import quality
-from tradeloom.plans import fraud, history, partials, refresh, sellers, synthetic
+from tradeloom.plans import fraud, history, pareto, partials, refresh, sellers, synthetic
 from tradeloom.plans.catalog import ANALYSES, FRAUD_RULES, MARTS, STAGING, Builder
 from tradeloom.schemas import SOURCE_TABLES, TEXT_LIMITS, contract
 from tradeloom.session import new_run_folder
+from tradeloom.sources import keyed
 from tradeloom.sources import layers as store
 from tradeloom.sources.bridge import Bridge, load_tables
 from tradeloom.sources.landing import read_csv_folder
@@ -140,6 +141,31 @@ def synced_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_checks(store.bucketed_tables(spark, layers, database).by_name())
 
 
+def changed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What changed between two synchronisations of the payments, keyed by their order.
+
+    Some orders go, some come, some payments get another value.
+    """
+    payments, number = load_tables(spark, sf_dir).order_payments, F.col("order_id").cast("bigint")
+    table = keyed.KeyedTable(new_run_folder(spark, "payments"), ("order_id",), depth=1)
+    dearer = F.when(number % 983 == 0, F.col("payment_value") + 1).otherwise(F.col("payment_value"))
+    first, _ = keyed.synchronise(payments.where(number % 997 != 0), table)
+    second, _ = keyed.synchronise(payments.where(number % 991 != 0).withColumn("payment_value", dearer), table)
+    return keyed.changes_between(spark, table, first, second)
+
+
+def upserted_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The extended customers, of which some come later or move, delivered twice."""
+    people, number = load_tables(spark, sf_dir).customers_extended, F.col("customer_id").cast("bigint")
+    table = keyed.KeyedTable(new_run_folder(spark, "people"), ("customer_id",), depth=1)
+    keyed.upsert(people.where(number % 3 != 0), table)
+    moved = F.when(number % 10 == 3, F.concat("customer_city", F.lit("_new"))).otherwise(F.col("customer_city"))
+    delivery = people.where((number % 3 == 0) | (number % 10 == 3)).withColumn("customer_city", moved)
+    for _ in range(2):
+        keyed.upsert(delivery, table)
+    return keyed.open_version(spark, table)
+
+
 def source_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every declared source by its registered view name."""
     views = store.register_sources(spark, load_tables(spark, sf_dir))
@@ -321,6 +347,17 @@ def customer_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.next_history(first, second, "2026-01-01 00:00:00")
 
 
+def orders_with_address(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with the customer's address at purchase, after three snapshots of customers."""
+    t, number = load_tables(spark, sf_dir), F.col("customer_id").cast("bigint")
+    moved = F.when(number % 10 == 3, F.concat("customer_city", F.lit("_new"))).otherwise(F.col("customer_city"))
+    told = history.first_history(t.customers.where(number % 13 != 0), "1993-06-01 00:00:00")
+    second = t.customers.where(number % 17 != 0).withColumn("customer_city", moved)
+    told = history.next_history(told, second, "1995-06-01 00:00:00")
+    told = history.next_history(told, t.customers, "1997-06-01 00:00:00")
+    return history.orders_with_address(t.stg_orders, told)
+
+
 # --- data quality ---------------------------------------------------------------
 
 
@@ -465,6 +502,8 @@ JOBS: dict[str, Query] = {
     "sink_create_if_absent": created_table,
     "raw_sync": synced_raw,
     "raw_sync_bucketed": synced_bucketed,
+    "raw_sync_changes": changed_rows,
+    "sink_upsert": upserted_customers,
     "src_registry": source_registry,
     "mat_view": staging_view,
     "mat_table": stored_mart,
@@ -479,6 +518,9 @@ JOBS: dict[str, Query] = {
     "incremental_top_sellers": incremental_top_sellers,
     "incremental_top_categories": incremental_top_categories,
     "scd2_customers": customer_history,
+    "scd2_orders": orders_with_address,
+    "pareto_products": _model(pareto.pareto_by_product),
+    "pareto_customers": _model(pareto.pareto_by_customer),
     "dq_not_null": _model(null_counts),
     "dq_unique": _model(repeated_values),
     "dq_accepted_values": _model(unexpected_values),
