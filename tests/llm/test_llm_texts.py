@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import pytest
 from cases import AWKWARD, DATA, documents, store
+from pyspark.sql import functions as F
 
 from tradeloom.llm import toxicity, urls
 from tradeloom.llm.quality import op1_quality
@@ -77,6 +78,43 @@ def test_urls_crawled_often_leave_the_sample_its_size(spark, monkeypatch):
     assert 60 <= sizes[0] <= 140
 
 
+def test_rates_count_every_suffix_and_segment(spark):
+    draw = np.random.default_rng(6)
+    given = [(f"u{i}", f"s{draw.integers(500)}", f"p{draw.integers(900)}", int(draw.random() < 0.3)) for i in range(1500)]
+    counts = urls.rate_counts(spark.createDataFrame(given * 2, "url string, suffix string, segment string, blocked int"))
+    model = urls.UrlModel(counts, prior=0.25)
+    rows = spark.createDataFrame([*given, ("new", "s0", "unseen", None)], "url string, suffix string, segment string, blocked int")
+    part = {r.url: r.part for r in rows.select("url", urls._part().alias("part")).collect()}
+    for apart in (False, True):
+        found = urls.with_rates(rows, model, apart).collect()
+        assert len(found) == len(given) + 1
+        for r in found:
+            for place, value, rate in ((1, r.suffix, r.f13), (2, r.segment, r.f14)):
+                own = [g[3] for g in given if g[place] == value and not (apart and part[g[0]] == part[r.url])]
+                assert rate == pytest.approx((sum(own) + 20 * 0.25) / (len(own) + 20), abs=1e-6)
+
+
+def test_best_splits_equal_brute_force(spark):
+    draw = np.random.default_rng(7)
+    bins, blocked = draw.integers(0, 5, (400, 3)), draw.integers(0, 2, 400)
+    leaves, margin = draw.integers(0, 2, 400), draw.normal(0, 1, 400)
+    given = [(*map(int, b), int(y), int(n), float(m)) for b, y, n, m in zip(bins, blocked, leaves, margin)]
+    rows = spark.createDataFrame(given, "b0 int, b1 int, b2 int, blocked int, leaf int, margin double")
+    found = {r.leaf: r for r in urls.best_splits(rows, F.col("leaf"), F.col("margin"), 3)}
+    chance = 1 / (1 + np.exp(-margin))
+    g, h = blocked - chance, chance * (1 - chance)
+    for leaf in (0, 1):
+        here, best = leaves == leaf, None
+        score = lambda rows: g[rows].sum() ** 2 / (h[rows].sum() + urls.PENALTY)
+        for feature in range(3):
+            for edge in range(5):
+                left = here & (bins[:, feature] <= edge)
+                gain = round(score(left) + score(here & ~left) - score(here), 6)
+                best = max(best or (-1,), (gain, -feature, -edge))
+        r = found[leaf]
+        assert (r.gain, -r.feature, -r.bin) == pytest.approx(best, abs=2e-6)
+
+
 def test_words_are_runs_of_one_class():
     import pyarrow as pa
 

@@ -4,6 +4,11 @@ Only DataFrame expressions are used. The trees are grown level by level from gra
 histograms: one aggregation per level over a bounded sample of labelled URLs, of which
 the driver receives the best split of each open node. Scoring is one expression.
 
+The rates of blocked URLs by suffix and by first path segment are counted over all distinct
+labelled URLs and joined back, however many there are. URLs fall into FOLDS parts by a hash:
+one learned from is given the rates of the other parts, so that a rate never holds its own
+label; one that is scored is given the rates of all.
+
 Host and path of a null URL, or one without `://`, are empty; such a URL fits no rule and
 is judged by the trees, as is an empty one. Repeated rows are judged alike. Without
 labelled URLs the trees are empty and their verdict is allow.
@@ -13,12 +18,14 @@ from __future__ import annotations
 
 import functools
 import math
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradeloom.llm.tables import bounded_sample, table, written
+from tradeloom.operators.lookups import lookup_join
 
 #: (host, path, verdict); a rule fits its host and all subdomains.
 RULES = (
@@ -29,9 +36,11 @@ RULES = (
     ("com", "/de/", "block"),
 )
 UPPER, LOWERED = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Labelled URLs learned from, suffixes and segments with rates of their own, bins per feature.
-SAMPLE_ROWS, SUFFIXES, BINS = 20_000, 200, 24
+#: Labelled URLs learned from, bins per feature.
+SAMPLE_ROWS, BINS = 20_000, 24
 TREES, DEPTH, RATE, PENALTY = 12, 3, 0.4, 1.0
+#: Parts of which one learned from is given the rates of the others.
+FOLDS = 8
 #: Weight of the overall rate in a suffix's rate.
 PRIOR_WEIGHT = 20.0
 
@@ -108,41 +117,74 @@ class Node:
 
 @dataclass
 class UrlModel:
-    rates: dict[str, dict[str, float]] = field(default_factory=dict)
+    counts: DataFrame | None = None
     prior: float = 0.0
     edges: list[list[float]] = field(default_factory=list)
     base: float = -4.0
     trees: list[Node] = field(default_factory=list)
 
-    def rated(self) -> dict[str, Column]:
-        """The rate features: a frequent suffix or first path segment has its own rate."""
-        found = {}
-        for i, key in enumerate(RATED):
-            rate = F.lit(self.prior)
-            if self.rates.get(key):
-                known = F.create_map(*[F.lit(x) for pair in sorted(self.rates[key].items()) for x in pair])
-                rate = F.coalesce(F.try_element_at(known, F.col(key)), rate)
-            found[f"f{LEXICAL + i}"] = rate
-        return found
-
     def margin(self) -> Column:
         """Sum of all trees over raw features."""
-        return functools.reduce(lambda a, b: a + b, (self._value(t) for t in self.trees), F.lit(self.base))
+        return self._sum(lambda node: F.col(f"f{node.feature}") <= self.edges[node.feature][node.edge])
+
+    def binned_margin(self) -> Column:
+        """The same over the bins of features."""
+        return self._sum(goes_left)
+
+    def _sum(self, left: Callable[[Node], Column]) -> Column:
+        return functools.reduce(lambda a, b: a + b, (_value(tree, left) for tree in self.trees), F.lit(self.base))
+
+
+def goes_left(node: Node) -> Column:
+    return F.col(f"b{node.feature}") <= node.edge
 
-    def _value(self, node: Node) -> Column:
-        if node.feature is None:
-            return F.lit(node.value)
-        goes_left = F.col(f"f{node.feature}") <= self.edges[node.feature][node.edge]
-        return F.when(goes_left, self._value(node.left)).otherwise(self._value(node.right))
 
+def _value(node: Node, left: Callable[[Node], Column]) -> Column:
+    if node.feature is None:
+        return F.lit(node.value)
+    return F.when(left(node), _value(node.left, left)).otherwise(_value(node.right, left))
+
+
+def _part() -> Column:
+    return F.pmod(F.xxhash64("url", F.lit(9)), F.lit(FOLDS)).cast("int")
 
-def _leaf_number(node: Node, leaves: list[Node], edges: list[list[float]]) -> Column:
+
+def rate_counts(known: DataFrame) -> DataFrame:
+    """kind (a key of RATED), value, and `parts`: n URLs and k blocked ones of every part."""
+    urls = known.groupBy("url").agg(*[F.max(c).alias(c) for c in ("blocked", *RATED)])
+    pairs = F.explode(F.array([F.struct(F.lit(key).alias("kind"), F.col(key).alias("value")) for key in RATED]))
+    rows = urls.select(_part().alias("part"), "blocked", pairs.alias("at"))
+    parts = [
+        F.struct(F.count_if(F.col("part") == i).alias("n"), F.count_if((F.col("part") == i) & (F.col("blocked") == 1)).alias("k"))
+        for i in range(FOLDS)
+    ]
+    return rows.groupBy("at.kind", "at.value").agg(F.array(*parts).alias("parts"))
+
+
+def with_rates(rows: DataFrame, model: UrlModel, apart: bool) -> DataFrame:
+    """The rate features; `apart` leaves out the part that a URL is in."""
+    for i, key in enumerate(RATED):
+        rate = F.lit(model.prior)
+        if model.counts is not None:
+            counted = model.counts.where(F.col("kind") == key).select(F.col("value").alias(key), F.col("parts").alias(f"_{key}"))
+            rows = lookup_join(rows, counted, key, "left")
+            parts = F.col(f"_{key}")
+            n, k = (sum((parts[j][c] for j in range(FOLDS)), F.lit(0)) for c in ("n", "k"))
+            if apart:
+                n, k = n - parts[_part()]["n"], k - parts[_part()]["k"]
+            smoothed = (k + PRIOR_WEIGHT * model.prior) / (n + PRIOR_WEIGHT)
+            rate = F.coalesce(F.round(smoothed, 6), rate)
+        rows = rows.withColumn(f"f{LEXICAL + i}", rate).drop(f"_{key}")
+    return rows
+
+
+def _leaf_number(node: Node, leaves: list[Node]) -> Column:
     if node.feature is None:
         leaves.append(node)
         return F.lit(len(leaves) - 1)
-    left = _leaf_number(node.left, leaves, edges)
-    right = _leaf_number(node.right, leaves, edges)
-    return F.when(F.col(f"f{node.feature}") <= edges[node.feature][node.edge], left).otherwise(right)
+    left = _leaf_number(node.left, leaves)
+    right = _leaf_number(node.right, leaves)
+    return F.when(goes_left(node), left).otherwise(right)
 
 
 def best_splits(rows: DataFrame, leaf: Column, margin: Column, features: int) -> list:
@@ -180,36 +222,32 @@ def learn_urls(labelled: DataFrame) -> UrlModel:
     """Trees learned from lexical features and `blocked` (0 or 1) of distinct URLs; null
     labels are left out."""
     known = labelled.where(F.col("blocked").isNotNull())
-    columns = ["blocked", *RATED, *(f"f{i}" for i in range(LEXICAL))]
+    columns = ["url", "blocked", *RATED, *(f"f{i}" for i in range(LEXICAL))]
     urls = known.select("url").distinct().count()
     some = bounded_sample(known, "url", SAMPLE_ROWS, salt=3, count=urls).dropDuplicates(["url"])
     sample = written(some.select(*columns), "urls")
     total, positive = sample.agg(F.count("*"), F.coalesce(F.sum("blocked"), F.lit(0))).first()
     if not total:
         return UrlModel()
-    model = UrlModel(prior=positive / total)
-    for key in RATED:
-        counted = sample.groupBy(key).agg(F.count("*").alias("n"), F.sum("blocked").alias("k"))
-        frequent = counted.orderBy(F.desc("n"), key).limit(SUFFIXES).collect()
-        model.rates[key] = {row[key]: round((row["k"] + PRIOR_WEIGHT * model.prior) / (row["n"] + PRIOR_WEIGHT), 6) for row in frequent}
-    sample = sample.withColumns(model.rated())
+    model = UrlModel(written(rate_counts(known), "url_rates"), prior=positive / total)
+    sample = with_rates(sample, model, apart=True)
     features = LEXICAL + len(RATED)
     steps = [i / BINS for i in range(1, BINS)]
     cuts = sample.agg(*[F.percentile_approx(f"f{i}", steps, 10_000) for i in range(features)]).first()
     model.edges = [sorted(set(x)) for x in cuts]
-    binned = {
-        f"b{i}": functools.reduce(lambda a, b: a + b, [(F.col(f"f{i}") > edge).cast("int") for edge in edges])
+    binned = [
+        functools.reduce(lambda a, b: a + b, [(F.col(f"f{i}") > edge).cast("int") for edge in edges]).alias(f"b{i}")
         for i, edges in enumerate(model.edges)
-    }
-    rows = sample.withColumns(binned).repartition(8)
+    ]
+    rows = written(sample.select("blocked", *binned), "url_bins")
     odds = (positive + 1) / (total - positive + 1)
     model.base = round(math.log(odds), 6)
     for _ in range(TREES):
         root = Node()
-        margin = model.margin()
+        margin = model.binned_margin()
         for _ in range(DEPTH):
             leaves: list[Node] = []
-            number = _leaf_number(root, leaves, model.edges)
+            number = _leaf_number(root, leaves)
             for found in best_splits(rows, number, margin, features):
                 node = leaves[found["leaf"]]
                 if found["gain"] > 0 and found["bin"] < len(model.edges[found["feature"]]):
@@ -231,7 +269,7 @@ def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     ruled = with_lexical(parts).withColumns({"rule": rule, "said": said})
     ruled = ruled.withColumn("blocked", F.when(F.col("said") == "block", 1).when(F.col("said") == "allow", 0))
     model = learn_urls(ruled)
-    scored = ruled.withColumns(model.rated()).withColumn("margin", model.margin())
+    scored = with_rates(ruled, model, apart=False).withColumn("margin", model.margin())
     learned = F.when(F.col("margin") > 0, "block").otherwise("allow")
     return scored.select(
         "page_id", "host", "path", "rule", F.coalesce("said", learned).alias("verdict"), F.round(1 / (1 + F.exp(-F.col("margin"))), 6).alias("block_score")
