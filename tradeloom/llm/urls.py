@@ -39,6 +39,8 @@ UPPER, LOWERED = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Labelled URLs learned from, bins per feature.
 SAMPLE_ROWS, BINS = 20_000, 24
 TREES, DEPTH, RATE, PENALTY = 12, 3, 0.4, 1.0
+#: Files of the binned sample, read once per level of each tree.
+BIN_FILES = 8
 #: Parts of which one learned from is given the rates of the others.
 FOLDS = 8
 #: Weight of the overall rate in a suffix's rate.
@@ -199,6 +201,7 @@ def best_splits(rows: DataFrame, leaf: Column, margin: Column, features: int) ->
         )
         .groupBy("leaf", "feature", "bin")
         .agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
+        .coalesce(1)  # leaves x features x bins, whatever the number of URLs
     )
     upto = Window.partitionBy("leaf", "feature").orderBy("bin")
     whole = Window.partitionBy("leaf", "feature")
@@ -239,7 +242,7 @@ def learn_urls(labelled: DataFrame) -> UrlModel:
         functools.reduce(lambda a, b: a + b, [(F.col(f"f{i}") > edge).cast("int") for edge in edges]).alias(f"b{i}")
         for i, edges in enumerate(model.edges)
     ]
-    rows = written(sample.select("blocked", *binned), "url_bins")
+    rows = written(sample.select("blocked", *binned).coalesce(BIN_FILES), "url_bins")
     odds = (positive + 1) / (total - positive + 1)
     model.base = round(math.log(odds), 6)
     for _ in range(TREES):
