@@ -192,13 +192,12 @@ def _leaf_number(node: Node, leaves: list[Node]) -> Column:
 def best_splits(rows: DataFrame, leaf: Column, margin: Column, features: int) -> list:
     """For each open leaf the split of the largest gain, from gradient histograms."""
     chance = 1 / (1 + F.exp(-margin))
+    bins = F.array([F.col(f"b{i}") for i in range(features)])
+    slopes = rows.select(
+        leaf.alias("leaf"), (F.col("blocked") - chance).alias("g"), (chance * (1 - chance)).alias("h"), bins.alias("bins")
+    )
     cells = (
-        rows.select(
-            leaf.alias("leaf"),
-            (F.col("blocked") - chance).alias("g"),
-            (chance * (1 - chance)).alias("h"),
-            F.posexplode(F.array([F.col(f"b{i}") for i in range(features)])).alias("feature", "bin"),
-        )
+        slopes.select("leaf", "g", "h", F.posexplode("bins").alias("feature", "bin"))
         .groupBy("leaf", "feature", "bin")
         .agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
         .coalesce(1)  # leaves x features x bins, whatever the number of URLs
