@@ -20,9 +20,7 @@ def half_up(value: Column, digits: int) -> Column:
     """Round half away from zero, as a double.
 
     The detour over decimal(28,8) removes binary noise first, so 1.005 becomes 1.01.
-    For sums of doubles this also hides the order of summation, as long as the sum has
-    its ninth digit behind the point to spare (up to some 1e6); beyond, the last cent
-    of a total may differ between runs.
+    Sums come from `functions.money`, so they don't depend on the order of rows.
     """
     return F.round(value.cast("decimal(28,8)"), digits).cast("double")
 

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeloom.functions.columns import ascending, descending, ratio
+from tradeloom.functions.money import exact_sum, joined, rest_part, total_over, whole_part
 
 
 def mean_of(name: str) -> Column:
@@ -29,7 +30,8 @@ def _measure_columns(measures: Mapping[str, Column]) -> list[Column]:
         stat(value).alias(f"{name}_{suffix}")
         for name, value in measures.items()
         for suffix, stat in (
-            ("sum", F.sum),
+            ("whole", lambda value: F.sum(whole_part(value))),
+            ("rest", lambda value: F.sum(rest_part(value))),
             ("cnt", F.count),
             ("min", F.min),
             ("max", F.max),
@@ -43,7 +45,8 @@ def _merged_columns(measures: Mapping[str, Column]) -> list[Column]:
         merge(f"{name}_{suffix}").alias(f"{name}_{suffix}")
         for name in measures
         for suffix, merge in (
-            ("sum", F.sum),
+            ("whole", F.sum),
+            ("rest", F.sum),
             ("cnt", F.sum),
             ("min", F.min),
             ("max", F.max),
@@ -51,6 +54,13 @@ def _merged_columns(measures: Mapping[str, Column]) -> list[Column]:
     ]
 
 
+def _with_sums(merged: DataFrame, measures: Mapping[str, Column]) -> DataFrame:
+    """`<name>_sum` from the sums of whole parts and rests, which any order gives alike."""
+    sums = {f"{m}_sum": joined(F.col(f"{m}_whole"), F.col(f"{m}_rest")).cast("double") for m in measures}
+    parts = [f"{m}_{part}" for m in measures for part in ("whole", "rest")]
+    return merged.withColumns(sums).drop(*parts) if sums else merged
+
+
 def distinct_rollup(
     df: DataFrame,
     keys: Sequence[str],
@@ -73,24 +83,26 @@ def distinct_rollup(
     flags, measures, once = dict(flags or {}), dict(measures or {}), dict(once or {})
     known = F.col(entity).isNotNull()
     if unique:
-        return df.groupBy(*keys).agg(
+        counted = df.groupBy(*keys).agg(
             F.count(entity).alias("n"),
             *[F.count_if(known & holds).alias(f"n_{name}") for name, holds in flags.items()],
             *[F.sum(value).alias(f"{name}_once") for name, value in once.items()],
             *_measure_columns(measures),
         )
+        return _with_sums(counted, measures)
     per_entity = df.groupBy(*keys, entity).agg(
         F.count(F.lit(1)).alias("n_rows"),
         *[F.max(holds).alias(f"has_{name}") for name, holds in flags.items()],
         *[F.max(value).alias(f"once_{name}") for name, value in once.items()],
         *_measure_columns(measures),
     )
-    return per_entity.groupBy(*keys).agg(
+    counted = per_entity.groupBy(*keys).agg(
         F.count(entity).alias("n"),
         *[F.count_if(known & F.col(f"has_{f}")).alias(f"n_{f}") for f in flags],
         *[F.sum(f"once_{name}").alias(f"{name}_once") for name in once],
         *_merged_columns(measures),
     )
+    return _with_sums(counted, measures)
 
 
 def dual_distinct_rollup(
@@ -117,11 +129,12 @@ def dual_distinct_rollup(
     per_second = marked.groupBy(*keys, second).agg(
         F.sum("opens").alias("opens"), *_merged_columns(measures)
     )
-    return per_second.groupBy(*keys).agg(
+    counted = per_second.groupBy(*keys).agg(
         F.sum("opens").alias(f"n_{first}"),
         F.count(second).alias(f"n_{second}"),
         *_merged_columns(measures),
     )
+    return _with_sums(counted, measures)
 
 
 def group_total(metric: str, *part: str) -> Column:
@@ -130,7 +143,7 @@ def group_total(metric: str, *part: str) -> Column:
     Only for frames that hold one row per value of a small domain (months,
     weekday hours, states, categories): the rows of a part meet in one task.
     """
-    return F.sum(metric).over(Window.partitionBy(*[F.col(p) for p in part]))
+    return total_over(F.col(metric), *part)
 
 
 def top_with_total(
@@ -148,13 +161,13 @@ def top_with_total(
     in_bucket = Window.partitionBy("bucket")
     finalists = (
         df.withColumn("bucket", F.pmod(F.xxhash64(tie_break), F.lit(buckets)))
-        .withColumn("bucket_total", F.sum(total_of).over(in_bucket))
+        .withColumn("bucket_total", exact_sum(F.col(total_of), in_bucket))
         .withColumn("place", F.row_number().over(in_bucket.orderBy(*by_rank)))
         .where(F.col("place") <= limit)
     )
     one_per_bucket = F.when(F.col("place") == 1, F.col("bucket_total"))
     return (
-        finalists.withColumn("total", F.sum(one_per_bucket).over(Window.partitionBy()))
+        finalists.withColumn("total", exact_sum(one_per_bucket, Window.partitionBy()))
         .orderBy(*by_rank)
         .limit(limit)
         .drop("bucket", "bucket_total", "place")

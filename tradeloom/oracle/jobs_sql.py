@@ -367,6 +367,21 @@ JOB_SQL: dict[str, str] = {
             cast(order_id as bigint) % 50 = 0 as REJECTED from raw_orders
         union all
         select 'order_reviews', review_id, cast(order_id as bigint) % 40 = 0 from rev""",
+    "quarantine_readmission": """
+        select order_id, order_status || case when no % 630 = 0 then '?' else '' end as order_status,
+            case when no % 90 = 0 then 'yesterday' else order_purchase_timestamp end as order_purchase_timestamp,
+            case when no % 90 = 0 then 'open'
+                when (no % 50 = 0 and order_purchase_timestamp is not null)
+                    or (no % 70 = 0 and order_status is not null) then 'back'
+                else 'good' end as STATE,
+            case when no % 90 = 0 then 'unreadable order_purchase_timestamp' else '' end
+                || case when no % 630 = 0 then ', unaccepted order_status' else '' end as REASONS
+        from (select *, cast(order_id as bigint) as no from raw_orders)""",
+    "exact_revenue": """
+        select payment_type as PAYMENT_METHOD, cast(grouping(payment_type) as int) as IS_TOTAL,
+            count(payment_value) as PAYMENTS,
+            cast(round(sum(cast(payment_value as decimal(28, 6))) * 100, 0) as bigint) as TOTAL_CENTS
+        from pay group by rollup (payment_type)""",
     "event_driven_load": "select * from stg",
     "event_driven_repeats": "select * from stg",
     "event_driven_revenue": MODEL_SQL["mart_seasonal_dates"],

@@ -17,6 +17,7 @@ from tradeloom.functions.columns import (
     percent,
     ratio,
 )
+from tradeloom.functions.money import exact_sum
 from tradeloom.operators.lookups import lookup_join
 from tradeloom.operators.rollups import (
     distinct_rollup,
@@ -64,7 +65,7 @@ def customers_by_spend(t: Tables) -> DataFrame:
         .groupBy("customer_id")
         .agg(
             F.count("order_id").alias("lines"),
-            F.sum("payment_value").alias("paid_sum"),
+            exact_sum(F.col("payment_value")).alias("paid_sum"),
             F.count("payment_value").alias("paid_cnt"),
             F.min("purchased_at").alias("first_at"),
             F.max("purchased_at").alias("last_at"),
@@ -77,7 +78,7 @@ def customers_by_spend(t: Tables) -> DataFrame:
         .groupBy("customer_id", "CITY", "STATE")
         .agg(
             F.sum("lines").alias("lines"),
-            F.sum("paid_sum").alias("paid_sum"),
+            exact_sum(F.col("paid_sum")).alias("paid_sum"),
             F.sum("paid_cnt").alias("paid_cnt"),
             F.min("first_at").alias("first_at"),
             F.max("last_at").alias("last_at"),
@@ -108,7 +109,7 @@ def profile_by_city(t: Tables) -> DataFrame:
         .groupBy("customer_id", "payment_type")
         .agg(
             F.count("order_id").alias("lines"),
-            F.sum("payment_value").alias("paid_sum"),
+            exact_sum(F.col("payment_value")).alias("paid_sum"),
             F.count("payment_value").alias("paid_cnt"),
         )
     )
@@ -121,7 +122,7 @@ def profile_by_city(t: Tables) -> DataFrame:
         .agg(
             F.sum("opens").alias("customers"),
             F.sum("lines").alias("lines"),
-            F.sum("paid_sum").alias("paid_sum"),
+            exact_sum(F.col("paid_sum")).alias("paid_sum"),
             F.sum("paid_cnt").alias("paid_cnt"),
         )
     )
@@ -131,7 +132,7 @@ def profile_by_city(t: Tables) -> DataFrame:
     per_city = per_type.groupBy("STATE", "CITY").agg(
         F.sum("customers").alias("TOTAL_CLIENTES"),
         F.sum("lines").alias("TOTAL_PEDIDOS"),
-        F.sum("paid_sum").alias("paid_sum"),
+        exact_sum(F.col("paid_sum")).alias("paid_sum"),
         F.sum("paid_cnt").alias("paid_cnt"),
         F.min_by("payment_type", votes).alias("PAGAMENTO_PREFERIDO"),
     )
@@ -154,7 +155,7 @@ def profile_by_state(t: Tables) -> DataFrame:
     orders are read and shuffled once.
     """
     per_order = t.order_payments.groupBy("order_id").agg(
-        F.sum("payment_value").alias("value"), F.count(F.lit(1)).alias("slips")
+        exact_sum(F.col("payment_value")).alias("value"), F.count(F.lit(1)).alias("slips")
     )
     placed = (
         delivered_orders(t)

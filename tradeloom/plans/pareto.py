@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.functions.columns import ascending, descending, half_up, percent
+from tradeloom.functions.money import exact_sum
 from tradeloom.operators.ranges import running_totals, with_previous
 from tradeloom.plans.lines import paid_lines, sales_lines
 from tradeloom.sources.tables import Tables
@@ -30,13 +31,13 @@ def _with_shares(revenue: DataFrame, key: str) -> DataFrame:
 def pareto_by_product(t: Tables) -> DataFrame:
     """Revenue, share and running share of every product sold, from the best on."""
     revenue = sales_lines(t).groupBy(F.col("product_id").alias("PRODUCT_ID"))
-    return _with_shares(revenue.agg(half_up(F.sum("price"), 2).alias("TOTAL_REVENUE")), "PRODUCT_ID")
+    return _with_shares(revenue.agg(half_up(exact_sum(F.col("price")), 2).alias("TOTAL_REVENUE")), "PRODUCT_ID")
 
 
 def pareto_by_customer(t: Tables) -> DataFrame:
     """What every customer paid, with shares, and how far the next better one is ahead."""
     paid = paid_lines(t).groupBy(F.col("customer_id").alias("CUSTOMER_ID"))
-    revenue = paid.agg(half_up(F.sum("payment_value"), 2).alias("TOTAL_REVENUE"))
+    revenue = paid.agg(half_up(exact_sum(F.col("payment_value")), 2).alias("TOTAL_REVENUE"))
     ahead = with_previous(revenue, _best_first("CUSTOMER_ID"), "TOTAL_REVENUE", "better")
     gap = half_up(F.col("better") - F.col("TOTAL_REVENUE"), 2)
     return _with_shares(ahead.select("CUSTOMER_ID", "TOTAL_REVENUE", gap.alias("GAP_TO_BETTER")), "CUSTOMER_ID")

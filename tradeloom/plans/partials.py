@@ -23,6 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tradeloom.functions.money import exact_sum
 from tradeloom.operators.lookups import lookup_join
 from tradeloom.operators.rollups import distinct_rollup
 from tradeloom.plans.history import MONTH_KEY
@@ -168,7 +169,7 @@ def merged_state(spark: SparkSession, store: Store, state: str) -> DataFrame:
     """Per key: n_order_id, n_product_id, price_sum and price_cnt over all months."""
     key = STATES[state]
     totals = spark.read.schema(f"{key} string, n bigint, price_sum double, price_cnt bigint, {MONTH_KEY} string").parquet(store.totals(state))
-    sums = totals.groupBy(key).agg(F.sum("n").alias("n_order_id"), F.sum("price_sum").alias("price_sum"), F.sum("price_cnt").alias("price_cnt"))
+    sums = totals.groupBy(key).agg(F.sum("n").alias("n_order_id"), exact_sum(F.col("price_sum")).alias("price_sum"), F.sum("price_cnt").alias("price_cnt"))
     sets = spark.read.schema(f"{key} string, piece bigint, bits binary, few array<int>, {MONTH_KEY} string").parquet(store.products(state))
     united = sums.join(united_sizes(sets, key), key, "left")
     return united.withColumn("n_product_id", F.coalesce("n_product_id", F.lit(0)))

@@ -13,6 +13,7 @@ from tradeloom.operators.lookups import input_bytes
 from tradeloom.operators.quality import enforce_contract, run_checks, suite
 from tradeloom.operators.staging import PARSED_TEXTS, is_malformed
 from tradeloom.plans import fraud
+from tradeloom.plans import readmission as mending
 from tradeloom.plans.catalog import ALL_CHECKS, MARTS, STAGING_CHECKS, Builder
 from tradeloom.plans.lines import SHARED_LINES
 from tradeloom.schemas import contract
@@ -151,6 +152,7 @@ def run_refresh(
     detected_at: str | None = None,
     at_once: int = 4,
     quarantine: bool = False,
+    readmission: bool = False,
     on_step: Callable[[str], None] | None = None,
     bucketed: tuple[str, int] | None = None,
 ) -> Refresh:
@@ -163,7 +165,8 @@ def run_refresh(
     are laid out by the order id, and the joins on it need no shuffle.
 
     Malformed timestamps fail the staging step, or, with `quarantine`, move their
-    rows to the error layer.
+    rows to the error layer. With `readmission`, rows that break any rule of
+    `plans.readmission` are logged with their reasons, and mended ones come back.
     """
     layers = layers.new_version()
     done = Refresh(layers)
@@ -185,6 +188,8 @@ def run_refresh(
     )
     if quarantine:
         t = set_malformed_aside(t, layers)
+    if readmission:
+        t = mending.with_admitted(spark, mending.set_aside(t, layers), layers)
     staged = store_staging(spark, t, layers)
     _stop_on_failures(run_checks("stg_orders", staged, STAGING_CHECKS["stg_orders"]))
     step("staging")

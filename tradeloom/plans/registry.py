@@ -15,7 +15,7 @@ from pyspark.sql.types import StructField
 
 from tradeloom.functions.identity import card_token, cpf, cpf_is_valid
 from tradeloom.operators import quality
-from tradeloom.plans import fraud, history, pareto, partials, refresh, sellers, synthetic
+from tradeloom.plans import fraud, history, pareto, partials, readmission, refresh, sales, sellers, synthetic
 from tradeloom.plans.catalog import ANALYSES, FRAUD_RULES, MARTS, STAGING, Builder
 from tradeloom.schemas import SOURCE_TABLES, TEXT_LIMITS, contract
 from tradeloom.session import new_run_folder
@@ -239,6 +239,35 @@ def _spoilt(rows: DataFrame, column: str, where: Column, text: str) -> DataFrame
     return rows.withColumn(column, F.when(where, text).otherwise(F.col(column)))
 
 
+def readmitted_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders that are good, back after mending, or still open, with what is wrong with them.
+
+    Of every 50th the purchase text gets a word in front and of every 70th the status a
+    mark, both of which mending takes off; the text of every 90th cannot be mended. The
+    rows are mended and replayed twice.
+    """
+    t, layers = load_tables(spark, sf_dir), store.Layers(new_run_folder(spark, "mended")).new_version()
+    number, bought, status = F.col("order_id").cast("bigint"), F.col("order_purchase_timestamp"), F.col("order_status")
+    text = F.when(number % 90 == 0, "yesterday").when(number % 50 == 0, F.concat(F.lit("at "), bought)).otherwise(bought)
+    marked = F.when(number % 70 == 0, F.concat(status, F.lit("?"))).otherwise(status)
+    spoilt = t.orders.withColumns({"order_purchase_timestamp": text, "order_status": marked})
+    kept = readmission.set_aside(t.with_raw(orders=spoilt), layers)
+
+    def mend(rows: DataFrame) -> DataFrame:
+        return rows.withColumns({"order_purchase_timestamp": F.regexp_replace(bought, "^at ", ""), "order_status": F.rtrim(status, F.lit("?"))})
+
+    for _ in range(2):
+        readmission.replay(spark, layers, "orders", mend)
+    parts = {"good": kept.orders, "back": readmission.admitted_rows(spark, layers, "orders"), "open": readmission.open_rows(spark, layers, "orders")}
+    told = {"open": F.array_join("REASONS", ", ")}
+    return _stack(
+        [
+            rows.select("order_id", status, bought, F.lit(state).alias("STATE"), told.get(state, F.lit("")).alias("REASONS"))
+            for state, rows in parts.items()
+        ]
+    )
+
+
 # --- optional: arrivals, incremental months, customer history ---------------------
 
 
@@ -510,6 +539,8 @@ JOBS: dict[str, Query] = {
     "pipeline_run": pipeline_run,
     "daily_refresh": daily_refresh,
     "quarantine_split": quarantine_split,
+    "quarantine_readmission": readmitted_orders,
+    "exact_revenue": _model(sales.exact_revenue),
     "event_driven_load": arrivals_loaded,
     "event_driven_days": arrivals_counted,
     "event_driven_repeats": arrivals_repeated,

@@ -15,6 +15,7 @@ from tradeloom.functions.columns import (
     percent,
     ratio,
 )
+from tradeloom.functions.money import exact_decimal, exact_sum
 from tradeloom.operators.lookups import lookup_join
 from tradeloom.operators.rollups import (
     distinct_rollup,
@@ -147,7 +148,7 @@ def pareto_by_category(t: Tables) -> DataFrame:
     The running window sees one row per category, a small dimension.
     """
     revenue = sales_lines(t).groupBy("CATEGORY").agg(
-        half_up(F.sum("price"), 2).alias("TOTAL_REVENUE")
+        half_up(exact_sum(F.col("price")), 2).alias("TOTAL_REVENUE")
     )
     order = [descending("TOTAL_REVENUE"), ascending("CATEGORY")]
     so_far = Window.orderBy(*order).rowsBetween(
@@ -191,6 +192,20 @@ def payment_method_by_state(t: Tables) -> DataFrame:
     return ranked(report, order)
 
 
+def exact_revenue(t: Tables) -> DataFrame:
+    """Payments and their exact total per payment type and over all (no type), in cents.
+
+    The total is rounded half away from zero once, after the sum.
+    """
+    rolled = t.order_payments.rollup(F.col("payment_type").alias("PAYMENT_METHOD")).agg(
+        F.grouping("PAYMENT_METHOD").cast("int").alias("IS_TOTAL"),
+        F.count("payment_value").alias("PAYMENTS"),
+        exact_decimal(F.col("payment_value")).alias("total"),
+    )
+    cents = F.round(F.col("total") * 100, 0).cast("bigint")
+    return rolled.select("PAYMENT_METHOD", "IS_TOTAL", "PAYMENTS", cents.alias("TOTAL_CENTS"))
+
+
 def installments_by_category(t: Tables, limit: int | None = 15) -> DataFrame:
     """Card instalments and payment value per category, weighted by item rows."""
     card = (
@@ -200,7 +215,7 @@ def installments_by_category(t: Tables, limit: int | None = 15) -> DataFrame:
             F.sum("payment_installments").alias("inst_sum"),
             F.count("payment_installments").alias("inst_cnt"),
             F.max("payment_installments").alias("inst_max"),
-            F.sum("payment_value").alias("value_sum"),
+            exact_sum(F.col("payment_value")).alias("value_sum"),
             F.count("payment_value").alias("value_cnt"),
         )
     )
