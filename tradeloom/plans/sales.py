@@ -197,7 +197,8 @@ def exact_revenue(t: Tables) -> DataFrame:
 
     The total is rounded half away from zero once, after the sum.
     """
-    rolled = t.order_payments.rollup(F.col("payment_type").alias("PAYMENT_METHOD")).agg(
+    paid = t.order_payments.select(F.col("payment_type").alias("PAYMENT_METHOD"), "payment_value")
+    rolled = paid.rollup("PAYMENT_METHOD").agg(
         F.grouping("PAYMENT_METHOD").cast("int").alias("IS_TOTAL"),
         F.count("payment_value").alias("PAYMENTS"),
         exact_decimal(F.col("payment_value")).alias("total"),
