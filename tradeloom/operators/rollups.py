@@ -56,9 +56,9 @@ def _merged_columns(measures: Mapping[str, Column]) -> list[Column]:
 
 def _with_sums(merged: DataFrame, measures: Mapping[str, Column]) -> DataFrame:
     """`<name>_sum` from the sums of whole parts and rests, which any order gives alike."""
-    sums = {f"{m}_sum": joined(F.col(f"{m}_whole"), F.col(f"{m}_rest")).cast("double") for m in measures}
-    parts = [f"{m}_{part}" for m in measures for part in ("whole", "rest")]
-    return merged.withColumns(sums).drop(*parts) if sums else merged
+    sums = {f"{m}_whole": joined(F.col(f"{m}_whole"), F.col(f"{m}_rest")).cast("double").alias(f"{m}_sum") for m in measures}
+    rests = {f"{m}_rest" for m in measures}
+    return merged.select(*[sums.get(c, F.col(c)) for c in merged.columns if c not in rests])
 
 
 def distinct_rollup(
