@@ -5,6 +5,7 @@ from shop import Shop, rows
 from tradeloom.plans import readmission, refresh
 from tradeloom.session import new_run_folder
 from tradeloom.sources import layers as store
+from tradeloom.sources.bridge import load_tables
 
 AT = "2026-01-01 00:00:00"
 
@@ -128,3 +129,14 @@ def test_equal_rows_all_come_back_and_tables_may_be_empty(spark):
     readmission.replay(spark, layers, "orders", mend)
     whole = readmission.with_admitted(spark, kept, layers)
     assert whole.order_reviews.count() == 3 and whole.orders.count() == 0
+
+
+def test_refused_rows_are_not_sent_to_the_driver(spark):
+    layers = layers_of(spark, "log")
+    t = load_tables(spark, "/root/testdata/sf0.001")
+    spoilt = t.orders.withColumn("order_status", F.concat("order_status", F.lit("?")))
+    readmission.set_aside(t.with_raw(orders=spoilt), layers)
+    opened = readmission.open_rows(spark, layers, "orders")
+    plan = spark._jvm.PythonSQLUtils.explainString(opened._jdf.queryExecution(), "simple")
+    assert plan.count("SortMergeJoin [DIGEST") == 2
+    assert opened.count() == t.orders.count()

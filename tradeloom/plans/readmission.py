@@ -13,6 +13,8 @@ only one may run at a time. `with_admitted` adds the mended rows to those that w
 - A source that mends its row itself wins: a mended row whose key is among the good ones, or
   one that an earlier replay let in, stays out.
 - A row with a null key is refused where the key must not be null; elsewhere it is let in.
+- Joins on digests and keys of refused rows are shuffled: Spark takes a column of digests for
+  a small share of its file, and would send lists that grow with the input to the driver.
 """
 
 from __future__ import annotations
@@ -130,7 +132,7 @@ def open_rows(spark: SparkSession, layers: Layers, name: str) -> DataFrame:
     logged = _opened(spark, _log(layers, name), schema)
     last = logged.groupBy("DIGEST").agg(F.max("VERSION").alias("VERSION"))
     back = admitted_rows(spark, layers, name).select("DIGEST").distinct()
-    return logged.join(last, ["DIGEST", "VERSION"], "left_semi").join(back, "DIGEST", "left_anti")
+    return logged.join(last.hint("merge"), ["DIGEST", "VERSION"], "left_semi").join(back.hint("merge"), "DIGEST", "left_anti")
 
 
 def replay(spark: SparkSession, layers: Layers, name: str, mend: Mend) -> None:
@@ -142,7 +144,7 @@ def replay(spark: SparkSession, layers: Layers, name: str, mend: Mend) -> None:
     mended = mend(open_rows(spark, layers, name).select(*declared, "DIGEST"))
     passed = with_reasons(mended, rules).where(F.size("REASONS") == 0)
     if rules.unique:
-        passed = passed.join(admitted_rows(spark, layers, name).select(rules.key), rules.key, "left_anti")
+        passed = passed.join(admitted_rows(spark, layers, name).select(rules.key).hint("merge"), rules.key, "left_anti")
     mark = f"r{time.time_ns()}-{uuid.uuid4().hex[:8]}"
     replace_table(passed.select(*declared, "DIGEST"), f"{_admitted(layers, name)}/REPLAY={mark}")
     line = spark.createDataFrame([(time.time_ns(), mark)], REPLAYS_DDL)
@@ -156,6 +158,6 @@ def with_admitted(spark: SparkSession, t: Tables, layers: Layers) -> Tables:
         if name in t.names():
             good, declared = getattr(t, name), raw_schema(name).names
             back = admitted_rows(spark, layers, name).select(*declared)
-            new = back.join(good.select(rules.key).distinct(), rules.key, "left_anti").select(*declared)
+            new = back.join(good.select(rules.key).distinct().hint("merge"), rules.key, "left_anti").select(*declared)
             whole[name] = good.unionByName(new, allowMissingColumns=True)
     return t.with_raw(**whole)
