@@ -115,3 +115,28 @@ def test_no_lines_at_all(spark, kept):
     tables = shop_of(spark, [])
     assert partials.add_delivery(tables, kept) == []
     partials.refresh_states(spark, kept, [])
+
+
+def test_an_order_opens_each_seller_and_category_once(spark, kept):
+    tables = shop_of(spark, range(150))
+    partials.add_delivery(tables, kept)
+    lines = rows(partials.open_lines(spark, kept))
+    for mark, key in (("opens_sellers", "seller_id"), ("opens_categories", "CATEGORY")):
+        marked = [(r["order_id"], r[key]) for r in lines if r[mark]]
+        assert len(marked) == len(set(marked)) and set(marked) == {(r["order_id"], r[key]) for r in lines}
+
+
+def test_items_are_read_once_for_the_lines_of_a_delivery(spark, kept):
+    tables = shop_of(spark, range(60))
+    partials.number_products(tables.order_items, kept)
+    lines = partials.delivered_lines(tables, partials.open_dictionary(spark, kept))
+    leaves = lines._jdf.queryExecution().optimizedPlan().collectLeaves()
+    with_sellers = [i for i in range(leaves.size()) if "seller_id" in leaves.apply(i).output().toString()]
+    assert len(with_sellers) == 1
+
+
+def test_sparse_sets_are_united_without_bitmaps(spark):
+    sets = partials.product_sets(spark.createDataFrame([("a", 1, 7)], "key string, month int, number bigint"), ["month", "key"])
+    plan = spark._jvm.PythonSQLUtils.explainString(partials.united_sizes(sets, "key")._jdf.queryExecution(), "simple")
+    # Bitmaps are united of dense sets only; lists are told apart one by one.
+    assert "collect_list" not in plan and "explode(few" in plan

@@ -26,19 +26,23 @@ def arrived_orders(t: Tables, compare_with: str) -> DataFrame:
     )
 
 
-def categorised_items(t: Tables) -> DataFrame:
-    """One row per item of a known product: order_id, product_id, price, CATEGORY."""
+def labelled_products(t: Tables) -> DataFrame:
+    """product_id and CATEGORY of every product."""
     named = lookup_join(
         t.products, t.translation, "product_category_name", "left", derived=True
     )
-    labelled = named.select(
+    return named.select(
         "product_id",
         category_label(
             F.col("product_category_name_english"), F.col("product_category_name")
         ).alias("CATEGORY"),
     )
+
+
+def categorised_items(t: Tables) -> DataFrame:
+    """One row per item of a known product: order_id, product_id, price, CATEGORY."""
     items = t.order_items.select("order_id", "product_id", "price")
-    return lookup_join(items, labelled, "product_id")
+    return lookup_join(items, labelled_products(t), "product_id")
 
 
 def seller_items(t: Tables) -> DataFrame:

@@ -5,34 +5,40 @@ kept per seller and per category: sums, and the set of its products. A delivery
 lines to their months; the states of those months alone are made again from their lines, and
 a mart merges the states of all months, which is far less than the lines.
 
-- An order is of one month, so distinct orders of months add up.
+- An order is of one month and comes with one delivery, so distinct orders of months add up.
+  The first line that an order has of a seller, and of a category, is marked when it is
+  stored: counting orders again is adding marks.
 - Products recur, so their sets are united. Products have dense numbers from a dictionary
   that only grows; a set is stored in pieces of 32,768 numbers: a bitmap where it holds more
   than FEW of them, else a list. Lists meet bitmaps bit by bit, so sparse sets stay small.
+  Lines are stored with the numbers of their products instead of their ids.
 - Everything is written by month folders; a run that is cut off is run again for its months.
 
 Sellers and their places are looked up when a mart is merged, one row per seller. A category
 is that of its line's delivery. Lines of orders without purchase moment make a month of their
-own, as the models count them; lines without product count in sums and orders only.
+own, as the models count them; lines without product count in sums and orders only. Lines
+stored before they had numbers and marks have to be stored again.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradeloom.functions.money import exact_sum
 from tradeloom.operators.lookups import lookup_join
 from tradeloom.operators.rollups import distinct_rollup
 from tradeloom.plans.history import MONTH_KEY
-from tradeloom.plans.lines import categorised_items, delivered_orders
+from tradeloom.plans.lines import delivered_orders, labelled_products
 from tradeloom.plans.sales import category_report
 from tradeloom.plans.sellers import SELLER, seller_report
 from tradeloom.sources.tables import Tables
 
-LINES_DDL = f"order_id string, product_id string, seller_id string, CATEGORY string, price double, {MONTH_KEY} string"
+LINES_DDL = f"""
+    order_id string, seller_id string, CATEGORY string, price double, number bigint,
+    opens_sellers int, opens_categories int, {MONTH_KEY} string"""
 DICTIONARY_DDL = "product_id string, number bigint, slot int"
 #: The states: by what they are kept. Buckets in which products are numbered.
 STATES = {"sellers": "seller_id", "categories": "CATEGORY"}
@@ -62,17 +68,24 @@ class Store:
         return f"{self.root}/{state}/products"
 
 
-def delivered_lines(t: Tables) -> DataFrame:
-    """All item rows of delivered orders with category and month of purchase.
+def delivered_lines(t: Tables, dictionary: DataFrame) -> DataFrame:
+    """All item rows of delivered orders with category, product number and month of purchase.
 
     The category is null where the product is unknown: such a line has no place in the
-    category models, but has one in those of sellers.
+    category models, but has one in those of sellers. `opens_<state>` is 1 on one line of
+    an order per key of the state, else null.
     """
-    labels = categorised_items(t).select("product_id", "CATEGORY").distinct()
-    items = lookup_join(t.order_items.select("order_id", "product_id", "seller_id", "price"), labels, "product_id", "left", derived=True)
+    labels = labelled_products(t).where("product_id is not null").distinct()
+    products = dictionary.select("product_id", "number").join(labels, "product_id", "left")
+    items = lookup_join(t.order_items.select("order_id", "product_id", "seller_id", "price"), products, "product_id", "left", derived=True)
     month = F.coalesce(F.date_format("purchased_at", "yyyy-MM"), F.lit(NO_MONTH))
     orders = delivered_orders(t).select("order_id", month.alias(MONTH_KEY))
-    return items.join(orders, "order_id").select("order_id", "product_id", "seller_id", "CATEGORY", "price", MONTH_KEY)
+    lines = items.drop("product_id").join(orders, "order_id")
+    for state, key in STATES.items():
+        of_order = Window.partitionBy("order_id", MONTH_KEY, key).orderBy("number")
+        lines = lines.withColumn(f"opens_{state}", F.when(F.row_number().over(of_order) == 1, 1))
+    marks = [f"opens_{state}" for state in STATES]
+    return lines.select("order_id", "seller_id", "CATEGORY", "price", "number", *marks, MONTH_KEY)
 
 
 def open_lines(spark: SparkSession, store: Store, months: list[str] | None = None) -> DataFrame:
@@ -113,21 +126,21 @@ def add_delivery(t: Tables, store: Store) -> list[str]:
 
     Orders come once (see `load_arrivals` for repeated ones), with all their items.
     """
-    lines = delivered_lines(t)
-    lines.repartition(MONTH_KEY).write.mode("append").partitionBy(MONTH_KEY).parquet(store.lines())
     number_products(t.order_items, store)
-    return sorted(r[0] for r in lines.select(MONTH_KEY).distinct().collect())
+    lines, seen = delivered_lines(t, open_dictionary(t.order_items.sparkSession, store)), Observation()
+    told = lines.observe(seen, F.collect_set(MONTH_KEY).alias("months"))
+    told.repartition(MONTH_KEY).write.mode("append").partitionBy(MONTH_KEY).parquet(store.lines())
+    return sorted(seen.get.get("months") or [])
 
 
 def refresh_states(spark: SparkSession, store: Store, months: list[str]) -> None:
     """Make the states of some months again from the lines of those months."""
     lines = open_lines(spark, store, months)
-    numbered = lookup_join(lines, open_dictionary(spark, store).drop("slot"), "product_id", "left")
     for state, key in STATES.items():
         kept = lines.where(F.col(key).isNotNull()) if state == "categories" else lines
-        totals = distinct_rollup(kept, [MONTH_KEY, key], "order_id", measures={"price": F.col("price")})
+        totals = distinct_rollup(kept, [MONTH_KEY, key], f"opens_{state}", measures={"price": F.col("price")}, unique=True)
         _replace_months(totals.select(MONTH_KEY, key, "n", "price_sum", "price_cnt"), store.totals(state))
-        members = numbered.where(F.col("number").isNotNull() & F.col(key).isNotNull())
+        members = lines.where(F.col("number").isNotNull() & F.col(key).isNotNull())
         _replace_months(product_sets(members, [MONTH_KEY, key]), store.products(state))
 
 
@@ -138,13 +151,12 @@ def _replace_months(rows: DataFrame, path: str) -> None:
 
 def product_sets(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Per key and piece the numbers it holds: `few` as a list, or `bits` as a bitmap."""
-    cells = rows.select(*keys, "number").distinct()
-    cells = cells.select(*keys, F.bitmap_bucket_number("number").alias("piece"), F.bitmap_bit_position("number").alias("bit"))
-    grouped = cells.groupBy(*keys, "piece").agg(
-        F.count("*").alias("members"), F.bitmap_construct_agg("bit").alias("bits"), F.collect_list(F.col("bit").cast("int")).alias("few")
-    )
-    dense = F.col("members") > FEW
-    return grouped.select(*keys, "piece", F.when(dense, F.col("bits")).alias("bits"), F.when(~dense, F.col("few")).alias("few"))
+    cells = rows.select(*keys, F.bitmap_bucket_number("number").alias("piece"), F.bitmap_bit_position("number").cast("int").alias("bit"))
+    cells = cells.groupBy(*keys, "piece").agg(F.collect_set("bit").alias("few"))
+    places = cells.where(F.size("few") > FEW).select(*keys, "piece", F.explode(F.col("few").cast("array<bigint>")).alias("bit"))
+    dense = places.groupBy(*keys, "piece").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    sparse = cells.where(F.size("few") <= FEW).select(*keys, "piece", F.lit(None).cast("binary").alias("bits"), "few")
+    return sparse.unionByName(dense.withColumn("few", F.lit(None).cast("array<int>")))
 
 
 def bit_is_set(bits: Column, bit: Column) -> Column:
@@ -155,14 +167,12 @@ def bit_is_set(bits: Column, bit: Column) -> Column:
 
 def united_sizes(sets: DataFrame, key: str) -> DataFrame:
     """Per key how many numbers its sets of all months hold together (`n_product_id`)."""
-    pieces = sets.groupBy(key, "piece").agg(
-        F.bitmap_or_agg(F.col("bits")).alias("bits"),
-        F.max(F.col("bits").isNotNull()).alias("dense"),
-        F.array_distinct(F.flatten(F.collect_list("few"))).alias("few"),
-    )
-    beyond = F.filter("few", lambda bit: ~bit_is_set(F.col("bits"), bit))
-    size = F.when(F.col("dense"), F.bitmap_count("bits") + F.size(beyond)).otherwise(F.size("few"))
-    return pieces.groupBy(key).agg(F.sum(size).alias("n_product_id"))
+    dense = sets.where("bits is not null").groupBy(key, "piece").agg(F.bitmap_or_agg("bits").alias("bits"))
+    sparse = sets.where("few is not null").select(key, "piece", F.explode("few").alias("bit")).distinct()
+    outside = F.col("bits").isNull() | ~bit_is_set(F.col("bits"), F.col("bit"))
+    beyond = sparse.join(dense, [key, "piece"], "left").where(outside).groupBy(key).agg(F.count(F.lit(1)).alias("size"))
+    sizes = dense.select(key, F.bitmap_count("bits").alias("size")).unionByName(beyond)
+    return sizes.groupBy(key).agg(F.sum("size").alias("n_product_id"))
 
 
 def merged_state(spark: SparkSession, store: Store, state: str) -> DataFrame:
