@@ -6,7 +6,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from tradeloom.operators.lookups import input_bytes
@@ -111,8 +111,11 @@ def store_fraud(t: Tables, layers: Layers, detected_at: str | None) -> None:
     replace_table(fraud.card_names(t), layers.mart("mart_fraud_card_names"))
 
 
-def open_mart(spark: SparkSession, layers: Layers, name: str) -> DataFrame:
-    """A stored mart; the fraud mart takes its lists of names on while it is read."""
+def open_mart(spark: SparkSession, layers: Layers, name: str, digest: Column | None = None) -> DataFrame:
+    """A stored mart; the fraud mart takes its lists of names on while it is read.
+
+    With `digest`, an expression over NAMES_LIST, it takes that of each list instead.
+    """
     declared = contract(name)
     if name != "mart_fraud_signals":
         return spark.read.schema(declared).parquet(layers.mart(name))
@@ -121,6 +124,9 @@ def open_mart(spark: SparkSession, layers: Layers, name: str) -> DataFrame:
     names = spark.read.schema("CREDIT_CARD_TOKEN string, NAMES_LIST string").parquet(
         layers.mart("mart_fraud_card_names")
     )
+    if digest is not None:
+        # Settled per card by the exchange that `with_names` puts between.
+        names = names.withColumn("NAMES_LIST", digest)
     return fraud.with_names(signals, names).select(*declared.names)
 
 
