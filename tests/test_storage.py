@@ -1,7 +1,8 @@
 import pytest
+from pyspark.sql import functions as F
 from shop import Shop, rows
 
-from tradeloom.plans import refresh, sales
+from tradeloom.plans import refresh, registry, sales
 from tradeloom.plans.lines import paid_lines
 from tradeloom.plans.catalog import MARTS
 from tradeloom.schemas import SOURCE_TABLES, raw_schema
@@ -10,6 +11,7 @@ from tradeloom.session import (
     remove_run_folders,
     shuffle_partitions_for,
     size_shuffles,
+    tune,
 )
 from tradeloom.sources import layers as store
 from tradeloom.sources.bridge import load_tables
@@ -231,3 +233,37 @@ def test_an_application_removes_its_own_run_folders(spark, monkeypatch, tmp_path
 
 def test_source_names():
     assert len(SOURCE_TABLES) == 9
+
+
+def test_partitions_stay_small_while_tables_grow(spark):
+    for gigabytes in (1, 6, 30):
+        assert (gigabytes << 30) / shuffle_partitions_for(gigabytes << 30, cores=12) <= 8 << 20
+    assert shuffle_partitions_for(1 << 20, cores=12) == 12
+    tune(spark)
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
+
+
+def test_buckets_follow_the_size_of_the_tables(spark, monkeypatch):
+    given = {}
+    monkeypatch.setattr(registry.store, "sync_raw_bucketed", lambda *_, buckets: given.update(buckets=buckets))
+    monkeypatch.setattr(registry.store, "bucketed_tables", lambda *_: Tables({}))
+    monkeypatch.setattr(registry, "table_checks", lambda tables: None)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "48")
+    try:
+        registry.synced_bucketed(spark, SF_DIR)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert given["buckets"] == 48
+
+
+def test_a_list_of_names_is_hashed_once_per_card(spark):
+    layers = store.Layers(new_run_folder(spark, "names"))
+    refresh.store_fraud(load_tables(spark, SF_DIR), layers, "2026-01-01 06:00:00")
+    plain = refresh.open_mart(spark, layers, "mart_fraud_signals")
+    told = registry.mart_checks(spark, layers, ["mart_fraud_signals"])
+    assert sorted(told.collect()) == sorted(registry.table_checks({"mart_fraud_signals": plain}).collect())
+    digest = refresh.open_mart(spark, layers, "mart_fraud_signals", digest=F.md5("NAMES_LIST"))
+    plan = spark._jvm.PythonSQLUtils.explainString(digest._jdf.queryExecution(), "simple")
+    # Below the join, on the side of the cards.
+    assert plan.index("md5") > plan.index("Join")
