@@ -1,12 +1,16 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 from shop import Shop, rows
 
 from tradeloom.plans import refresh, registry, sales
 from tradeloom.plans.lines import paid_lines
-from tradeloom.plans.catalog import MARTS
+from tradeloom.plans.catalog import ANALYSES, MARTS
 from tradeloom.schemas import SOURCE_TABLES, raw_schema
 from tradeloom.session import (
+    FIRST_PARTITIONS,
+    fit_shuffles,
     new_run_folder,
     remove_run_folders,
     shuffle_partitions_for,
@@ -14,7 +18,7 @@ from tradeloom.session import (
     tune,
 )
 from tradeloom.sources import layers as store
-from tradeloom.sources.bridge import load_tables
+from tradeloom.sources.bridge import Bridge, load_tables
 from tradeloom.sources.landing import malformed_in_folder, read_csv_folder
 from tradeloom.sources.tables import Tables
 
@@ -267,3 +271,48 @@ def test_a_list_of_names_is_hashed_once_per_card(spark):
     plan = spark._jvm.PythonSQLUtils.explainString(digest._jdf.queryExecution(), "simple")
     # Below the join, on the side of the cards.
     assert plan.index("md5") > plan.index("Join")
+
+
+@pytest.fixture
+def small_again(spark):
+    yield
+    fit_shuffles(spark, "small", lambda: 1 << 20)
+
+
+def test_shuffles_begin_with_enough_partitions_where_the_session_sets_their_number(spark, small_again):
+    given = spark.conf.get("spark.sql.shuffle.partitions")
+    for gigabytes in (1, 6):
+        fit_shuffles(spark, f"{gigabytes} GB", lambda: gigabytes << 30)
+        assert int(spark.conf.get(FIRST_PARTITIONS)) == gigabytes * 128
+        assert spark.conf.get("spark.sql.shuffle.partitions") == given
+    fit_shuffles(spark, "small", lambda: 1 << 20)
+    assert spark.conf.get(FIRST_PARTITIONS, None) is None
+
+
+def test_a_session_keeps_the_number_of_first_partitions_it_sets(spark, small_again):
+    session = spark.newSession()
+    session.conf.set("spark.sql.shuffle.partitions", "4")
+    session.conf.set(FIRST_PARTITIONS, "7")
+    fit_shuffles(session, "large", lambda: 1 << 30)
+    assert session.conf.get(FIRST_PARTITIONS) == "7"
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["mart_top_sellers", "mart_reviews_by_category", "mart_top_categories", "a07_installments_by_category", "a01_top_categories_by_revenue"],
+)
+def test_lines_of_large_tables_are_joined_in_many_partitions(spark, monkeypatch, small_again, name):
+    monkeypatch.setattr(Bridge, "size", lambda self: 6 << 30)
+    build = (MARTS | ANALYSES)[name]
+    plan = build(load_tables(spark, f"{SF_DIR}/"))._jdf.queryExecution().executedPlan().toString()
+    shuffles = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
+    assert shuffles and all(x.endswith(", 768") for x in shuffles)
+
+
+def test_a_refresh_fits_shuffles_to_the_tables_it_stored(spark, monkeypatch, small_again):
+    monkeypatch.setattr(refresh, "input_bytes", lambda frame: 1 << 30)
+    seen = []
+    monkeypatch.setattr(refresh, "store_staging", lambda *_: seen.append(spark.conf.get(FIRST_PARTITIONS)) or 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        refresh.run_refresh(spark, load_tables(spark, SF_DIR), store.Layers(new_run_folder(spark, "large")))
+    assert int(seen[0]) >= 9 * 128

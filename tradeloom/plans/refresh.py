@@ -17,7 +17,7 @@ from tradeloom.plans import readmission as mending
 from tradeloom.plans.catalog import ALL_CHECKS, MARTS, STAGING_CHECKS, Builder
 from tradeloom.plans.lines import SHARED_LINES
 from tradeloom.schemas import contract
-from tradeloom.session import size_shuffles
+from tradeloom.session import fit_shuffles
 from tradeloom.sources.layers import (
     Layers,
     bucketed_tables,
@@ -189,7 +189,7 @@ def run_refresh(
         t = raw_tables(spark, layers, sync_raw(source, layers))
     step("raw_sync")
 
-    size_shuffles(
+    fit_shuffles(
         spark, layers.root, lambda: sum(map(input_bytes, t.by_name().values()))
     )
     if quarantine:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tradeloom.operators.lookups import input_bytes
-from tradeloom.session import size_shuffles, tune
+from tradeloom.session import fit_shuffles, tune
 from tradeloom.sources.tables import Tables
 
 # Columns read from the inputs. Declared, so that opening a table costs no job.
@@ -215,7 +215,7 @@ class Bridge:
 def load_tables(spark: SparkSession, sf_dir: str) -> Tables:
     """All raw tables, derived lazily from the parquet files in `sf_dir`."""
     bridge = Bridge(tune(spark), sf_dir)
-    size_shuffles(spark, sf_dir, bridge.size)
+    fit_shuffles(spark, sf_dir, bridge.size)
     return Tables(
         {
             "orders": bridge.orders,
