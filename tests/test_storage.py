@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from shop import Shop, rows
 
+from tradeloom.operators.lookups import input_bytes
 from tradeloom.plans import refresh, registry, sales
 from tradeloom.plans.lines import paid_lines
 from tradeloom.plans.catalog import ANALYSES, MARTS
@@ -247,6 +248,23 @@ def test_partitions_stay_small_while_tables_grow(spark):
     assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
 
 
+def test_a_task_reads_a_bounded_part_of_a_large_file(spark):
+    split = "spark.sql.files.maxPartitionBytes"
+    fresh = spark.newSession()
+    tune(fresh)
+    path = new_run_folder(spark, "large")
+    # Lines of random text, as sizes of splits follow those of files.
+    spark.range(1 << 20).selectExpr("uuid() as a", "uuid() as b").coalesce(1).write.parquet(path)
+    fresh.conf.set("spark.sql.files.minPartitionNum", "1")
+    found = fresh.read.schema("a string, b string").parquet(path)
+    size, tasks = input_bytes(found), found.rdd.getNumPartitions()
+    assert size > 33 << 20 and size / tasks <= 32 << 20
+    own = spark.newSession()
+    own.conf.set(split, "64m")
+    tune(own)
+    assert own.conf.get(split) == "64m"
+
+
 def test_buckets_follow_the_size_of_the_tables(spark, monkeypatch):
     given = {}
     monkeypatch.setattr(registry.store, "sync_raw_bucketed", lambda *_, buckets: given.update(buckets=buckets))
