@@ -4,6 +4,7 @@ import hashlib
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from cases import AWKWARD, DATA, documents, store
@@ -131,3 +132,37 @@ def test_rests_that_share_rare_words_share_a_shard(spark, tmp_path, monkeypatch)
     together = sum(topics[a] == topics[b] for s in shards.values() for a in s for b in s if a < b)
     of_all = sum(len(s) * (len(s) - 1) // 2 for s in shards.values())
     assert together > 0.2 * of_all
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([" ", " ", "  ", "\n", "\t", "\x85", "　", "\x1c", "a", "'s", "1", "!", "é", "🎉", "<|endoftext|>"]), max_size=12).map("".join), max_size=8))
+def test_texts_encoded_by_distinct_words(texts):
+    found = packing.encoder_of(PATH).many(pa.array([None, *texts], pa.string()))
+    assert [ids.tolist() for ids in found] == [[], *map(reference_ids, texts)]
+
+
+def test_a_word_that_comes_again_is_encoded_once(monkeypatch):
+    encoder, given_letters = packing.Encoder(PATH), []
+
+    class Counting:
+        def encode_to_numpy(self, text, table=encoder.table, **how):
+            given_letters.append(len(text))
+            return table.encode_to_numpy(text, **how)
+
+    monkeypatch.setattr(encoder, "table", Counting())
+    texts = [f"text{i} " + "the same words in all of the texts, again and again " * 20 + "end" for i in range(50)]
+    assert [ids.tolist() for ids in encoder.many(pa.array(texts))] == [reference_ids(t) for t in texts]
+    assert sum(given_letters) < 0.02 * sum(map(len, texts))
+
+
+def test_key_takes_the_smaller_of_equally_heavy_ids():
+    draw = np.random.default_rng(5)
+    idf = draw.integers(0, 4, 300).astype(float)
+    hashes, last = draw.integers(-(1 << 60), 1 << 60, 300), np.zeros(300, np.int64)
+    for size in (1, 5, 40, 400):
+        ids = draw.integers(0, 300, size).astype("<u4")
+        found, counts = np.unique(ids, return_counts=True)
+        weight = idf[found] * counts * 2.2 / (counts + 1.2 * (0.25 + 0.75 * size / 50))
+        heavy = [i for w, i in sorted(zip(-weight, found))[: packing.KEY_IDS] if w < 0]
+        wanted = sorted(hashes[heavy])[:3]
+        assert packing.lexical_key(ids, idf, 50.0, hashes, last) == [*wanted, 0, 0, 0][:3]

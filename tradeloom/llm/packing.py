@@ -12,7 +12,8 @@ so that nothing is padded at all.
 
 A null text is empty and has the closing id alone. Repeated rows are packed each on their
 own. Equal scores go to the rest that comes first (by length, then id and start). Ids are
-those of the vocabulary file, found by a compiled encoder over the same merges.
+those of the vocabulary file, found by a compiled encoder over the same merges, which gets
+a word that comes again within some megabytes of text once.
 """
 
 from __future__ import annotations
@@ -23,7 +24,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
+import regex
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +34,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.llm.bpe import PATTERN, VOCABULARY, Bpe
 from tradeloom.llm.tables import table, written
-from tradeloom.llm.words import mix
+from tradeloom.llm.words import mix, text_chunks
 
 WINDOW, CLOSING = 2048, 1
 #: Rests per shard, shards per task; BM25 saturation and length weight.
@@ -39,6 +42,10 @@ SHARD_ROWS, TASK_SHARDS = 512, 8
 #: Ids of a rest that its key is made from.
 KEY_IDS = 16
 K1, B = 1.2, 0.75
+#: Bytes of text whose words are told apart at once.
+WORDS_OF = 1 << 22
+#: Signs that the pattern takes for white space (and some more).
+SPACE = r"\t-\r\x{1c}- \x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200b}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}"
 
 
 class Encoder:
@@ -49,10 +56,51 @@ class Encoder:
         special = set(bpe.special.values())
         ranks = {text: i for i, text in enumerate(bpe.bytes_of) if text and i not in special}
         self.table = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=bpe.special)
+        self.sizes = np.array([len(text) for text in bpe.bytes_of])
+        #: A space before white space or the end; a special text; any space if special texts have one.
+        whole = [rf" ([{SPACE}]|\z)", *map(regex.escape, bpe.special), *(" " for text in bpe.special if " " in text)]
+        self.whole = "|".join(whole)
 
     def __call__(self, text: str) -> np.ndarray:
         return self.table.encode_to_numpy(text, allowed_special="all")
 
+    def many(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text, null being empty; words that come again are encoded once.
+
+        The pattern begins a word at every space that no white space follows, whatever
+        stands around, so texts are cut there. Texts with other spaces or special texts
+        are encoded whole.
+        """
+        if not len(texts):
+            return []
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        whole = pc.match_substring_regex(texts, self.whole)
+        lists = pc.split_pattern(pc.if_else(whole, "", texts), " ")
+        begin, words = lists.offsets.to_numpy(), lists.flatten()
+        heads = np.zeros(len(words), bool)
+        heads[begin[:-1]] = True
+        following = words.filter(pa.array(~heads)).dictionary_encode()
+        ids, ends = self._distinct(following.dictionary)
+        apart = [self(text) for text in pc.if_else(whole, texts, words.filter(pa.array(heads))).to_pylist()]
+        size = np.concatenate([np.diff(ends, prepend=0), [len(x) for x in apart]]).astype(np.int64)
+        ids, at = np.concatenate([ids, *apart]), np.cumsum(size) - size
+        word = np.empty(len(words), np.int64)
+        word[heads] = len(ends) + np.arange(len(texts))
+        word[~heads] = following.indices.to_numpy()
+        size = size[word]
+        end = np.cumsum(size)
+        found = ids[np.arange(end[-1]) + np.repeat(at[word] - (end - size), size)]
+        return np.split(found, end[begin[1:-1] - 1])
+
+    def _distinct(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words with a space before each, and where each word's ids end."""
+        if not len(words):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        [joined] = pc.binary_join(pa.LargeListArray.from_arrays([0, len(words)], words), pa.scalar(" ", words.type)).to_pylist()
+        ids = self.table.encode_to_numpy(f" {joined}", allowed_special=set(), disallowed_special=())
+        bytes_end = np.cumsum(pc.binary_length(words).to_numpy() + 1)
+        return ids, np.searchsorted(np.cumsum(self.sizes[ids]), bytes_end) + 1
+
 
 @functools.cache
 def encoder_of(vocabulary: str) -> Encoder:
@@ -71,10 +119,11 @@ def cut_documents(documents: DataFrame, vocabulary: str) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder_of(vocabulary)
-        for batch in batches:
+        for batch in (b.slice(first, len(bounds) - 1) for b in batches for first, _, bounds in text_chunks(b.column("text"), WORDS_OF)):
             out: list[list] = [[] for _ in range(7)]
-            for doc_id, text, place in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "place"))):
-                ids = np.append(encode(text), np.uint32(CLOSING)).astype("<u4")
+            rows = (batch.column(c).to_pylist() for c in ("doc_id", "place"))
+            for doc_id, place, found in zip(*rows, encode.many(batch.column("text"))):
+                ids = np.append(found, np.uint32(CLOSING)).astype("<u4")
                 for start in range(0, len(ids), WINDOW):
                     piece = ids[start : start + WINDOW].tobytes()
                     whole = len(piece) == 4 * WINDOW
@@ -89,16 +138,25 @@ def cut_documents(documents: DataFrame, vocabulary: str) -> DataFrame:
     return rows.mapInArrow(cut, CUT_SCHEMA)
 
 
+def distinct_ids(ids: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ids in no order, and how often each occurs; `last` is room for any id."""
+    last[ids] = np.arange(len(ids))
+    counts = np.bincount(last[ids])
+    places = np.flatnonzero(counts)
+    return ids[places], counts[places]
+
+
 def id_frequencies(pieces: DataFrame) -> tuple[np.ndarray, int, float]:
     """Number of rests with each id, and number and mean length of all rests."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts = np.zeros(1, np.int64)
+        texts, last = np.zeros(1, np.int64), np.zeros(1, np.int64)
         for batch in batches:
             for ids in batch.column("ids"):
-                found = np.bincount(np.unique(np.frombuffer(ids.as_py(), "<u4")), minlength=len(texts))
-                found[: len(texts)] += texts
-                texts = found
+                ids = np.frombuffer(ids.as_py(), "<u4")
+                if (more := int(ids.max()) + 1 - len(texts)) > 0:
+                    texts, last = (np.append(x, np.zeros(more + len(x), np.int64)) for x in (texts, last))
+                texts[distinct_ids(ids, last)[0]] += 1
         some = np.flatnonzero(texts)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(texts[some])], ["id", "texts"])
 
@@ -110,25 +168,31 @@ def id_frequencies(pieces: DataFrame) -> tuple[np.ndarray, int, float]:
     return texts, rows, mean
 
 
-def lexical_key(ids: np.ndarray, idf: np.ndarray, mean: float) -> list[int]:
-    """The least hashes of the KEY_IDS ids of the largest BM25 weight that others share."""
-    found, counts = np.unique(ids, return_counts=True)
+def lexical_key(ids: np.ndarray, idf: np.ndarray, mean: float, hashes: np.ndarray, last: np.ndarray) -> list[int]:
+    """The least hashes of the KEY_IDS ids of the largest BM25 weight that others share;
+    of equal weights the smaller id counts."""
+    found, counts = distinct_ids(ids, last)
     weight = idf[found] * counts * (K1 + 1) / (counts + K1 * (1 - B + B * len(ids) / mean))
-    best = np.argsort(-weight, kind="stable")[:KEY_IDS]
+    if len(found) > KEY_IDS:
+        some = weight >= np.partition(weight, -KEY_IDS)[-KEY_IDS]
+        found, weight = found[some], weight[some]
+    best = np.lexsort((found, -weight))[:KEY_IDS]
     best = found[best[weight[best] > 0]]
-    hashes = np.sort(mix(best.astype(np.uint64) + np.uint64(7)).view(np.int64))[: len(KEYS)].tolist()
-    return hashes + [0] * (len(KEYS) - len(hashes))
+    least = np.sort(hashes[best])[: len(KEYS)].tolist()
+    return least + [0] * (len(KEYS) - len(least))
 
 
 def with_keys(pieces: DataFrame, idf: np.ndarray, mean: float) -> DataFrame:
     """The pieces with the keys of their ids, or, for whole windows, of their checksums."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = mix(np.arange(len(idf), dtype=np.uint64) + np.uint64(7)).view(np.int64)
+        last = np.zeros(len(idf), np.int64)
         for batch in batches:
             keys = []
-            for ids, crc in zip(batch.column("ids").to_pylist(), batch.column("ids_crc32").to_pylist()):
-                spread = [int(mix(np.array([crc], np.uint64)).view(np.int64)[0])] * len(KEYS)
-                keys.append(spread if ids is None else lexical_key(np.frombuffer(ids, "<u4"), idf, mean))
+            spread = mix(batch.column("ids_crc32").to_numpy()).view(np.int64).tolist()
+            for ids, own in zip(batch.column("ids").to_pylist(), spread):
+                keys.append([own] * len(KEYS) if ids is None else lexical_key(np.frombuffer(ids, "<u4"), idf, mean, hashes, last))
             columns = [pa.array([k[i] for k in keys], pa.int64()) for i in range(len(KEYS))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, *KEYS])
 
@@ -150,9 +214,12 @@ class Bm25:
         self.weight = idf[term] * counts * (K1 + 1) / damped
         self.begin = np.searchsorted(term, np.arange(span + 1))
         self.size = len(rests)
+        ends = np.cumsum(np.bincount(self.owner, minlength=self.size))
+        self.terms = np.split(term[np.argsort(self.owner, kind="stable")], ends[:-1])
 
-    def scores(self, rest: np.ndarray) -> np.ndarray:
-        terms = np.unique(rest)
+    def scores(self, rest: int) -> np.ndarray:
+        """Scores of all rests for the ids of one of them."""
+        terms = self.terms[rest]
         first, count = self.begin[terms], self.begin[terms + 1] - self.begin[terms]
         at = np.repeat(first - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
         return np.bincount(self.owner[at], self.weight[at], minlength=self.size)
@@ -230,7 +297,7 @@ def pack_shard(rows: pa.Table, shard: int) -> pa.Table:
     rests = [np.frombuffer(rows["ids"][i], "<u4") for i in open_rows]
     if rests:
         index = Bm25(rests)
-        windows = pack_rests([len(r) for r in rests], lambda rest: np.argsort(-index.scores(rests[rest]), kind="stable").tolist())
+        windows = pack_rests([len(r) for r in rests], lambda rest: np.argsort(-index.scores(rest), kind="stable").tolist())
         if sum(n for _, _, n in windows[-1]) < WINDOW:
             windows[-1:] = powers_of_two(windows[-1])
         for window in windows:
