@@ -285,3 +285,31 @@ def test_no_pages_and_no_labels(spark, tmp_path):
 def test_native_plan_has_no_python(spark):
     plan = op2_urls(spark, f"{DATA}/sf0.001")._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_terms_are_found_without_a_binary_search(monkeypatch):
+    draw = np.random.default_rng(6)
+    spread = draw.integers(0, 1 << 64, 3000, dtype=np.uint64)
+    ends = np.array([0, 2**64 - 1], np.uint64)
+    for hashes in (spread, spread[:1], ends, ends[:1], ends[1:], spread >> np.uint64(50), np.append(spread, ends)):
+        hashes = np.unique(hashes)
+        vocabulary = toxicity.Vocabulary(hashes, np.ones(len(hashes)))
+        asked = np.concatenate([hashes, hashes + np.uint64(1), hashes - np.uint64(1), spread[::3], ends])
+        wanted = np.searchsorted(hashes, asked)
+        vocabulary.places(asked[:1])
+        with monkeypatch.context() as patch:
+            patch.setattr(np, "searchsorted", None)
+            assert vocabulary.places(asked).tolist() == wanted.tolist()
+            assert vocabulary.places(asked[:0]).tolist() == []
+
+
+def test_least_cosine_comes_from_the_visited_blocks(monkeypatch):
+    monkeypatch.setattr(toxicity, "BLOCK", 4)
+    index = BlockMaxIndex(np.arange(12), np.zeros(12), np.ones(12, np.int64), np.zeros(12, np.int64), np.ones(12, np.float32), 1)
+    index._build()
+    cosines = np.full((2, 12), -1, np.float32)
+    cosines[0, 4:12] = np.arange(8) / 8
+    cosines[1, [0, 1, 2, 3, 8, 9, 10, 11]] = np.arange(8)[::-1] / 8
+    cells = index._cells(cosines, np.array([[2, 1], [0, 2]]))
+    assert sorted(cells[0]) == sorted(cells[1]) == (np.arange(8) / 8).tolist()
+    assert index._least(cells, 3).tolist() == index._least(cosines, 3).tolist()

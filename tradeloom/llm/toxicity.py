@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from itertools import islice
 
 import numpy as np
@@ -101,15 +102,34 @@ def document_frequencies(documents: DataFrame, hashes: np.ndarray) -> np.ndarray
 
 @dataclass
 class Vocabulary:
-    """Sorted term hashes and the weight of each."""
+    """Sorted term hashes, of which there is one at least, and the weight of each."""
 
     hashes: np.ndarray
     weight: np.ndarray
 
+    @cached_property
+    def ranges(self) -> tuple[np.uint64, np.ndarray, np.ndarray]:
+        """A shift, the place of the first hash with these leading bits (about as many
+        values as hashes), and the hashes with the largest number behind them."""
+        bits = len(self.hashes).bit_length()
+        shift = np.uint64(64 - bits)
+        begin = np.searchsorted(self.hashes, np.arange(1 << bits, dtype=np.uint64) << shift)
+        return shift, begin, np.append(self.hashes, np.uint64(2**64 - 1))
+
+    def places(self, term: np.ndarray) -> np.ndarray:
+        """What a binary search of the hashes would give, by a look-up and short steps."""
+        shift, begin, hashes = self.ranges
+        at = begin[term >> shift]
+        behind = np.flatnonzero(hashes[at] < term)
+        while len(behind):
+            at[behind] += 1
+            behind = behind[hashes[at[behind]] < term[behind]]
+        return at
+
     def counted(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Text number, term number and count of all distinct known terms, text by text."""
         term, owner = terms(data, bounds)
-        at = np.minimum(np.searchsorted(self.hashes, term), len(self.hashes) - 1)
+        at = np.minimum(self.places(term), len(self.hashes) - 1)
         known = self.hashes[at] == term
         pairs, counts = np.unique(owner[known] * len(self.hashes) + at[known], return_counts=True)
         return pairs // len(self.hashes), pairs % len(self.hashes), counts
@@ -180,6 +200,11 @@ class BlockMaxIndex:
             part = slice(block * BLOCK, (block + 1) * BLOCK)
             cosines[texts, part] = sums[texts, part] + often[texts] @ self.rows[part].T
 
+    def _cells(self, cosines: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+        """The cosines in some blocks of each text."""
+        cells = cosines.reshape(len(cosines), self.blocks, BLOCK)
+        return np.take_along_axis(cells, blocks[:, :, None], axis=1).reshape(len(cosines), -1)
+
     def _least(self, cosines: np.ndarray, k: int) -> np.ndarray:
         """Single-precision cosine that an example among the k nearest has at least."""
         if k >= cosines.shape[1]:
@@ -208,7 +233,7 @@ class BlockMaxIndex:
         np.put_along_axis(first, best_first, True, axis=1)
         cosines = np.full(sums.shape, -1, np.float32)
         self._visit(cosines, sums, single, first)
-        least = self._least(cosines, k)
+        least = self._least(self._cells(cosines, best_first), k)
         self._visit(cosines, sums, single, ~first & (bounds >= least[:, None]))
         least = self._least(cosines, k)
         out = []
