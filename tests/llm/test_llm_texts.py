@@ -313,3 +313,16 @@ def test_least_cosine_comes_from_the_visited_blocks(monkeypatch):
     cells = index._cells(cosines, np.array([[2, 1], [0, 2]]))
     assert sorted(cells[0]) == sorted(cells[1]) == (np.arange(8) / 8).tolist()
     assert index._least(cells, 3).tolist() == index._least(cosines, 3).tolist()
+
+
+def test_blocks_hold_examples_of_like_lengths(monkeypatch):
+    for name, value in (("BLOCK", 8), ("VISIT", 1)):
+        monkeypatch.setattr(toxicity, name, value)
+    weights = np.array([0.9, 0.4, 0.1, 0.99] * 40, np.float32).reshape(80, 2)
+    numbers = np.array([[0, 1 + i] for i in range(80)])
+    index = BlockMaxIndex(np.arange(80), np.zeros(80), np.full(80, 2), numbers.ravel(), weights.ravel(), 81)
+    visited, visit = [], index._visit
+    monkeypatch.setattr(index, "_visit", lambda *given: (visited.append(int(given[-1].sum())), visit(*given)))
+    [found] = index.nearest([(np.array([0]), np.array([1.0]))], 3)
+    assert found == [(pytest.approx(0.9), 0), (pytest.approx(0.9), 2), (pytest.approx(0.9), 4)]
+    assert sum(visited) == 5

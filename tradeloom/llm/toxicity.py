@@ -40,7 +40,7 @@ NEIGHBOURS, BLOCK = 15, 256
 #: common terms (the longest lists first), which bounds the memory of a process.
 COMMON, COMMON_CELLS = 1 / 50, 12 << 20
 #: Blocks visited before the rest is held against the bound, and texts searched at once.
-VISIT, SEARCHED = 2, 128
+VISIT, SEARCHED = 2, 256
 PREFIXES = (4, 5)
 LETTERS = np.where(CLASSES == 1, 1, 0).astype(np.uint8)
 LETTERS[48:58] = 0
@@ -159,8 +159,9 @@ class BlockMaxIndex:
 
     The short lists of all other terms are added up as a whole. What common terms can add
     to that is bounded by their block maxima and by the lengths of both vectors' common
-    parts; blocks that are visited add them exactly, as one product for many texts. Lists
-    are made where the index is first asked, once per process.
+    parts; blocks that are visited add them exactly, as one product for many texts. Examples
+    are numbered anew inside, by the length of their common part, so that a block's bound is
+    near that of its examples. Lists are made where the index is first asked, once per process.
     """
 
     def __init__(self, ids: np.ndarray, labels: np.ndarray, sizes: np.ndarray, numbers: np.ndarray, weights: np.ndarray, size: int):
@@ -174,20 +175,30 @@ class BlockMaxIndex:
         """The lists by term; weights of common terms as rows, their lengths and the maxima
         of each block."""
         sizes, numbers, weights = self.given
-        order = np.argsort(numbers, kind="stable")
-        self.begin = np.searchsorted(numbers[order], np.arange(self.size + 1))
-        self.weight = weights[order]
-        self.example = np.repeat(np.arange(len(self.ids), dtype=np.int32), sizes)[order]
-        del order
         self.given = None
-        lengths = np.diff(self.begin)
+        lengths = np.bincount(numbers, minlength=self.size)
         longest = np.argsort(-lengths, kind="stable")[: COMMON_CELLS // max(1, len(self.ids))]
         self.common = np.sort(longest[lengths[longest] > COMMON * len(self.ids)])
         self.column = np.full(self.size, -1, np.int32)
         self.column[self.common] = np.arange(len(self.common))
         self.rows = np.zeros((self.blocks * BLOCK, len(self.common)), np.float32)
+        often = np.flatnonzero(self.column[numbers] >= 0)
+        end = np.cumsum(sizes)
+        squares = np.bincount(np.searchsorted(end, often, "right"), weights[often].astype(float) ** 2, len(self.rows))
+        self.given_number = np.argsort(squares, kind="stable")
+        at, sizes = spread(np.concatenate([[0], end, np.full(len(self.rows) - len(end), len(numbers))]), self.given_number)
+        numbers, weights = numbers[at], weights[at]
+        del often, at
+        order = np.argsort(numbers, kind="stable")
+        self.begin = np.searchsorted(numbers[order], np.arange(self.size + 1))
+        #: An example and its weight in one cell, so that they are fetched together.
+        self.lists = np.empty(len(numbers), np.int64)
+        example, weight = self.lists.view(np.int32)[::2], self.lists.view(np.float32)[1::2]
+        example[:] = np.repeat(np.arange(len(self.rows), dtype=np.int32), sizes)[order]
+        weight[:] = weights[order]
+        del order, numbers, weights
         at, size = spread(self.begin, self.common)
-        self.rows[self.example[at], np.repeat(np.arange(len(self.common)), size)] = self.weight[at]
+        self.rows[example[at], np.repeat(np.arange(len(self.common)), size)] = weight[at]
         self.most = self.rows.reshape(self.blocks, BLOCK, -1).max(axis=1, initial=0)
         self.length = np.sqrt((self.rows.reshape(self.blocks, BLOCK, -1) ** 2).sum(axis=2).max(axis=1))
         # What a product in single precision may be off: both vectors have unit length.
@@ -224,7 +235,9 @@ class BlockMaxIndex:
             rare = column < 0
             often[i, column[~rare]] = weights[~rare]
             at, size = spread(self.begin, numbers[rare])
-            sums[i] = np.bincount(self.example[at], np.repeat(weights[rare], size) * self.weight[at], sums.shape[1])
+            found = self.lists[at]
+            products = np.repeat(weights[rare], size) * found.view(np.float32)[1::2]
+            sums[i] = np.bincount(found.view(np.int32)[::2], products, sums.shape[1])
         single = often.astype(np.float32)
         most = np.minimum(often @ self.most.T, self.length * np.sqrt((often**2).sum(axis=1))[:, None])
         bounds = sums.reshape(len(queries), self.blocks, BLOCK).max(axis=2) + most + self.loss
@@ -240,7 +253,7 @@ class BlockMaxIndex:
         for i, row in enumerate(cosines):
             near = np.flatnonzero(row >= least[i])
             exact = sums[i, near] + self.rows[near].astype(float) @ often[i]
-            rounded = ((round(c, 9), j) for c, j in zip(exact.tolist(), near.tolist()))
+            rounded = ((round(c, 9), j) for c, j in zip(exact.tolist(), self.given_number[near].tolist()))
             out.append(sorted((x for x in rounded if x[0] > 0), key=lambda x: (-x[0], x[1]))[:k])
         return out
 
