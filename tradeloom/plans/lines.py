@@ -82,7 +82,8 @@ def paid_lines(t: Tables) -> DataFrame:
     return t.shared("paid_lines", build)
 
 
-SHARED_LINES = {"sales_lines": sales_lines, "paid_lines": paid_lines}
+#: Shared lines with the key whose slices make them up.
+SHARED_LINES = {"sales_lines": (sales_lines, "order_id"), "paid_lines": (paid_lines, "order_id")}
 
 
 def delivered_seller_items(t: Tables) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
+from threading import Condition
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -12,7 +14,7 @@ from pyspark.sql.types import StructType
 from tradeloom.operators.lookups import input_bytes
 from tradeloom.operators.quality import enforce_contract, run_checks, suite
 from tradeloom.operators.staging import PARSED_TEXTS, is_malformed
-from tradeloom.plans import fraud
+from tradeloom.plans import fraud, sales, sellers
 from tradeloom.plans import readmission as mending
 from tradeloom.plans.catalog import ALL_CHECKS, MARTS, STAGING_CHECKS, Builder
 from tradeloom.plans.lines import SHARED_LINES
@@ -20,6 +22,7 @@ from tradeloom.schemas import contract
 from tradeloom.session import fit_shuffles
 from tradeloom.sources.layers import (
     Layers,
+    append_rows,
     bucketed_tables,
     publish,
     raw_tables,
@@ -30,6 +33,18 @@ from tradeloom.sources.layers import (
 from tradeloom.sources.tables import Tables
 
 
+#: Frames that are stored before the marts, with the key whose slices make them up.
+SHARED = {
+    **SHARED_LINES,
+    "seller_totals": (sellers.seller_totals, "seller_id"),
+    "category_totals": (sales.category_totals, "CATEGORY"),
+}
+# Input bytes whose shuffle files may lie on disk at once: of a slice of a shared frame, and
+# of marts that are built side by side. Shuffled rows take some three times the space of the
+# stored ones.
+SLICE_BYTES, SIDE_BY_SIDE_BYTES = 1 << 30, 256 << 20
+
+
 class CheckFailed(RuntimeError):
     """A data-quality check found failing rows."""
 
@@ -67,19 +82,58 @@ def store_shared(spark: SparkSession, t: Tables, layers: Layers) -> Tables:
     """Write the joined lines several marts start from, so they are joined once.
 
     Written tables outlive lost executors and are read with only the columns a
-    mart needs.
+    mart needs. Large inputs are handled in slices of a key, one statement each, so that
+    no more than the shuffle files of a slice are on disk.
     """
     stored = {"stg_orders": t.stg_orders}
-    for name, build in SHARED_LINES.items():
-        lines, path = build(t), layers.staging(name)
-        replace_table(lines, path)
-        stored[name] = spark.read.schema(lines.schema).parquet(path)
+    for name, (build, key) in SHARED.items():
+        path, given = layers.staging(name), t.with_stored(**stored)
+        rows = build(given)
+        slices = -(-input_bytes(rows) // SLICE_BYTES)
+        if slices > 1:
+            replace_table(build(given.slice_of(key, slices, 0)), path)
+            for number in range(1, slices):
+                append_rows(build(given.slice_of(key, slices, number)), path)
+        else:
+            replace_table(rows, path)
+        stored[name] = spark.read.schema(rows.schema).parquet(path)
     return t.with_stored(**stored)
 
 
-def store_mart(t: Tables, layers: Layers, name: str, build: Builder) -> None:
+class Room:
+    """Lets statements run side by side while their inputs stay below a bound together.
+
+    One that is larger than that runs alone.
+    """
+
+    def __init__(self, bound: int):
+        self._bound, self._taken, self._changed = bound, 0, Condition()
+
+    @contextmanager
+    def held(self, size: int) -> Iterator[None]:
+        size = max(size, 1)
+        with self._changed:
+            self._changed.wait_for(lambda: not self._taken or self._taken + size <= self._bound)
+            self._taken += size
+        try:
+            yield
+        finally:
+            with self._changed:
+                self._taken -= size
+                self._changed.notify_all()
+
+
+def _store(df: DataFrame, path: str, room: Room | None) -> None:
+    if room is None:
+        replace_table(df, path)
+    else:
+        with room.held(input_bytes(df)):
+            replace_table(df, path)
+
+
+def store_mart(t: Tables, layers: Layers, name: str, build: Builder, room: Room | None = None) -> None:
     """Build one mart, hold it against its contract, replace the stored table."""
-    replace_table(enforce_contract(name, build(t), contract(name)), layers.mart(name))
+    _store(enforce_contract(name, build(t), contract(name)), layers.mart(name), room)
 
 
 def store_marts(
@@ -88,27 +142,28 @@ def store_marts(
     """Build and store all marts, `at_once` of them submitted together.
 
     Several marts in flight keep the executors busy during the short last stages
-    of each. The first error is raised.
+    of each. Large ones take turns, so that the shuffle files of one are gone before the
+    next makes its own. The first error is raised.
     """
-    builders = dict(MARTS)
+    builders, room = dict(MARTS), Room(SIDE_BY_SIDE_BYTES)
     del builders["mart_fraud_signals"]
     with ThreadPoolExecutor(max_workers=at_once) as pool:
         jobs = [
-            pool.submit(store_mart, t, layers, name, build)
+            pool.submit(store_mart, t, layers, name, build, room)
             for name, build in builders.items()
         ]
-        jobs.append(pool.submit(store_fraud, t, layers, detected_at))
+        jobs.append(pool.submit(store_fraud, t, layers, detected_at, room))
         for job in jobs:
             job.result()
 
 
-def store_fraud(t: Tables, layers: Layers, detected_at: str | None) -> None:
+def store_fraud(t: Tables, layers: Layers, detected_at: str | None, room: Room | None = None) -> None:
     """Store the fraud mart as customers and, once per card, the list of names."""
     declared = contract("mart_fraud_signals")
     stored = StructType([f for f in declared.fields if f.name != "NAMES_LIST"])
     signals = enforce_contract("mart_fraud_signals", fraud.stored_signals(t, detected_at), stored)
-    replace_table(signals, layers.mart("mart_fraud_signals"))
-    replace_table(fraud.card_names(t), layers.mart("mart_fraud_card_names"))
+    _store(signals, layers.mart("mart_fraud_signals"), room)
+    _store(fraud.card_names(t), layers.mart("mart_fraud_card_names"), room)
 
 
 def open_mart(spark: SparkSession, layers: Layers, name: str, digest: Column | None = None) -> DataFrame:

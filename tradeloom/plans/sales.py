@@ -40,14 +40,23 @@ MIN_CATEGORY_ORDERS = 100
 
 def top_categories(t: Tables, limit: int = 10) -> DataFrame:
     """Best categories by revenue; the share is of all categories' revenue."""
-    rolled = dual_distinct_rollup(
-        sales_lines(t),
-        ["CATEGORY"],
-        first="order_id",
-        second="product_id",
-        measures={"price": F.col("price")},
-    )
-    return category_report(rolled, limit)
+    return category_report(category_totals(t), limit)
+
+
+def category_totals(t: Tables) -> DataFrame:
+    """Orders, products and prices of every category; a refresh stores them slice by slice."""
+
+    def build() -> DataFrame:
+        rolled = dual_distinct_rollup(
+            sales_lines(t),
+            ["CATEGORY"],
+            first="order_id",
+            second="product_id",
+            measures={"price": F.col("price")},
+        )
+        return rolled.select("CATEGORY", "n_order_id", "n_product_id", "price_sum", "price_cnt")
+
+    return t.shared("category_totals", build)
 
 
 def category_report(rolled: DataFrame, limit: int) -> DataFrame:

@@ -36,14 +36,23 @@ SELLER = ["seller_id", "CITY", "STATE"]
 
 def top_sellers(t: Tables, limit: int = 20) -> DataFrame:
     """Best sellers by revenue; the share is of all sellers' revenue."""
-    rolled = dual_distinct_rollup(
-        delivered_seller_items(t),
-        SELLER,
-        first="order_id",
-        second="product_id",
-        measures={"price": F.col("price")},
-    )
-    return seller_report(rolled, limit)
+    return seller_report(seller_totals(t), limit)
+
+
+def seller_totals(t: Tables) -> DataFrame:
+    """Orders, products and prices of every seller; a refresh stores them slice by slice."""
+
+    def build() -> DataFrame:
+        rolled = dual_distinct_rollup(
+            delivered_seller_items(t),
+            SELLER,
+            first="order_id",
+            second="product_id",
+            measures={"price": F.col("price")},
+        )
+        return rolled.select(*SELLER, "n_order_id", "n_product_id", "price_sum", "price_cnt")
+
+    return t.shared("seller_totals", build)
 
 
 def seller_report(rolled: DataFrame, limit: int) -> DataFrame:
