@@ -102,3 +102,19 @@ def test_stored_texts_take_less_space(spark):
     store.replace_table(spark.range(20_000).select(F.md5(F.col("id").cast("string")).alias("x")), path)
     # 32 letters of 4 bits each; snappy leaves them as they are.
     assert input_bytes(spark.read.parquet(path)) < 20_000 * 24
+
+
+def test_the_synthetic_load_keeps_one_copy_of_the_raw_tables(spark, monkeypatch):
+    folders, publish = [], refresh.publish
+    monkeypatch.setattr(registry, "new_run_folder", lambda spark, label: folders.append(new_run_folder(spark, label)) or folders[-1])
+    left = []
+
+    def publishing(spark, layers):
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        system = path(layers.root).getFileSystem(spark._jsc.hadoopConfiguration())
+        left.extend(f for f in folders if system.exists(path(f"{f}/raw/orders")))
+        publish(spark, layers)
+
+    monkeypatch.setattr(refresh, "publish", publishing)
+    registry.synthetic_load(spark, "/root/testdata/sf0.001")
+    assert left == [f for f in folders if "/lake-" in f] and len(folders) == 2
